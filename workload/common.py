@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ class Registry:
         return register
 
 
+def six_digits(value: Column) -> Column:
+    """Plain floating-point arithmetic, so another engine doing the same gets the same bits."""
+    return F.floor(value * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+
+
 def tidy(df: DataFrame) -> DataFrame:
     """Result types both engines agree on: 64-bit integers, and doubles to six digits."""
     wide = {}
@@ -36,5 +41,5 @@ def tidy(df: DataFrame) -> DataFrame:
         if kind in ("int", "smallint", "tinyint"):
             wide[name] = F.col(f"`{name}`").cast("bigint")
         elif kind in ("double", "float"):
-            wide[name] = F.round(F.col(f"`{name}`").cast("double"), 6)
+            wide[name] = six_digits(F.col(f"`{name}`").cast("double"))
     return df.withColumns(wide)

@@ -15,7 +15,7 @@ from paneloom.sources import landed, tables
 from paneloom.store import materialise, new_path
 from workload import fixtures as X
 from workload.common import Registry, tidy
-from workload.sql import CLEAN_CODE, CODES, LONG, LONG_ORDER, big, panel_cte, r, supply_cte, with_
+from workload.sql import CLEAN_CODE, CODES, LONG, LONG_ORDER, panel_cte, r, supply_cte, with_
 
 registry = Registry()
 add = registry.add
@@ -121,7 +121,7 @@ def sink_roundtrip(spark, folder):
     return tidy(landed.read_csv_table(spark, path, ORDER_ROW))
 
 
-@add("full_refresh_load", f"select entity, period, b, {r('b2')} as b2, 2 as loads from (" + with_(supply_cte()) + "select * from supply)")
+@add("full_refresh_load", f"select entity, period, b, {r('b2')} as b2, 2::bigint as loads from (" + with_(supply_cte()) + "select * from supply)")
 def full_refresh_load(spark, folder):
     """Loaded twice; the second load replaces the first as a whole."""
     name = f"supply_{uuid.uuid4().hex}"
@@ -168,7 +168,7 @@ def contract_columns(spark, folder):
 
 @add(
     "constraint_violations",
-    """select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, count(*) as row_count, 0 as null_count
+    """select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, count(*) as row_count, 0::bigint as null_count
 from lineitem group by l_orderkey, l_linenumber having count(*) > 1""",
 )
 def constraint_violations(spark, folder):
@@ -188,7 +188,7 @@ def _coded_customers(spark, folder):
 @add(
     "load_accounting",
     f"""select count(*) as rows_before, count(*) filter (ok) as rows_after, count(*) filter (not ok) as rows_removed,
-  count(distinct code) filter (ok) as entities, min(c_nationkey) filter (ok) as min_period, max(c_nationkey) filter (ok) as max_period
+  count(distinct code) filter (ok) as entities, cast(min(c_nationkey) filter (ok) as bigint) as min_period, cast(max(c_nationkey) filter (ok) as bigint) as max_period
 from (select *, regexp_full_match(code, '[A-Z]{{3}}') as ok from (select *, trim(upper({RAW_CODE})) as code from customer))""",
 )
 def load_accounting(spark, folder):

@@ -15,7 +15,7 @@ from paneloom.sources import tables as T
 from paneloom.store import materialise, new_path
 from workload import fixtures as X
 from workload.common import Registry, tidy
-from workload.sql import big, observations_cte, panel_cte, r, slice_cte, supply_cte, with_
+from workload.sql import observations_cte, panel_cte, r, shown, slice_cte, supply_cte, with_
 
 registry = Registry()
 add = registry.add
@@ -210,7 +210,7 @@ def span_change_join(spark, folder):
 @add(
     "span_change_fixed",
     with_(SLICE)
-    + f"""select e.entity, 1996 as start_period, 2000 as end_period, {r('s.a')} as a_start, {r('e.a')} as a_latest,
+    + f"""select e.entity, 1996::bigint as start_period, 2000::bigint as end_period, {r('s.a')} as a_start, {r('e.a')} as a_latest,
   {r('e.a - s.a')} as a_span_change
 from slice e join slice s on e.entity = s.entity where s.period = 1996 and e.period = 2000""",
 )
@@ -250,7 +250,7 @@ def count_min_max_by_category(spark, folder):
 @add(
     "group_avg_fixed_period",
     with_(OBSERVATIONS)
-    + f"""select grp, {r('avg(a)', 2)} as avg_a from observations
+    + f"""select grp, {shown('avg(a)', 2)} as avg_a from observations
 where period = 2000 and category = 'All orders' group by grp order by avg_a desc nulls first, grp""",
 )
 def group_avg_fixed_period(spark, folder):
@@ -334,7 +334,7 @@ def kpi_formatted(spark, folder):
 @add(
     "group_trendline",
     with_(PANEL)
-    + f"""select grp, period, regr_count(a, b) as n, {r('regr_sxy(a, b) / nullif(regr_sxx(a, b), 0)')} as slope,
+    + f"""select grp, period, cast(regr_count(a, b) as bigint) as n, {r('regr_sxy(a, b) / nullif(regr_sxx(a, b), 0)')} as slope,
   {r('regr_avgy(a, b) - regr_sxy(a, b) / nullif(regr_sxx(a, b), 0) * regr_avgx(a, b)')} as intercept,
   {r('regr_sxy(a, b) * regr_sxy(a, b) / nullif(regr_sxx(a, b) * regr_syy(a, b), 0)')} as r2
 from panel group by grp, period""",
@@ -383,7 +383,7 @@ def filter_groups(spark, folder):
 @add(
     "topk_sql",
     with_(OBSERVATIONS)
-    + f"""select entity, {r('a', 2)} as a, grp from observations where period = 2000 and category = 'All orders'
+    + f"""select entity, {shown('a', 2)} as a, grp from observations where period = 2000 and category = 'All orders'
 order by a desc nulls first, entity limit 10""",
 )
 def topk_sql(spark, folder):
@@ -395,7 +395,7 @@ def topk_sql(spark, folder):
 @add(
     "topk_change",
     with_(SLICE)
-    + f"""select e.entity, {r('s.a', 2)} as a_start, {r('e.a', 2)} as a_latest, {r('e.a - s.a', 2)} as a_span_change
+    + f"""select e.entity, {shown('s.a', 2)} as a_start, {shown('e.a', 2)} as a_latest, {shown('e.a - s.a', 2)} as a_span_change
 from slice e join slice s on e.entity = s.entity where s.period = 1996 and e.period = 2000
 order by a_span_change desc nulls first, e.entity limit 10""",
 )
@@ -441,7 +441,7 @@ def topk_span_change(spark, folder):
 @add(
     "entity_series",
     with_(PANEL)
-    + f"""select period, {r('a', 2)} as a, b from panel where entity = (select min(o_custkey) from orders) order by period""",
+    + f"""select period, {shown('a', 2)} as a, b from panel where entity = (select min(o_custkey) from orders) order by period""",
 )
 def entity_series(spark, folder):
     """The entity filter is pushed through both aggregations down to the scans."""

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 
-def r(expression: str, digits: int = 6) -> str:
-    """Rounded double without a negative zero."""
-    return f"(round({expression}, {digits}) + 0.0)"
+def r(expression: str) -> str:
+    """Six digits, by the same arithmetic as ``common.six_digits`` so that ties fall alike."""
+    return f"(floor(({expression}) * 1e6 + 0.5) / 1e6)"
 
 
-def big(*columns: str) -> str:
-    return ", ".join(f"cast({c} as bigint) as {c.split('.')[-1]}" for c in columns)
+def shown(expression: str, digits: int) -> str:
+    """Decimal ROUND half away from zero of the number as printed, which is what Spark's ROUND does."""
+    return f"cast(round(cast(cast({expression} as varchar) as decimal(38, 17)), {digits}) as double)"
 
 
 def period(column: str, grain: str) -> str:
