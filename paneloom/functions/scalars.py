@@ -39,8 +39,8 @@ def is_alpha3(text: Column) -> Column:
 
 def canonical_numeric_code(text: Column, width: int = 3) -> Column:
     """Drop apostrophes, blanks and a float suffix, then zero-fill on the left (never truncate)."""
-    bare = F.trim(F.regexp_replace(text, "'", ""))
-    bare = F.regexp_replace(bare, r"\.0\z", "")
+    bare = F.trim(F.replace(text, F.lit("'"), F.lit("")))
+    bare = F.when(bare.endswith(".0"), F.left(bare, F.length(bare) - 2)).otherwise(bare)
     return F.when(F.length(bare) < width, F.lpad(bare, width, "0")).otherwise(bare)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from paneloom import roles as R
 from paneloom.functions import scalars as S
 from paneloom.operators.quality import ContractError
-from paneloom.operators.scenario import SCENARIOS, LinearForm, scenario_grid
+from paneloom.operators.scenario import NEEDED, SCENARIOS, LinearForm, scenario_grid
 from paneloom.store import materialise
 
 
@@ -67,15 +67,28 @@ def ridge(target: str, train: DataFrame, alpha: float = 1.0) -> LinearRegression
 
 
 def forest(target: str, trees: int = 300, depth: int = 10, seed: int = 42) -> RandomForestRegressor:
-    """All features at every split. The level model's default depth is 12, the change model's 10."""
+    """All features at every split. The level model's default depth is 12, the change model's 10.
+
+    The statistics buffer keeps its default size: it is held per task, not per executor.
+    """
     return RandomForestRegressor(
         featuresCol="_features", labelCol=target, predictionCol="prediction", numTrees=trees, maxDepth=depth,
-        featureSubsetStrategy="all", seed=seed, maxMemoryInMB=1024,
+        featureSubsetStrategy="all", seed=seed,
     )
 
 
+SMALL_TRAINING_SET = 1_000_000
+
+
 def fit(estimator, train: DataFrame, numeric: Sequence[str], train_rows: int | None = None) -> PipelineModel:
+    """Fit preprocessing and estimator.
+
+    A small training set arrives in very few partitions, and a forest works partition by
+    partition, so its rows are spread by key over the available cores first.
+    """
     rows = train.count() if train_rows is None else train_rows
+    if isinstance(estimator, RandomForestRegressor) and rows < SMALL_TRAINING_SET:
+        train = train.repartition(train.sparkSession.sparkContext.defaultParallelism, *R.KEY)
     return Pipeline(stages=[*preprocessing(numeric, rows), estimator]).fit(train)
 
 
@@ -122,11 +135,11 @@ def forecast_with_model(
     One ``transform`` per calendar step over all entities and scenarios still running; the
     state is written out between steps, so the plan stays short. At most end - first steps.
     """
-    live = state.where(F.col("last_period") < end_period)
+    needed = list(NEEDED[predicts])
+    live = state.where(F.col("last_period") < end_period).dropna(subset=needed)
     first = live.agg(F.min("last_period")).first()[0]
     if first is None:
         raise ContractError("no entity has periods left to forecast")
-    needed = ["a_t0", "a_t1", "a_t3"] if predicts == "change" else ["a_t0", "a_t1", "a_t2", "a_t3"]
     running = scenario_grid(live, scenarios).withColumns(
         {"b_latest": F.col("b_t0"), "b2_latest": F.col("b2_t0")}
     )

@@ -32,6 +32,9 @@ SCENARIOS = {
 }
 CONSTANT = "Constant sugar"
 
+# What each kind of predictor needs of the periods t, t-1, t-2 and t-3.
+NEEDED = {"change": ("a_t0", "a_t1", "a_t3"), "level": ("a_t0", "a_t1", "a_t2", "a_t3")}
+
 HISTORY_COLUMNS = [R.ENTITY, R.NAME, R.PERIOD, R.METRIC_A, R.METRIC_B, R.METRIC_B2, R.GROUP]
 
 
@@ -45,7 +48,7 @@ class LinearForm:
 
     def __call__(self, features: Mapping[str, Column]) -> Column:
         total = F.lit(float(self.intercept))
-        for name, weight in self.weights.items():
+        for name, weight in self._without_changes().items():
             total = total + features[name] * F.lit(float(weight))
         if self.group_effects:
             effect = None
@@ -54,6 +57,16 @@ class LinearForm:
             total = total + effect.otherwise(F.lit(0.0))
         return total
 
+    def _without_changes(self) -> dict[str, float]:
+        """Weights with every ``m_change_k`` put onto ``m`` and ``m_lag_k``: fewer terms, same value."""
+        merged = {n: w for n, w in self.weights.items() if "_change_" not in n}
+        for name, weight in self.weights.items():
+            if "_change_" in name:
+                metric, k = name.split("_change_")
+                merged[metric] = merged.get(metric, 0.0) + weight
+                merged[f"{metric}_lag_{k}"] = merged.get(f"{metric}_lag_{k}", 0.0) - weight
+        return merged
+
 
 def matched_scenarios(percent: int, names: Mapping[str, float] = SCENARIOS) -> list[str]:
     """Decrease, constant and increase scenario for one percentage."""
@@ -117,10 +130,10 @@ def roll_forward(
     predicted change is reported as it came. Supply follows the scenario's ramp and feeds the
     following step.
     """
-    if predicts not in ("change", "level"):
-        raise ValueError(f"predicts must be 'change' or 'level', not {predicts!r}")
+    if predicts not in NEEDED:
+        raise ValueError(f"predicts must be one of {list(NEEDED)}, not {predicts!r}")
     end = F.lit(end_period)
-    needed = ("a_t0", "a_t1", "a_t3") if predicts == "change" else ("a_t0", "a_t1", "a_t2", "a_t3")
+    needed = NEEDED[predicts]
 
     def step(past: Column, period: Column) -> Column:
         at = past.getField
@@ -135,31 +148,34 @@ def roll_forward(
             "b_change_1": at("b_t0") - at("b_t1"), "b_change_3": at("b_t0") - at("b_t3"),
             R.GROUP: F.col(R.GROUP),
         }
-        supply = {
-            c: S.ramp(F.col(c), F.col("total_change"), period, F.col("last_period"), end) for c in ("b_t0", "b2_t0")
-        }
+        # From last + 1 to the end the ramp's progress is always within (0, 1].
+        elapsed = (period - F.col("last_period")).cast("double") / (end - F.col("last_period")).cast("double")
 
-        def advance(prediction: Column) -> Column:
+        def advance(now: Column) -> Column:
+            prediction, growth = now.getField("prediction"), now.getField("growth")
             per_step = prediction / F.lit(float(horizon))
             raw = at("a_t0") + per_step if predicts == "change" else prediction
             level = S.clip(raw, low, high)
+            b_now, b2_now = F.col("b_t0") * growth, F.col("b2_t0") * growth
             record = F.struct(
                 period.alias("forecast_period"),
                 level.alias("forecast_a"),
                 (period - 1).alias("input_period"),
                 prediction.alias("predicted_change"),
                 per_step.alias("annualised_change"),
-                supply["b_t0"].alias("b_assumption"),
-                supply["b2_t0"].alias("b2_assumption"),
-            ).cast(_STEP)
+                b_now.alias("b_assumption"),
+                b2_now.alias("b2_assumption"),
+            )
             return F.struct(
                 level.alias("a_t0"), at("a_t0").alias("a_t1"), at("a_t1").alias("a_t2"), at("a_t2").alias("a_t3"),
-                supply["b_t0"].alias("b_t0"), at("b_t0").alias("b_t1"), at("b_t1").alias("b_t2"), at("b_t2").alias("b_t3"),
-                supply["b2_t0"].alias("b2_t0"), F.concat(at("steps"), F.array(record)).alias("steps"),
+                b_now.alias("b_t0"), at("b_t0").alias("b_t1"), at("b_t1").alias("b_t2"), at("b_t2").alias("b_t3"),
+                b2_now.alias("b2_t0"), F.concat(at("steps"), F.array(record)).alias("steps"),
             )
 
-        # A one-element transform names the prediction, so the model is evaluated once per step.
-        following = F.transform(F.array(predictor(features)), advance).getItem(0)
+        # A one-element transform names the step's prediction, so the model is evaluated once.
+        growth = F.lit(1.0) + F.col("total_change") * elapsed
+        now = F.struct(predictor(features).alias("prediction"), growth.alias("growth"))
+        following = F.transform(F.array(now), advance).getItem(0)
         ended = past.withField("a_t0", F.lit(None).cast("double"))
         return F.when(known, following).otherwise(ended)
 
@@ -168,8 +184,9 @@ def roll_forward(
         F.col("b2_t0").cast("double").alias("b2_t0"),
         F.array().cast(f"array<{_STEP}>").alias("steps"),
     )
-    # sequence() counts down when its end is before its start, so finished entities go first.
-    live = state.where(F.col("last_period") < end)
+    # sequence() counts down when its end is before its start, so finished entities go first;
+    # so do entities that lack a needed period already, before they are multiplied by scenarios.
+    live = state.where(F.col("last_period") < end).dropna(subset=list(needed))
     folded = scenario_grid(live, scenarios).withColumn(
         "_steps", F.aggregate(F.sequence(F.col("last_period") + 1, end), begin, step, lambda s: s.getField("steps"))
     )

@@ -14,7 +14,7 @@ from paneloom.operators import evaluation as E
 from paneloom.operators import features as FE
 from paneloom.operators import models as M
 from paneloom.operators import scenario as SC
-from paneloom.store import materialise
+from paneloom.store import materialise, spread
 
 LINEAR = ["linear_regression", "ridge_regression"]
 
@@ -93,12 +93,12 @@ def forecast(
     scenarios: Mapping[str, float] = SC.SCENARIOS,
 ) -> DataFrame:
     """Scenario forecast with a fitted pipeline: in-row fold if it is linear, stepwise if not."""
-    state = SC.latest_state(SC.forecast_history(panel))
+    state = materialise(SC.latest_state(SC.forecast_history(panel)), "state")
     numeric = FE.CHANGE_NUMERIC if predicts == "change" else FE.LEVEL_NUMERIC
     if hasattr(model.stages[-1], "coefficients"):
-        rolled = SC.roll_forward(state, end_period, M.linear_form(model, numeric), predicts, scenarios)
+        rolled = SC.roll_forward(spread(state), end_period, M.linear_form(model, numeric), predicts, scenarios)
     else:
-        rolled = M.forecast_with_model(model, materialise(state, "state"), end_period, predicts, scenarios)
+        rolled = M.forecast_with_model(model, state, end_period, predicts, scenarios)
     out = SC.emit_window(rolled, first_period)
     if predicts == "change":
         out = out.withColumn("model_name", F.lit(model_name)).withColumn("model_type", F.lit("sugar_sensitivity_model"))

@@ -39,3 +39,15 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Give every core a share of a table that arrives in fewer partitions than there are cores.
+
+    For compute-heavy steps over a stored table that is small enough to sit in one file and
+    would be read by one task. A table with enough splits is returned as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *by)

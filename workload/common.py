@@ -30,8 +30,12 @@ class Registry:
 
 
 def six_digits(value: Column) -> Column:
-    """Plain floating-point arithmetic, so another engine doing the same gets the same bits."""
-    return F.floor(value * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+    """Down to a grid of 1e-6 for comparison; both engines do the same floating-point arithmetic.
+
+    The shift is not one half: many results are short decimals that lie exactly between two
+    grid points, where a difference in the last bit would decide.
+    """
+    return F.floor(value * F.lit(1e6) + F.lit(0.4321987)) / F.lit(1e6)
 
 
 def tidy(df: DataFrame) -> DataFrame:

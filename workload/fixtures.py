@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from paneloom import roles as R
 from paneloom.operators.clean import recode_passthrough
 from paneloom.operators.panel import panel_join
+from paneloom.store import spread
 
 ALL = "ALL"
 CATEGORY_LABELS = {ALL: "All orders", "1-URGENT": "Urgent", "5-LOW": "Low"}
@@ -140,7 +141,7 @@ def supply_long(spark: SparkSession, folder: str) -> DataFrame:
     All fields are text. Area codes come in several spellings by return flag and are unknown
     (999) for untaxed returned lines; values of undiscounted lines are not numbers.
     """
-    lines = table(spark, folder, "lineitem").select(*LONG_ORDER)
+    lines = spread(table(spark, folder, "lineitem").select(*LONG_ORDER))
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
     part = table(spark, folder, "part").select("p_partkey", "p_type")

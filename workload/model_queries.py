@@ -19,7 +19,7 @@ from paneloom.operators import scenario as SC
 from paneloom.operators import summary as SM
 from paneloom.plans import training as TR
 from paneloom.sources import tables as TB
-from paneloom.store import materialise, new_path
+from paneloom.store import materialise, new_path, spread
 from workload import fixtures as X
 from workload.common import Registry, six_digits, tidy
 from workload.sql import panel_cte, r, shown, with_
@@ -433,9 +433,13 @@ LEVEL_FORECAST = (SPARSE, recursion(LEVEL_FORM, "level"))
 EMITTED = f"emitted as (select * from forecast where forecast_period >= {EMIT})"
 
 
+def stored_state(spark, folder):
+    """The few numbers per entity a forecast starts from; its steps are compute only."""
+    return spread(materialise(SC.latest_state(SC.forecast_history(X.panel(spark, folder))), "state"))
+
+
 def change_forecast(spark, folder, scenarios=SC.SCENARIOS):
-    state = SC.latest_state(SC.forecast_history(X.panel(spark, folder)))
-    return SC.roll_forward(state, END, CHANGE_FORM, "change", scenarios)
+    return SC.roll_forward(stored_state(spark, folder), END, CHANGE_FORM, "change", scenarios)
 
 
 @add("scenario_grid", with_(SPARSE, SCENARIO_ROWS) + f"select entity, period, scenario, total_change, {r('b * (1 + total_change)')} as b_target from panel cross join scenarios where period = (select max(period) from panel)")
@@ -460,8 +464,7 @@ def scenario_forecast_change(spark, folder):
     + f"select {FORECAST_KEYS}, {rounded(['forecast_a', 'b_assumption', 'b2_assumption'])} from emitted",
 )
 def scenario_forecast_level(spark, folder):
-    state = SC.latest_state(SC.forecast_history(X.panel(spark, folder)))
-    return tidy(SC.emit_window(SC.roll_forward(state, END, LEVEL_FORM, "level"), EMIT))
+    return tidy(SC.emit_window(SC.roll_forward(stored_state(spark, folder), END, LEVEL_FORM, "level"), EMIT))
 
 
 @add(

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def r(expression: str) -> str:
-    """Six digits, by the same arithmetic as ``common.six_digits`` so that ties fall alike."""
-    return f"(floor(({expression}) * 1e6 + 0.5) / 1e6)"
+    """Onto the comparison grid, by the same arithmetic as ``common.six_digits``."""
+    return f"(floor(({expression}) * 1e6 + 0.4321987e0) / 1e6)"
 
 
 def shown(expression: str, digits: int) -> str:
