@@ -6,7 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from paneloom import roles as R
 from paneloom.functions import scalars as S
+from paneloom.operators.features import group_levels
 from paneloom.operators.quality import ContractError
 from paneloom.operators.scenario import NEEDED, SCENARIOS, LinearForm, scenario_grid
 from paneloom.store import materialise
 
 
-def preprocessing(numeric: Sequence[str], train_rows: int, group: str = R.GROUP) -> list:
-    """z-scores with the population deviation, and one 0/1 slot per group.
+def preprocessing(numeric: Sequence[str], train_rows: int, levels: Sequence[str], group: str = R.GROUP) -> list:
+    """z-scores with the population deviation, and one 0/1 slot per group level.
 
     MLlib's scaler divides by the sample deviation; the factor sqrt(n/(n-1)) turns that into
     the population one, which matters to a penalised fit. The indexer's extra slot for
@@ -34,7 +35,7 @@ def preprocessing(numeric: Sequence[str], train_rows: int, group: str = R.GROUP)
         ElementwiseProduct(
             inputCol="_scaled", outputCol="_z", scalingVec=Vectors.dense([factor] * len(numeric))
         ),
-        StringIndexer(inputCol=group, outputCol="_group_no", handleInvalid="keep", stringOrderType="alphabetAsc"),
+        StringIndexerModel.from_labels(list(levels), inputCol=group, outputCol="_group_no", handleInvalid="keep"),
         OneHotEncoder(inputCols=["_group_no"], outputCols=["_group_slots"], dropLast=True, handleInvalid="error"),
         VectorAssembler(inputCols=["_z", "_group_slots"], outputCol="_features"),
     ]
@@ -80,16 +81,27 @@ def forest(target: str, trees: int = 300, depth: int = 10, seed: int = 42) -> Ra
 SMALL_TRAINING_SET = 1_000_000
 
 
-def fit(estimator, train: DataFrame, numeric: Sequence[str], train_rows: int | None = None) -> PipelineModel:
-    """Fit preprocessing and estimator.
+def fit_all(estimators: Mapping[str, object], train: DataFrame, numeric: Sequence[str]) -> dict[str, PipelineModel]:
+    """Fit every candidate behind one shared, once-fitted preprocessing.
 
-    A small training set arrives in very few partitions, and a forest works partition by
-    partition, so its rows are spread by key over the available cores first.
+    The group levels come to the driver only if their number is within the limit of
+    ``group_levels``. A small training set arrives in very few partitions, and a forest works
+    partition by partition, so for it the rows are spread by key over the available cores.
     """
-    rows = train.count() if train_rows is None else train_rows
-    if isinstance(estimator, RandomForestRegressor) and rows < SMALL_TRAINING_SET:
-        train = train.repartition(train.sparkSession.sparkContext.defaultParallelism, *R.KEY)
-    return Pipeline(stages=[*preprocessing(numeric, rows), estimator]).fit(train)
+    rows = train.count()
+    prepared = Pipeline(stages=preprocessing(numeric, rows, group_levels(train))).fit(train)
+    models = {}
+    for name, estimator in estimators.items():
+        inputs = train
+        if isinstance(estimator, RandomForestRegressor) and rows < SMALL_TRAINING_SET:
+            inputs = train.repartition(train.sparkSession.sparkContext.defaultParallelism, *R.KEY)
+        fitted = estimator.fit(prepared.transform(inputs).select("_features", estimator.getLabelCol()))
+        models[name] = PipelineModel(stages=[*prepared.stages, fitted])
+    return models
+
+
+def fit(estimator, train: DataFrame, numeric: Sequence[str]) -> PipelineModel:
+    return fit_all({"model": estimator}, train, numeric)["model"]
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

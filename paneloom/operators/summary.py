@@ -65,13 +65,17 @@ def trendline(df: DataFrame, group: Sequence[str], y: str, x: str) -> DataFrame:
     )
 
 
-def kpis(df: DataFrame) -> DataFrame:
-    return df.agg(
+def kpi_aggregates() -> list[Column]:
+    return [
         F.max(R.PERIOD).alias("latest_period"),
         F.count_distinct(R.ENTITY).alias("entities"),
         F.avg(R.METRIC_A).alias("avg_a"),
         F.avg(R.METRIC_B).alias("avg_b"),
-    )
+    ]
+
+
+def kpis(df: DataFrame) -> DataFrame:
+    return df.agg(*kpi_aggregates())
 
 
 def unpivot_metrics(df: DataFrame, keep: Sequence[str], labels: Mapping[str, str]) -> DataFrame:

@@ -34,11 +34,10 @@ def train_change_model(
     numeric, target = FE.CHANGE_NUMERIC, FE.CHANGE_TARGET
     rows = materialise(FE.training_rows(features, numeric, target), "training")
     train, test = FE.time_split(rows, last_train_period)
-    n = train.count()
     estimators = {"linear_regression": M.ols(target), "ridge_regression": M.ridge(target, train)}
     if with_forest:
         estimators["random_forest"] = M.forest(target, trees, depth)
-    models = {name: M.fit(e, train, numeric, n) for name, e in estimators.items()}
+    models = M.fit_all(estimators, train, numeric)
     long = materialise(M.predictions_long(models, test), "predictions")
     fitted = E.regression_metrics(long, target, "prediction", ["model"]).withColumn("model_family", F.lit("ml"))
     naive = E.previous_change_baseline(test, train, "a_change_3", target)
@@ -64,11 +63,10 @@ def train_level_model(
     numeric, target = FE.LEVEL_NUMERIC, FE.LEVEL_TARGET
     rows = materialise(FE.training_rows(features, numeric, target), "training")
     train, test = FE.time_split(rows, last_train_period)
-    n = train.count()
     estimators = {"linear_regression": M.ols(target)}
     if with_forest:
         estimators["random_forest"] = M.forest(target, trees, depth)
-    models = {name: M.fit(e, train, numeric, n) for name, e in estimators.items()}
+    models = M.fit_all(estimators, train, numeric)
     long = materialise(M.predictions_long(models, test), "predictions")
     fitted = E.regression_metrics(long, target, "prediction", ["model"])
     naive = E.regression_metrics(E.persistence_baseline(test), target, "prediction")

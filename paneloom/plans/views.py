@@ -58,6 +58,17 @@ _FEATURES = {
     "target_a_next": "target_obesity_next_year",
     "target_a_change_3": "target_obesity_change_3yr",
 }
+# Scenario forecasts: SPEC.from_roles(forecast, FORECAST).
+FORECAST = {
+    "total_change": "total_sugar_change_by_2030",
+    "forecast_period": "forecast_year",
+    "forecast_a": "forecast_obesity_pct",
+    "input_period": "input_year",
+    "predicted_change": "predicted_obesity_change_3yr",
+    "annualised_change": "predicted_annualized_change",
+    "b_assumption": "sugar_supply_kg_per_capita_assumption",
+    "b2_assumption": "sugar_supply_kcal_per_capita_day_assumption",
+}
 
 
 class Views:

@@ -72,6 +72,11 @@ def _order_facts(spark: SparkSession, folder: str, level: str, grain: str) -> Da
     )
 
 
+def order_periods(spark: SparkSession, folder: str, grain: str = "year") -> DataFrame:
+    """Just the periods of the observations, for bounds: one column of a scan, nothing to shuffle."""
+    return table(spark, folder, "orders").select(period_of(F.col("o_orderdate"), grain).alias(R.PERIOD))
+
+
 def _share(facts: DataFrame, *category: Column) -> DataFrame:
     counted = facts.groupBy(R.ENTITY, R.PERIOD, *category).agg(
         F.count("*").alias("n"), F.count_if("final").alias("f")

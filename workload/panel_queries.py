@@ -78,7 +78,8 @@ def change_prev(spark, folder):
 from slice where period = (select max(period) from slice)""",
 )
 def rank_global(spark, folder):
-    latest = materialise(P.latest_snapshot(X.all_orders(spark, folder)).select(*R.KEY, "a"), "latest")
+    newest = P.latest_snapshot(X.all_orders(spark, folder), X.order_periods(spark, folder))
+    latest = materialise(newest.select(*R.KEY, "a"), "latest")
     return tidy(RK.add_ranks(latest, {"a_rank": "a"}, key=[R.ENTITY]))
 
 
@@ -160,7 +161,8 @@ where s.period = y.start_period or s.period = y.end_period""",
 )
 def bounds_cross_join(spark, folder):
     rows = X.all_orders(spark, folder).select(*R.KEY, "a")
-    bounded = rows.withColumns({"start_period": P.first_period(rows), "end_period": P.latest_period(rows)})
+    periods = X.order_periods(spark, folder)
+    bounded = rows.withColumns({"start_period": P.first_period(periods), "end_period": P.latest_period(periods)})
     return tidy(bounded.where((F.col(R.PERIOD) == F.col("start_period")) | (F.col(R.PERIOD) == F.col("end_period"))))
 
 
@@ -177,7 +179,10 @@ end_rows as (select p.* from {source} p cross join bounds y where p.period = y.e
 from end_rows e join start_rows s on e.entity = s.entity""",
 )
 def span_change(spark, folder):
-    change = materialise(P.span_change(X.all_orders(spark, folder), ["a"]), "change")
+    periods = X.order_periods(spark, folder)
+    rows = X.all_orders(spark, folder)
+    change = P.span_change(rows, ["a"], start=P.first_period(periods), end=P.latest_period(periods))
+    change = materialise(change, "change")
     return tidy(RK.add_ranks(change, {"change_rank": "a_span_change"}, key=[R.ENTITY]))
 
 
@@ -203,8 +208,8 @@ from slice e join slice s on e.entity = s.entity
 where s.period = (select min(period) from slice) and e.period = (select max(period) from slice)""",
 )
 def span_change_join(spark, folder):
-    rows = X.all_orders(spark, folder)
-    return tidy(P.slice_join(rows, "a", P.first_period(rows), P.latest_period(rows)))
+    periods = X.order_periods(spark, folder)
+    return tidy(P.slice_join(X.all_orders(spark, folder), "a", P.first_period(periods), P.latest_period(periods)))
 
 
 @add(
@@ -229,9 +234,8 @@ where f.category = 'Urgent' and m.category = 'Low' and f.period = ly.period""",
 )
 def category_gap_latest(spark, folder):
     rows = X.observations(spark, folder)
-    newest = X.table(spark, folder, "orders").select(X.period_of(F.col("o_orderdate"), "year").alias(R.PERIOD))
-    gap = P.category_gap(rows, "Urgent", "Low", "a", [R.GROUP, R.GROUP_CODE], P.latest_period(newest))
-    return tidy(gap)
+    newest = P.latest_period(X.order_periods(spark, folder))
+    return tidy(P.category_gap(rows, "Urgent", "Low", "a", [R.GROUP, R.GROUP_CODE], newest))
 
 
 # ---- aggregates ---------------------------------------------------------------------------
@@ -267,7 +271,7 @@ from observations where category = 'All orders'
 )
 def group_summary_latest(spark, folder):
     rows = C.category_slice(X.observations(spark, folder), R.CATEGORY, "All orders", [R.CATEGORY, R.CATEGORY_CODE])
-    return tidy(SM.group_range(P.latest_snapshot(rows), "a"))
+    return tidy(SM.group_range(P.latest_snapshot(rows, X.order_periods(spark, folder)), "a"))
 
 
 CORRELATION = "regr_sxy(b, a) / sqrt(nullif(regr_sxx(b, a) * regr_syy(b, a), 0))"
@@ -320,14 +324,13 @@ from panel where grp in {GROUP_LIST}""",
 )
 def kpi_formatted(spark, folder):
     rows = C.keep_groups(X.panel(spark, folder), R.GROUP, GROUPS)
-    numbers = SM.kpis(rows.select(*R.KEY, "a", "b"))
-    total = rows.agg(F.sum("b")).scalar()
+    numbers = rows.agg(*SM.kpi_aggregates(), F.sum("b").alias("total_b"))
     return numbers.select(
         F.col("latest_period").cast("string").alias("latest_period"),
         S.thousands(F.col("entities")).alias("entities"),
         S.percent_text(F.col("avg_a")).alias("avg_a"),
         F.format_string("%.2f", F.col("avg_b")).alias("avg_b"),
-        S.thousands(total).alias("total_b"),
+        S.thousands(F.col("total_b")).alias("total_b"),
     )
 
 
