@@ -396,18 +396,20 @@ state as (
     left join history h3 on h3.entity = l.entity and h3.period = l.last_period - 3)"""
 
 
+STATE_TERMS = {
+    "period": "t", "a": "a0", "a_lag_1": "a1", "a_lag_2": "a2", "a_lag_3": "a3", "a_change_1": "(a0 - a1)",
+    "a_change_3": "(a0 - a3)", "b": "b0", "b2": "c0", "b_lag_1": "b1", "b_lag_3": "b3",
+    "b_change_1": "(b0 - b1)", "b_change_3": "(b0 - b3)",
+}
+
+
 def _form_sql(form):
-    terms = {
-        "period": "t", "a": "a0", "a_lag_1": "a1", "a_lag_2": "a2", "a_lag_3": "a3", "a_change_1": "(a0 - a1)",
-        "a_change_3": "(a0 - a3)", "b": "b0", "b2": "c0", "b_lag_1": "b1", "b_lag_3": "b3",
-        "b_change_1": "(b0 - b1)", "b_change_3": "(b0 - b3)",
-    }
     effects = " ".join(f"when '{g}' then {v!r}::double" for g, v in form.group_effects.items())
-    weights = " + ".join(f"{w!r}::double * {terms[n]}" for n, w in form.weights.items())
+    weights = " + ".join(f"{w!r}::double * {STATE_TERMS[n]}" for n, w in form.weights.items())
     return f"({form.intercept!r}::double + {weights} + case grp {effects} else 0 end)"
 
 
-def recursion(form, predicts, end=END):
+def recursion(prediction, predicts, end=END):
     level = "a0 + prediction / 3" if predicts == "change" else "prediction"
     needed = ["a0", "a1", "a3"] if predicts == "change" else ["a0", "a1", "a2", "a3"]
     ramp = f"(1 + total_change * greatest(0::double, least(1::double, (t + 1 - last_period)::double / ({end} - last_period))))"
@@ -419,7 +421,7 @@ rolled as (
   union all
   select entity, name, grp, grp_code, scenario, total_change, last_period, t + 1, greatest(0::double, least(100::double, {level})),
     a0, a1, a2, b_latest * {ramp}, b0, b1, b2, c_latest * {ramp}, b_latest, c_latest, prediction
-  from (select * exclude (prediction), {_form_sql(form)} as prediction from rolled
+  from (select * exclude (prediction), {prediction} as prediction from rolled
         where t < {end} and {_complete(needed)})),
 forecast as (
   select entity, name, grp, grp_code, scenario, total_change, t as forecast_period, a0 as forecast_a, t - 1 as input_period,
@@ -428,8 +430,8 @@ forecast as (
 
 
 FORECAST_KEYS = "entity, name, grp, grp_code, scenario, total_change, forecast_period, input_period"
-CHANGE_FORECAST = (SPARSE, recursion(CHANGE_FORM, "change"))
-LEVEL_FORECAST = (SPARSE, recursion(LEVEL_FORM, "level"))
+CHANGE_FORECAST = (SPARSE, recursion(_form_sql(CHANGE_FORM), "change"))
+LEVEL_FORECAST = (SPARSE, recursion(_form_sql(LEVEL_FORM), "level"))
 EMITTED = f"emitted as (select * from forecast where forecast_period >= {EMIT})"
 
 
@@ -562,7 +564,37 @@ def topk_forecast(spark, folder):
 DENSE_END = 34  # seven quarters after the last
 
 
-@add("scenario_forecast_fitted")
+# The same standardised vectors as in training, over the recursion's state instead of a feature row.
+MOMENTS = (
+    "moments as materialized (select "
+    + ", ".join(f"avg({c}) as mean_{c}, stddev_pop({c}) as sd_{c}" for c in FE.CHANGE_NUMERIC)
+    + ", "
+    + ", ".join(f"avg(cast(grp = '{g}' as integer)) as share_{i}" for i, g in enumerate(LEVELS))
+    + f", avg({FE.CHANGE_TARGET}) as mean_target from train),\n"
+    "chosen as materialized (select model from flagged where selected_for_scenarios)"
+)
+
+
+def _state_z(column):
+    return f"(({STATE_TERMS[column]})::double - (select mean_{column} from moments)) / (select sd_{column} from moments)"
+
+
+STATE_SPAN = [_state_z(c) for c in FE.CHANGE_NUMERIC if not c.startswith("b_change")] + DUMMIES
+STATE_CENTRED = [_state_z(c) for c in FE.CHANGE_NUMERIC] + [
+    f"({d} - (select share_{i} from moments))" for i, d in enumerate(DUMMIES)
+]
+SELECTED_PREDICTION = f"""case (select model from chosen) when 'linear_regression' then {predicted(STATE_SPAN, 'ols')}
+  else {predicted(STATE_CENTRED, 'ridge')} + (select mean_target from moments) end"""
+FITTED_FORECAST = (*TRAINED, METRICS, MOMENTS, recursion(SELECTED_PREDICTION, "change", DENSE_END))
+
+
+@add(
+    "scenario_forecast_fitted",
+    with_(*FITTED_FORECAST, recursive=True)
+    + f"""select {FORECAST_KEYS}, {rounded(['forecast_a', 'predicted_change', 'annualised_change', 'b_assumption', 'b2_assumption'])},
+  (select model from chosen) as model_name, 'sugar_sensitivity_model' as model_type
+from forecast where forecast_period >= {DENSE_END - 6}""",
+)
 def scenario_forecast_fitted(spark, folder):
     """Train, select, then forecast the dense panel with the selected model folded in."""
     panel = dense_panel(spark, folder)
