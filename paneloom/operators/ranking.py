@@ -10,8 +10,7 @@ the rows are cut at value quantiles and ranked slice by slice:
   and is salted by row key. A value frequent enough to swamp a slice is always a cut itself;
 * the number of rows in all higher slices is added.
 
-Exact for any data: ties share a rank and leave a gap, NULL ranks first. A whole-table rank
-joins the one-row quantile table, the only relation here that is broadcast by hint.
+Exact for any data: ties share a rank and leave a gap, NULL ranks first.
 """
 
 from __future__ import annotations
@@ -71,11 +70,12 @@ def _split_ranks(df: DataFrame, ranks: dict[str, str], by: list[str], key: list[
 
 
 def _join_by(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
-    """Null-safe equi join that keeps the left names; one-row right sides have no columns to match."""
+    """Null-safe equi join that keeps the left names; without columns the right side is one row."""
+    if not columns:
+        one_row = right.select(F.struct("*")).scalar()
+        return left.withColumn("_row", one_row).select("*", "_row.*").drop("_row")
     renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in columns})
     matches = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in columns]
-    if not matches:
-        return left.crossJoin(F.broadcast(renamed))
     return left.join(renamed, matches).drop(*[f"_right_{c}" for c in columns])
 
 

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Tables bucketed by entity then join on (entity, period) and lag by entity without a shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -61,28 +62,38 @@ def full_refresh(
     table: str,
     root: str | None = None,
     key: Sequence[str] = (),
-    partition_by: Sequence[str] = (),
+    buckets: int | None = None,
+    bucket_by: Sequence[str] = (),
 ) -> int:
     """Replace a table's content as a whole; readers see the old rows or the new ones.
 
-    The new content is written to a folder of its own and checked there; only then is the
-    table pointed at it, one catalogue change. A failed load leaves the table as it was.
-    Returns the number of rows loaded, counted while they were written.
+    The new content is written to a folder of its own under a staging name and checked there;
+    only then is the table pointed at that folder, one catalogue change. A failed load leaves
+    the table as it was. Returns the number of rows loaded, counted while they were written.
+
+    ``buckets`` and ``bucket_by`` store the rows hashed and sorted, so that facts bucketed
+    alike by entity join, and take their lags, without moving again. A table keeps the
+    buckets of its first load.
     """
     spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{table}-{new_path(spark, 'v').rsplit('-', 1)[1]}" if root else new_path(spark, table)
+    path = f"{root.rstrip('/')}/{table}-{uuid.uuid4().hex}" if root else new_path(spark, table)
+    staging = f"{table}_{uuid.uuid4().hex}"
     loaded = Observation()
-    df.observe(loaded, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    if key:
-        require_unique_key(spark.read.parquet(path), key)
-    if spark.catalog.tableExists(table):
-        require_columns(spark.read.parquet(path), spark.table(table).columns)
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        if partition_by:
-            spark.catalog.recoverPartitions(table)
-        spark.catalog.refreshTable(table)
-    else:
-        spark.catalog.createTable(table, path=path, source="parquet")
+    writer = df.observe(loaded, F.count(F.lit(1)).alias("rows")).write.format("parquet").option("path", path)
+    if buckets:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*(key or bucket_by))
+    try:
+        writer.saveAsTable(staging)
+        if key:
+            require_unique_key(spark.table(staging), key)
+        if spark.catalog.tableExists(table):
+            require_columns(spark.table(staging), spark.table(table).columns)
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+        else:
+            spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
     return loaded.get["rows"]
 
 

@@ -33,6 +33,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/paneloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; frames read from it end here."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/paneloom/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and read it back; for inputs that several passes consume."""
     spark = df.sparkSession

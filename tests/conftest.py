@@ -8,10 +8,12 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from paneloom.session import local_session  # noqa: E402
+from paneloom.store import clear  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, shuffle_partitions=4, name="tests")
     yield session
+    clear(session)
     session.stop()

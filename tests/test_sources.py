@@ -122,6 +122,26 @@ def test_refresh_replaces_as_a_whole_and_a_failed_one_changes_nothing(spark, tmp
     assert [tuple(r) for r in spark.table(name).collect()] == [(3, "c")]
 
 
+def test_facts_bucketed_by_entity_join_and_lag_without_a_shuffle(spark, tmp_path):
+    from paneloom.operators import panel as P
+
+    for name, metric in (("bucketed_a", "a"), ("bucketed_b", "b")):
+        df = spark.range(3000).select(
+            (F.col("id") % 300).alias("entity"), F.floor(F.col("id") / 300).alias("period"), F.rand(1).alias(metric)
+        )
+        for _ in range(2):  # the second load goes through the swap
+            assert tables.full_refresh(df, name, str(tmp_path), ["entity", "period"], 8, ["entity"]) == 3000
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        panel = P.add_changes(P.panel_join(spark.table("bucketed_a"), spark.table("bucketed_b")))
+        plan = panel._jdf.queryExecution().executedPlan().toString()
+        assert panel.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Window" in plan and "Exchange" not in plan
+
+
 def test_fallback_needs_every_export(spark):
     folder = new_path(spark, "exports")
     frames = {n: spark.createDataFrame([(n,)], "source string") for n in ("one", "two")}
