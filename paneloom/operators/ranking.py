@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneloom.store import materialise
+from paneloom.store import materialise, spread
 
 SPLIT_ABOVE = 2_000_000
 
@@ -43,18 +43,26 @@ def add_ranks(
     if largest <= split_above:
         return df.withColumns({out: _plain_rank(by, m) for out, m in ranks.items()})
     pieces = math.ceil(2 * largest / split_above)
-    return _split_ranks(df, ranks, by, list(key) or df.columns, pieces)
+    return _split_ranks(spread(df), ranks, by, list(key) or df.columns, split_above, pieces)
 
 
 def _plain_rank(by: list[str], metric: str) -> Column:
     return F.rank().over(Window.partitionBy(*by).orderBy(F.desc_nulls_first(metric)))
 
 
-def _split_ranks(df: DataFrame, ranks: dict[str, str], by: list[str], key: list[str], pieces: int) -> DataFrame:
+def _split_ranks(
+    df: DataFrame, ranks: dict[str, str], by: list[str], key: list[str], split_above: int, pieces: int
+) -> DataFrame:
     metrics = sorted(set(ranks.values()))
-    sliced = _join_by(df, _quantile_cuts(df, metrics, by, pieces), by)
-    sliced = _add_slices(sliced, metrics).select(*df.columns, *[f"_slice_{m}" for m in metrics])
-    offsets = _rows_in_higher_slices(sliced, metrics, by)
+    large = df
+    if by:
+        # Only large groups are cut: there are at most rows / split_above of them.
+        large_groups = materialise(df.groupBy(*by).count().where(F.col("count") > split_above).drop("count"), "large")
+        large = _join_by(df, large_groups, by, "left_semi")
+    sliced = _join_by(df, _quantile_cuts(large, metrics, by, pieces), by, "left")
+    slices = [f"_slice_{m}" for m in metrics]
+    sliced = _add_slices(sliced, metrics).select(*df.columns, "_is_cut", *slices)
+    offsets = _rows_in_higher_slices(sliced.where("_is_cut"), metrics, by)
     for out, m in ranks.items():
         number = F.col(f"_slice_{m}")
         one_value = (number % 2) != 0
@@ -62,21 +70,21 @@ def _split_ranks(df: DataFrame, ranks: dict[str, str], by: list[str], key: list[
         within = Window.partitionBy(*by, number, salt).orderBy(F.desc_nulls_first(m))
         mine = offsets.where(F.col("_metric") == m).select(*by, F.col("_slice").alias(f"_slice_{m}"), "_higher")
         sliced = (
-            _join_by(sliced, mine, [*by, f"_slice_{m}"])
-            .withColumn(out, (F.rank().over(within) + F.col("_higher")).cast("int"))
+            _join_by(sliced, mine, [*by, f"_slice_{m}"], "left")
+            .withColumn(out, (F.rank().over(within) + F.coalesce("_higher", F.lit(0))).cast("int"))
             .drop("_higher")
         )
     return sliced.select(*df.columns, *ranks)
 
 
-def _join_by(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+def _join_by(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
     """Null-safe equi join that keeps the left names; without columns the right side is one row."""
     if not columns:
         one_row = right.select(F.struct("*")).scalar()
         return left.withColumn("_row", one_row).select("*", "_row.*").drop("_row")
     renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in columns})
     matches = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in columns]
-    return left.join(renamed, matches).drop(*[f"_right_{c}" for c in columns])
+    return left.join(renamed, matches, how).drop(*[f"_right_{c}" for c in columns])
 
 
 def _quantile_cuts(df: DataFrame, metrics: list[str], by: list[str], pieces: int) -> DataFrame:
@@ -105,7 +113,8 @@ def _quantile_cuts(df: DataFrame, metrics: list[str], by: list[str], pieces: int
 def _add_slices(df: DataFrame, metrics: list[str]) -> DataFrame:
     """Slice number per metric, counted from the highest values down.
 
-    -1 for NULL; odd for values equal to a cut; even for values between two cuts. The search
+    -1 for NULL; odd for values equal to a cut; even for values between two cuts; 0 throughout
+    for a group that is small enough to have no cuts. The search
     is in two steps (which chunk, where in the chunk), each step a column of its own so that
     it is evaluated once.
     """
@@ -125,10 +134,12 @@ def _add_slices(df: DataFrame, metrics: list[str]) -> DataFrame:
         equal = F.when(below, F.lit(0)).otherwise(
             (F.get(f"_chunk_{m}", F.col(f"_in_chunk_{m}") - 1) == value[m]).cast("int")
         )
-        slices[f"_slice_{m}"] = F.when(value[m].isNull(), F.lit(-1)).otherwise(
-            2 * (F.col(f"_n_{m}") - not_above) + equal
+        slices[f"_slice_{m}"] = (
+            F.when(F.col(f"_n_{m}").isNull(), F.lit(0))
+            .when(value[m].isNull(), F.lit(-1))
+            .otherwise(2 * (F.col(f"_n_{m}") - not_above) + equal)
         )
-    return df.withColumns(slices)
+    return df.withColumns({**slices, "_is_cut": F.col(f"_n_{metrics[0]}").isNotNull()})
 
 
 def _up_to(value: Column):

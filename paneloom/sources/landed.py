@@ -100,12 +100,6 @@ def resolve_aliases(available: Sequence[str], candidates: Mapping[str, Sequence[
     return found
 
 
-def select_aliased(df: DataFrame, candidates: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Project to the resolved columns under their target names; only metadata is read here."""
-    found = resolve_aliases(df.columns, candidates)
-    return df.select(*[F.col(f"`{source}`").alias(target) for target, source in found.items()])
-
-
 def read_long_csv(
     spark: SparkSession, path, candidates: Mapping[str, Sequence[str]], ordinal: bool = False
 ) -> DataFrame:

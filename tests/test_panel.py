@@ -91,6 +91,14 @@ def test_sliced_rank_of_nothing_but_nulls_and_null_groups(spark):
     assert out.count() == 50 and {r.r for r in out.collect()} == {1}
 
 
+def test_only_large_groups_are_cut(spark):
+    """One group holds a third of all rows, the others a few each."""
+    rows = [(i, 0 if i % 3 == 0 else i // 6, float(i % 17) if i % 5 else None) for i in range(1200)]
+    df = materialise(spark.createDataFrame(rows, "entity int, period int, a double"))
+    plain = df.withColumn("r", F.rank().over(Window.partitionBy("period").orderBy(F.desc_nulls_first("a"))))
+    assert same(RK.add_ranks(df, {"r": "a"}, ["period"], ["entity"], split_above=50), plain)
+
+
 def test_nulls_rank_first(spark):
     df = materialise(spark.createDataFrame([(1, 5.0), (2, None), (3, 9.0)], "entity int, a double"))
     assert {r.entity: r.r for r in RK.add_ranks(df, {"r": "a"}).collect()} == {2: 1, 3: 2, 1: 3}

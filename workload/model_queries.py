@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paneloom import roles as R
-from paneloom.operators import clean as C
 from paneloom.operators import evaluation as EV
 from paneloom.operators import features as FE
 from paneloom.operators import models as M

@@ -356,6 +356,11 @@ def distinct_options(spark, folder):
     return tidy(C.options(X.panel(spark, folder), R.ENTITY, R.NAME))
 
 
+@add("distinct_groups", with_(PANEL) + "select distinct grp from panel where period = (select max(period) from panel) order by grp")
+def distinct_groups(spark, folder):
+    return SM.distinct_values(P.latest_snapshot(stored_panel(spark, folder)), R.GROUP)
+
+
 @add(
     "label_options",
     """select r_name, n_name, n_name || ' (' || cast(n_nationkey as varchar) || ')' as label, count(*) as customers
