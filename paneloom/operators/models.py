@@ -68,10 +68,7 @@ def ridge(target: str, train: DataFrame, alpha: float = 1.0) -> LinearRegression
 
 
 def forest(target: str, trees: int = 300, depth: int = 10, seed: int = 42) -> RandomForestRegressor:
-    """All features at every split. The level model's default depth is 12, the change model's 10.
-
-    The statistics buffer keeps its default size: it is held per task, not per executor.
-    """
+    """All features at every split. The level model's default depth is 12, the change model's 10."""
     return RandomForestRegressor(
         featuresCol="_features", labelCol=target, predictionCol="prediction", numTrees=trees, maxDepth=depth,
         featureSubsetStrategy="all", seed=seed,
@@ -79,6 +76,7 @@ def forest(target: str, trees: int = 300, depth: int = 10, seed: int = 42) -> Ra
 
 
 SMALL_TRAINING_SET = 1_000_000
+SMALL_SET_BUFFER_MB = 48
 
 
 def fit_all(estimators: Mapping[str, object], train: DataFrame, numeric: Sequence[str]) -> dict[str, PipelineModel]:
@@ -95,6 +93,8 @@ def fit_all(estimators: Mapping[str, object], train: DataFrame, numeric: Sequenc
         inputs = train
         if isinstance(estimator, RandomForestRegressor) and rows < SMALL_TRAINING_SET:
             inputs = train.repartition(train.sparkSession.sparkContext.defaultParallelism, *R.KEY)
+            # Split statistics are buffered per task. Over few rows another pass costs less than memory.
+            estimator = estimator.copy({estimator.maxMemoryInMB: SMALL_SET_BUFFER_MB})
         fitted = estimator.fit(prepared.transform(inputs).select("_features", estimator.getLabelCol()))
         models[name] = PipelineModel(stages=[*prepared.stages, fitted])
     return models
