@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneloom.llm import langid, quality
+from paneloom.llm import langid, mixing, packing, quality, sharding, warc
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -74,3 +74,95 @@ from m
 def line_quality(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.clean_lines(table(spark, folder, "documents"))
     return judged.select("row.doc_id", *quality.MEASURES[:5], "base_failed", "kept")
+
+
+@query("op3_shards")
+def shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shuffle_into_shards(table(spark, folder, "documents"), 8, seed=3)
+    text = F.col("row.text").cast("binary")
+    return placed.select(
+        "row.doc_id",
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint").alias("size"),
+        F.crc32(F.coalesce(text, F.lit(b"").cast("binary"))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+WARC_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as payload, encode(coalesce(html, '')) as bytes from pages
+), s as (
+  select page_id, payload, octet_length(bytes)::bigint as payload_bytes, sha1(bytes) as hex,
+    max(page_id) over (partition by payload) as last from p
+)
+select page_id, payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::bigint >> (15 - 5 * (i % 4)))) & 31)::int + 1, 1)), 'string_agg', '') as payload_digest,
+  case when page_id = last then 'response' else 'revisit' end as record_type,
+  case when page_id <> last then last end as refers_to
+from s
+"""
+
+
+@query("op4_archive", WARC_SQL)
+def archive(spark: SparkSession, folder: str) -> DataFrame:
+    written = warc.write_archive(table(spark, folder, "pages"))
+    return warc.read_archive(spark, written).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+@query("op1_hilbert_packing")
+def hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(packing.tokenize(table(spark, folder, "documents"), vocabulary()))
+    return pieces.select(
+        "row.doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+MIXING_SQL = r"""
+with d as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+    greatest(0.05::double, coalesce(1 - 4.0::double * (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g'))) / nullif(length(text), 0), 0)) as quality,
+    ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint as bits
+  from documents
+), keyed as (
+  select *, -ln((bits::double + 0.5) / 4503599627370496.0::double) / quality as key from d
+), sizes as (
+  select source, sum(size)::bigint as source_size from d group by source
+), weighed as (
+  select *, [5, 2, 1][(no % 3 + 1)::int]::double as weight, 2.0::double * source_size as cap
+  from (select *, row_number() over (order by source nulls last) - 1 as no from sizes)
+), levels as (
+  select *, cap / weight as ratio, (1.5::double * sum(source_size) over () - coalesce(sum(cap) over lower, 0)) / sum(weight) over upper as level
+  from weighed window lower as (order by cap / weight, no rows between unbounded preceding and 1 preceding),
+    upper as (order by cap / weight, no rows between current row and unbounded following)
+), targets as (
+  select source, source_size, coalesce(least(cap, weight * max(level) over ()), cap) as target from levels
+), ordered as (
+  select k.doc_id, k.size, t.source_size, t.target, coalesce(floor(target / nullif(source_size, 0)), 0)::bigint as epochs,
+    coalesce(sum(size) over (partition by k.source order by key rows between unbounded preceding and 1 preceding), 0) as before
+  from keyed k join targets t on k.source is not distinct from t.source
+)
+select doc_id, size, source_size, round(target, 6) as target,
+  ((epochs + case when size > 0 and before + size / 2.0 <= target - epochs * source_size then 1 else 0 end) * size)::bigint as taken
+from ordered
+"""
+
+
+@query("op9_source_mix", MIXING_SQL)
+def source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, folder, "documents"))
+    return mixed.select("row.doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
