@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneloom.llm import langid, mixing, packing, quality, sharding, warc
+from paneloom.llm import html_text, langid, licenses, mixing, packing, quality, sharding, topk, warc
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -166,3 +166,37 @@ from ordered
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, folder, "documents"))
     return mixed.select("row.doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+TOP_K_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as code from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), s as (
+  select q.vec_id as query_id, v.vec_id, list_inner_product(q.code, v.code)::bigint as score
+  from v q join v on q.vec_id % 50 = 0 and q.vec_id <> v.vec_id and len(q.code) = len(v.code)
+), r as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score from s
+)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 5
+"""
+
+
+@query("op6_block_topk", TOP_K_SQL)
+def block_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op10_main_text")
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_text(table(spark, folder, "pages")).select(
+        "row.page_id", "row.url", "text", F.char_length("text").cast("bigint").alias("n_chars")
+    )
+
+
+@query("op8_licenses")
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = licenses.scan_licences(docs, licenses.fit_licences(docs))
+    return found.select("row.doc_id", "paragraph", "family", F.round("probability", 6).alias("probability"), "similarity", "confirmed", "text")
