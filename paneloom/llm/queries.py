@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneloom.llm import html_text, langid, licenses, mixing, packing, quality, sharding, topk, warc
+from paneloom.llm import html_text, jaccard, langid, licenses, mixing, packing, quality, sharding, topk, warc
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -200,3 +200,9 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = licenses.scan_licences(docs, licenses.fit_licences(docs))
     return found.select("row.doc_id", "paragraph", "family", F.round("probability", 6).alias("probability"), "similarity", "confirmed", "text")
+
+
+@query("op7_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.jaccard_components(table(spark, folder, "documents"), width=4, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
