@@ -39,11 +39,15 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` once and read it back; for inputs that several passes consume."""
+def materialise(df: DataFrame, label: str = "table", compression: str | None = None) -> DataFrame:
+    """Write ``df`` once and read it back; for inputs that several passes consume.
+
+    ``compression`` names a codec other than the session's, for wide tables that are read once or twice.
+    """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    (writer.option("compression", compression) if compression else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
