@@ -39,7 +39,7 @@ CUT = 0.2
 #: Length up to which a posting list is merged.
 MERGED = 16
 #: Shingles in a chunk of a group, about (8 bytes each).
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -311,7 +311,9 @@ def _links(members: DataFrame, docs: DataFrame, width: int, limit: Threshold) ->
     ends = F.explode(F.array_distinct(F.array("i", "j")))
     by_chunk = cells.select("c", "i", "j", ends.alias("k"))
 
-    source = docs.join(chunked.select(F.col("id").alias("member"), "component", "chunk"), F.col("id") == F.col("member"))
+    # The members grow with the documents: this join is a sort-merge join at every size.
+    wanted = chunked.select(F.col("id").alias("member"), "component", "chunk").hint("merge")
+    source = docs.join(wanted, F.col("id") == F.col("member"))
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -374,7 +376,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = materialise(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("first_id")), "classes")
     firsts = classes.where("first_id is not null").select("n", "s1", "s2", F.col("first_id").alias("id")).distinct()
     # One set per class goes on; repeated rows of the first id are the same set.
-    chosen = sets.where("n > 0").join(firsts, ["n", "s1", "s2", "id"], "left_semi")
+    chosen = sets.where("n > 0").join(firsts.hint("merge"), ["n", "s1", "s2", "id"], "left_semi")
     pieces = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     postings = _postings(chosen).repartition(pieces, "h").sortWithinPartitions("h", "id")
     lists = materialise(_scan_lists(postings, limit), "lists")
