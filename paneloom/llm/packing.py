@@ -27,8 +27,8 @@ from paneloom.store import materialise
 #: Of the curve: dimensions and bits each.
 DIMENSIONS = 3
 BITS = 12
-#: Words whose ids a worker keeps at hand, about 130 MB; then it starts anew.
-KEPT_WORDS = 1 << 22
+#: Words whose ids a worker keeps at hand, about 70 MB; then it starts anew.
+KEPT_WORDS = 1 << 21
 
 
 class WordIds:
@@ -225,7 +225,7 @@ def pack(tokens: DataFrame, length: int = 1024) -> DataFrame:
     left behind the last full sequence is cut into powers of two, the largest first, so nothing
     is padded. Every document lies in consecutive pieces; an empty table gives none.
     """
-    stored = materialise(tokens, "tokens")
+    stored = materialise(tokens, "tokens", "zstd")
     placed = running_totals(stored.select("no", "position", "n"), [], ["position", "no"], "n")
     total = stored.agg(F.sum("n")).first()[0] or 0
     full = total - total % length
