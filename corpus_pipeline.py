@@ -17,7 +17,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``lang`` becomes the predicted language; documents outside all centroids' radius go."""
-    model = langid.fit_languages(docs.where(langid.learnable()), order=F.xxhash64("doc_id"))
+    model = langid.fit_languages(docs.where(langid.learnable()), order=F.col("doc_id"))
     return langid.accepted_documents(docs, model)
 
 

@@ -34,8 +34,8 @@ from paneloom.llm.components import connected_components
 from paneloom.llm.ordering import running_totals
 from paneloom.store import materialise
 
-#: Share of all hashes that lie below the cut.
-CUT = 0.2
+#: The cut lies above the prefixes' share of a set by this factor, so that most sets have a prefix below it.
+ABOVE_PREFIX = 4 / 3
 #: Length up to which a posting list is merged.
 MERGED = 16
 #: Shingles in a chunk of a group, about (8 bytes each).
@@ -83,7 +83,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def _summarise(source: DataFrame, width: int, limit: Threshold) -> DataFrame:
     """Per row (id, text): size, a 128-bit identity of the set, and its posted hashes in order."""
-    below = np.uint64(int(CUT * 2**64))
+    below = np.uint64(int(ABOVE_PREFIX * (100 - limit.percent) / 100 * 2**64) if limit.percent > 25 else 2**64 - 1)
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,7 +219,7 @@ def _candidate_edges(lists: DataFrame, limit: Threshold) -> DataFrame:
     def reaches(side: str) -> Column:
         n, under = F.col(f"n{side}"), F.col(f"u{side}")
         t = F.ceil((F.col("nx") + F.col("ny")) * p / F.lit(100 + p))
-        merged = F.when(under > prefix(n), under - F.coalesce(f"l{side}", F.lit(0))).otherwise(0)
+        merged = F.greatest(F.lit(0), under - F.coalesce(f"l{side}", F.lit(0)))  # at least so many lists below the cut
         return F.col("shared") >= t - (n - merged)
 
     by_pair = pairs.where(reaches("x") & reaches("y")).select(F.col("x").alias("a"), F.col("y").alias("b"))

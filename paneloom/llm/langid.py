@@ -93,16 +93,21 @@ def fit_languages(
     radius_scale: float = 1.25,
     least_radius: float = 0.95,
 ) -> LanguageModel:
-    """Fit on at most ``per_language`` labelled texts of each language, chosen by ``order`` (a hash).
+    """Fit on at most ``per_language`` labelled texts of each language, chosen by a hash of ``order`` and text.
 
     ``per_language`` bounds the sample, and with it all that reaches the driver: one vector of
     document frequencies per task and the centroids. Rows without text or language are left
     out. A radius is ``radius_scale`` times the largest distance in the sample's cluster and
     ``least_radius`` at least (up to 1: cosines are not negative).
     """
-    order = F.xxhash64(F.col(text)) if order is None else order
+    order = F.lit(0) if order is None else order
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), order.alias("pick")).dropna(subset=["text", "lang"])
-    ranked = rows.withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("pick", F.md5("text"))))
+    # Rows whose number is too high to be among the first go before the texts are moved: a language
+    # of n rows keeps about four times the sample, whose chance to miss one of the first is nil.
+    numbered = rows.withColumn("draw", F.shiftrightunsigned(F.xxhash64("pick", "text"), 1) / F.lit(2.0**63))
+    sizes = rows.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("rows"))
+    near = numbered.join(sizes, F.col("lang") == F.col("of")).where(F.col("draw") * F.col("rows") <= 4 * per_language + 50)
+    ranked = near.withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("draw", F.md5("text"))))
     sample = materialise(ranked.where(F.col("no") <= per_language).select("text", "lang"), "languages")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -141,7 +141,12 @@ def fit_licences(
     ``order``), without those that hold half of a template; with null or no texts the templates'
     own words alone stand for them. Every fifth row is held back to fit the temperature.
     """
-    picked = docs.select(F.col(text).cast("string").alias("text"), F.xxhash64(order).alias("pick")).dropna().orderBy("pick", F.md5("text")).limit(background)
+    texts = docs.select(F.col(text).cast("string").alias("text"), F.col(order).alias("of")).where("text is not null")
+    rows = texts.count()
+    # About four times the sample goes on to be sorted, whatever the number of texts.
+    draw = F.shiftrightunsigned(F.xxhash64("of", "text"), 1) / F.lit(2.0**63)
+    near = texts.withColumn("draw", draw).where(F.col("draw") * rows <= 4 * background + 50)
+    picked = near.orderBy("draw", F.md5("text")).limit(background)
     sample = [r.text for r in materialise(picked.select("text"), "licences").collect()]
     families = (*sorted(TEMPLATES), UNKNOWN)
     rng = np.random.default_rng(seed)

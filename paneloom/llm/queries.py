@@ -28,7 +28,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("op2_language_id")
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    model = langid.fit_languages(docs.where(langid.learnable()), order=F.xxhash64("doc_id"))
+    model = langid.fit_languages(docs.where(langid.learnable()), order=F.col("doc_id"))
     return langid.predict_languages(docs, model).select(
         "row.doc_id", (~langid.learnable("row.doc_id")).alias("held_out"), "lang_pred", "score", "rejected"
     )
