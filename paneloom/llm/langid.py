@@ -105,7 +105,8 @@ def fit_languages(
     # Rows whose number is too high to be among the first go before the texts are moved: a language
     # of n rows keeps about four times the sample, whose chance to miss one of the first is nil.
     numbered = rows.withColumn("draw", F.shiftrightunsigned(F.xxhash64("pick", "text"), 1) / F.lit(2.0**63))
-    sizes = rows.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("rows"))
+    # Stored, so that the planner sees one short row per language and leaves the texts where they are.
+    sizes = materialise(rows.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("rows")), "language-sizes")
     near = numbered.join(sizes, F.col("lang") == F.col("of")).where(F.col("draw") * F.col("rows") <= 4 * per_language + 50)
     ranked = near.withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("draw", F.md5("text"))))
     sample = materialise(ranked.where(F.col("no") <= per_language).select("text", "lang"), "languages")

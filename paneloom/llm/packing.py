@@ -47,6 +47,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.feed = self._plain(["\n"])[0].tolist()
+        self.stored = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self._forget()
 
     @classmethod
@@ -191,7 +192,9 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def tokenize(docs: DataFrame, vocabulary: str, keep: Sequence[str] = ("doc_id",), text: str = "text", end_id: int = 0) -> DataFrame:
-    """(row, no, position, n, ids): ids of every whole text with ``end_id`` behind, little-endian 32-bit.
+    """(row, no, position, n, ids): ids of every whole text with ``end_id`` behind, little-endian.
+
+    An id takes 16 bits if the vocabulary and ``end_id`` fit, else 32; octet_length(ids) / n tells.
 
     ``vocabulary`` is the path of a byte-level BPE for the tokenizers library, the same on every
     executor. A null text is empty and has the end id alone. ``position`` is on the curve.
@@ -207,8 +210,9 @@ def tokenize(docs: DataFrame, vocabulary: str, keep: Sequence[str] = ("doc_id",)
                 ids, counts = words.encode(part.column(2))
                 position = hilbert(project(ids, counts))
                 ends = np.cumsum(counts)
-                ended = np.insert(ids.astype("<u4"), ends, np.uint32(end_id))
-                offsets = np.concatenate([[0], np.cumsum(counts + 1) * 4]).astype(np.int64)
+                kind = np.dtype(words.stored if end_id < 1 << 16 else "<u4")
+                ended = np.insert(ids.astype(kind), ends, kind.type(end_id))
+                offsets = np.concatenate([[0], np.cumsum(counts + 1) * kind.itemsize]).astype(np.int64)
                 blobs = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(ended.tobytes())])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(position), pa.array(counts + 1), blobs.cast(pa.binary())],
@@ -223,7 +227,7 @@ def pack(tokens: DataFrame, length: int = 1024) -> DataFrame:
 
     Curve order makes one long stream of tokens, cut every ``length`` (a power of two). What is
     left behind the last full sequence is cut into powers of two, the largest first, so nothing
-    is padded. Every document lies in consecutive pieces; an empty table gives none.
+    is padded. ``ids`` are 32-bit here. Every document lies in consecutive pieces; an empty table gives none.
     """
     stored = materialise(tokens, "tokens", "zstd")
     placed = running_totals(stored.select("no", "position", "n"), [], ["position", "no"], "n")
@@ -252,9 +256,15 @@ def pack(tokens: DataFrame, length: int = 1024) -> DataFrame:
         high = F.least(start_of(sequence + 1), end)
         return F.struct(
             sequence.alias("sequence_id"), (low - start_of(sequence)).alias("offset"), (low - begin).alias("start"), (high - low).alias("length"),
-            F.substring("ids", ((low - begin) * 4 + 1).cast("int"), ((high - low) * 4).cast("int")).alias("ids"),
+            wide(F.substring("ids", ((low - begin) * size + 1).cast("int"), ((high - low) * size).cast("int"))).alias("ids"),
         )
 
+    size = F.floor(F.octet_length("ids") / F.col("n"))
+
+    def wide(ids):
+        """32-bit ids; of 16-bit ones, every two bytes get two zero bytes behind them."""
+        return F.when(size == 4, ids).otherwise(F.unhex(F.regexp_replace(F.hex(ids), "(.{4})", F.lit("$10000"))))
+
     where = placed.select(F.col("no").alias("of"), "before")
     pieces = F.transform(F.sequence(sequence_of(begin), sequence_of(end - 1)), piece)
     return (
