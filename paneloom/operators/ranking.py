@@ -1,160 +1,64 @@
-"""Descending ranks over whole snapshots or over the rows of a period, at any size.
+"""Descending ranks over whole snapshots or over the rows of a period, at any size and for any type.
 
-A plain ``RANK() OVER (PARTITION BY period ...)`` sorts a whole period in one task. That is
-fine while a period is small, and it is what happens here below ``split_above`` rows. Beyond,
-the rows are cut at value quantiles and ranked slice by slice:
+A plain ``RANK() OVER (PARTITION BY period ...)`` sorts a whole period in one task. Here the
+distinct values are ranked instead of the rows:
 
-* the cuts are quantiles taken once and written out, so every pass sees the same ones;
-* values strictly between two cuts form a slice that is ranked on its own;
-* values equal to a cut (and NULLs) all share one rank, so that slice needs no common task
-  and is salted by row key. A value frequent enough to swamp a slice is always a cut itself;
-* the number of rows in all higher slices is added.
+* rows are counted per (group, value), so ties and hot values vanish map-side;
+* those counts are range-partitioned by (group, value) and stored, so that the borders cannot
+  move; running sums inside a partition and one small table of totals give every value's rank;
+* the rank is joined back on (group, value), null-safe, where a hot value's rows may be split.
 
-Exact for any data: ties share a rank and leave a gap, NULL ranks first.
+The metric is compared as it is, never converted: ties share a rank and leave a gap, NULL ranks
+first, then NaN. Ranks are bigint.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneloom.store import materialise, spread
+from paneloom.store import materialise
 
-SPLIT_ABOVE = 2_000_000
 
-
-def add_ranks(
-    df: DataFrame,
-    ranks: dict[str, str],
-    by: Sequence[str] = (),
-    key: Sequence[str] = (),
-    split_above: int = SPLIT_ABOVE,
-) -> DataFrame:
+def add_ranks(df: DataFrame, ranks: dict[str, str], by: Sequence[str] = ()) -> DataFrame:
     """Add ``{rank column: metric}`` ranks, highest metric first, within each ``by`` group.
 
-    ``df`` is read several times; pass a stored table. ``key`` spreads equal values and
-    defaults to all columns.
+    ``df`` is read once more per metric; pass a stored table.
     """
     by = list(by)
-    largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if largest <= split_above:
-        return df.withColumns({out: _plain_rank(by, m) for out, m in ranks.items()})
-    pieces = math.ceil(2 * largest / split_above)
-    return _split_ranks(spread(df), ranks, by, list(key) or df.columns, split_above, pieces)
-
-
-def _plain_rank(by: list[str], metric: str) -> Column:
-    return F.rank().over(Window.partitionBy(*by).orderBy(F.desc_nulls_first(metric)))
-
-
-def _split_ranks(
-    df: DataFrame, ranks: dict[str, str], by: list[str], key: list[str], split_above: int, pieces: int
-) -> DataFrame:
-    metrics = sorted(set(ranks.values()))
-    large = df
-    if by:
-        # Only large groups are cut: there are at most rows / split_above of them.
-        large_groups = materialise(df.groupBy(*by).count().where(F.col("count") > split_above).drop("count"), "large")
-        large = _join_by(df, large_groups, by, "left_semi")
-    sliced = _join_by(df, _quantile_cuts(large, metrics, by, pieces), by, "left")
-    slices = [f"_slice_{m}" for m in metrics]
-    sliced = _add_slices(sliced, metrics).select(*df.columns, "_is_cut", *slices)
-    offsets = _rows_in_higher_slices(sliced.where("_is_cut"), metrics, by)
-    for out, m in ranks.items():
-        number = F.col(f"_slice_{m}")
-        one_value = (number % 2) != 0
-        salt = F.when(one_value, F.pmod(F.xxhash64(*key), F.lit(pieces))).otherwise(F.lit(0))
-        within = Window.partitionBy(*by, number, salt).orderBy(F.desc_nulls_first(m))
-        mine = offsets.where(F.col("_metric") == m).select(*by, F.col("_slice").alias(f"_slice_{m}"), "_higher")
-        sliced = (
-            _join_by(sliced, mine, [*by, f"_slice_{m}"], "left")
-            .withColumn(out, (F.rank().over(within) + F.coalesce("_higher", F.lit(0))).cast("int"))
-            .drop("_higher")
-        )
-    return sliced.select(*df.columns, *ranks)
-
-
-def _join_by(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
-    """Null-safe equi join that keeps the left names; without columns the right side is one row."""
-    if not columns:
-        one_row = right.select(F.struct("*")).scalar()
-        return left.withColumn("_row", one_row).select("*", "_row.*").drop("_row")
-    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in columns})
-    matches = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in columns]
-    return left.join(renamed, matches, how).drop(*[f"_right_{c}" for c in columns])
-
-
-def _quantile_cuts(df: DataFrame, metrics: list[str], by: list[str], pieces: int) -> DataFrame:
-    """Ascending distinct quantiles per group, stored as about sqrt(n) chunks for a short search."""
-    share = [i / pieces for i in range(1, pieces)] or [0.5]
-    accuracy = max(10_000, 4 * pieces)
-    found = df.groupBy(*by).agg(
-        *[F.percentile_approx(F.col(m).cast("double"), share, accuracy).alias(f"_cuts_{m}") for m in metrics]
-    )
-    width = max(1, math.isqrt(len(share)))
-    for m in metrics:
-        cuts = F.array_sort(F.array_distinct(F.coalesce(F.col(f"_cuts_{m}"), F.array().cast("array<double>"))))
-        found = found.withColumn(f"_cuts_{m}", cuts)
-        size = F.size(f"_cuts_{m}")
-        starts = F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)), F.lit(width)), lambda i: i < size)
-        found = found.withColumns(
-            {
-                f"_n_{m}": size,
-                f"_heads_{m}": F.transform(starts, lambda i: F.get(F.col(f"_cuts_{m}"), i)),
-                f"_chunks_{m}": F.transform(starts, lambda i: F.slice(F.col(f"_cuts_{m}"), i + 1, width)),
-            }
-        ).drop(f"_cuts_{m}")
-    return materialise(found, "cuts")
-
-
-def _add_slices(df: DataFrame, metrics: list[str]) -> DataFrame:
-    """Slice number per metric, counted from the highest values down.
-
-    -1 for NULL; odd for values equal to a cut; even for values between two cuts; 0 throughout
-    for a group that is small enough to have no cuts. The search
-    is in two steps (which chunk, where in the chunk), each step a column of its own so that
-    it is evaluated once.
-    """
-    value = {m: F.col(m).cast("double") for m in metrics}
-    df = df.withColumns(
-        {f"_chunk_no_{m}": F.size(F.filter(f"_heads_{m}", _up_to(value[m]))) - 1 for m in metrics}
-    )
-    df = df.withColumns({f"_chunk_{m}": F.get(f"_chunks_{m}", F.col(f"_chunk_no_{m}")) for m in metrics})
-    df = df.withColumns(
-        {f"_in_chunk_{m}": F.size(F.filter(f"_chunk_{m}", _up_to(value[m]))) for m in metrics}
-    )
-    slices = {}
-    for m in metrics:
-        width = F.size(F.get(f"_chunks_{m}", F.lit(0)))
-        below = F.col(f"_chunk_no_{m}") < 0
-        not_above = F.when(below, F.lit(0)).otherwise(F.col(f"_chunk_no_{m}") * width + F.col(f"_in_chunk_{m}"))
-        equal = F.when(below, F.lit(0)).otherwise(
-            (F.get(f"_chunk_{m}", F.col(f"_in_chunk_{m}") - 1) == value[m]).cast("int")
-        )
-        slices[f"_slice_{m}"] = (
-            F.when(F.col(f"_n_{m}").isNull(), F.lit(0))
-            .when(value[m].isNull(), F.lit(-1))
-            .otherwise(2 * (F.col(f"_n_{m}") - not_above) + equal)
-        )
-    return df.withColumns({**slices, "_is_cut": F.col(f"_n_{metrics[0]}").isNotNull()})
-
-
-def _up_to(value: Column):
-    return lambda cut: cut <= value
-
-
-def _rows_in_higher_slices(sliced: DataFrame, metrics: list[str], by: list[str]) -> DataFrame:
-    """Rows above each occupied slice; one counting pass for all metrics, a few rows per group."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("_metric"), F.col(f"_slice_{m}").alias("_slice")) for m in metrics]))
-    counts = (
-        sliced.select(*by, pairs.alias("_pair"))
-        .groupBy(*by, "_pair._metric", "_pair._slice")
-        .agg(F.count("*").alias("_rows"))
+    out = df
+    for metric in dict.fromkeys(ranks.values()):
+        named = [name for name, m in ranks.items() if m == metric]
+        out = _with_value_ranks(out, _value_ranks(df, metric, by), metric, by, named)
+    return out.select(*df.columns, *ranks)
+
+
+def _value_ranks(df: DataFrame, metric: str, by: list[str]) -> DataFrame:
+    """(_by_0, ..., _value, _rank) for the distinct values of every group."""
+    groups = [f"_by_{i}" for i in range(len(by))]
+    counts = df.groupBy(*[F.col(c).alias(g) for c, g in zip(by, groups, strict=True)], F.col(metric).alias("_value")).agg(
+        F.count("*").alias("_rows")
     )
-    above = Window.partitionBy(*by, "_metric").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    return materialise(
-        counts.withColumn("_higher", F.coalesce(F.sum("_rows").over(above), F.lit(0))).drop("_rows"), "offsets"
+    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    descending = F.desc_nulls_first("_value")
+    placed = materialise(
+        counts.repartitionByRange(pieces, *groups, descending).withColumn("_part", F.spark_partition_id()), "values"
     )
+    higher = Window.partitionBy("_part", *groups).orderBy(descending).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        placed.groupBy("_part", *groups).agg(F.sum("_rows").alias("_total"))
+        .withColumn("_carried", F.coalesce(F.sum("_total").over(before), F.lit(0))).drop("_total")
+        .withColumnsRenamed({c: f"{c}_of" for c in ["_part", *groups]})
+    )
+    matches = [F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in ["_part", *groups]]
+    inside = placed.withColumn("_higher", F.coalesce(F.sum("_rows").over(higher), F.lit(0)))
+    return inside.join(totals, matches).select(*groups, "_value", (F.col("_higher") + F.col("_carried") + 1).alias("_rank"))
+
+
+def _with_value_ranks(df: DataFrame, values: DataFrame, metric: str, by: list[str], named: list[str]) -> DataFrame:
+    matches = [F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)]
+    joined = df.join(values, [*matches, F.col(metric).eqNullSafe(F.col("_value"))])
+    return joined.select(*df.columns, *[F.col("_rank").alias(name) for name in named])

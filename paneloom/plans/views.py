@@ -91,11 +91,11 @@ class Views:
 
     def obesity_latest_country(self) -> DataFrame:
         latest = materialise(panel.latest_snapshot(self._slice), "latest")
-        return SPEC.from_roles(ranking.add_ranks(latest, {"a_rank": "a"}, key=[R.ENTITY]), {"a_rank": "obesity_rank"})
+        return SPEC.from_roles(ranking.add_ranks(latest, {"a_rank": "a"}), {"a_rank": "obesity_rank"})
 
     def obesity_country_change(self) -> DataFrame:
         change = materialise(panel.span_change(self._slice, ["a"], [R.GROUP, R.GROUP_CODE]), "change")
-        ranked = ranking.add_ranks(change, {"rank": "a_span_change"}, key=[R.ENTITY])
+        ranked = ranking.add_ranks(change, {"rank": "a_span_change"})
         return SPEC.from_roles(ranked, {**_BOUNDS, **_SPAN_A, "rank": "increase_rank"})
 
     def obesity_region_summary_latest(self) -> DataFrame:
@@ -119,7 +119,7 @@ class Views:
         return SPEC.from_roles(gap, names)
 
     def sugar_obesity_country_year(self) -> DataFrame:
-        ranked = ranking.add_ranks(self._panel, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD], [R.ENTITY])
+        ranked = ranking.add_ranks(self._panel, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD])
         order = [R.ENTITY, R.NAME, R.PERIOD, "a", R.METRIC_A_LOW, R.METRIC_A_HIGH, "b", "b2", R.GROUP, R.GROUP_CODE]
         return SPEC.from_roles(ranked.select(*order, *_PANEL), _PANEL)
 
@@ -138,7 +138,7 @@ class Views:
 
     def sugar_obesity_country_change(self) -> DataFrame:
         change = panel.span_change(self._panel, ["a", "b"], [R.NAME, R.GROUP, R.GROUP_CODE])
-        ranked = ranking.add_ranks(materialise(change, "change"), {"rank": "a_span_change"}, key=[R.ENTITY])
+        ranked = ranking.add_ranks(materialise(change, "change"), {"rank": "a_span_change"})
         return SPEC.from_roles(ranked, {**_BOUNDS, **_SPAN_A, **_SPAN_B, "rank": "obesity_increase_rank"})
 
     def ml_obesity_features(self) -> DataFrame:

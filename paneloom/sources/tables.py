@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -73,9 +74,17 @@ def full_refresh(
 
     ``buckets`` and ``bucket_by`` store the rows hashed and sorted, so that facts bucketed
     alike by entity join, and take their lags, without moving again. A table keeps the
-    buckets of its first load.
+    buckets of its first load: they are used again if none are given, and others are refused,
+    as are columns of other types. The files of the content before, or of a load that failed,
+    are deleted.
     """
     spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    if exists:
+        kept, before = _layout(spark, table)
+        if buckets and (buckets, tuple(bucket_by)) != kept:
+            raise ContractError(f"{table} has buckets {kept}, not {(buckets, tuple(bucket_by))}")
+        buckets, bucket_by = kept
     path = f"{root.rstrip('/')}/{table}-{uuid.uuid4().hex}" if root else new_path(spark, table)
     staging = f"{table}_{uuid.uuid4().hex}"
     loaded = Observation()
@@ -86,17 +95,42 @@ def full_refresh(
         writer.saveAsTable(staging)
         if key:
             require_unique_key(spark.table(staging), key)
-        if spark.catalog.tableExists(table):
-            require_columns(spark.table(staging), spark.table(table).columns)
+        if exists:
+            _require_types(spark.table(staging), spark.table(table))
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
         else:
             spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-    finally:
+    except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        _delete(spark, path)
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    if exists:
+        _delete(spark, before)
     return loaded.get["rows"]
 
 
+def _layout(spark: SparkSession, table: str) -> tuple[tuple[int | None, tuple[str, ...]], str]:
+    """The table's buckets (number, columns) and its folder."""
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    columns = tuple(re.findall(r"`([^`]+)`", told.get("Bucket Columns", "")))
+    return (int(told["Num Buckets"]) if columns else None, columns), told["Location"]
+
+
+def _require_types(new: DataFrame, old: DataFrame) -> None:
+    require_columns(new, old.columns)
+    types = dict(new.dtypes)
+    changed = [f"{c}: {types[c]} for {kind}" for c, kind in old.dtypes if types[c] != kind]
+    if changed or len(new.columns) != len(old.columns):
+        raise ContractError(f"columns of the load differ from the table's: {', '.join(changed) or sorted(set(new.columns) - set(old.columns))}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def export_views(views: Mapping[str, DataFrame], folder: str, fmt: str = "csv") -> dict[str, int]:
     """Every view to its own folder; returns rows written per view, counted on the way."""
     written = {}

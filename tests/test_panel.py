@@ -68,35 +68,47 @@ def test_row_and_calendar_offsets_differ_at_gaps(spark):
 
 
 @pytest.mark.parametrize("by", [[], ["period"]])
-@pytest.mark.parametrize("split_above", [5, 40])
-def test_sliced_rank_equals_rank(panel, by, split_above):
+def test_value_rank_equals_rank(panel, by):
     ranks = {"ra": "a", "rb": "b"}
     plain = panel.withColumns(
         {o: F.rank().over(Window.partitionBy(*by).orderBy(F.desc_nulls_first(m))) for o, m in ranks.items()}
     )
-    assert same(RK.add_ranks(panel, ranks, by, ["entity", "period"], split_above), plain)
+    assert same(RK.add_ranks(panel, ranks, by), plain)
 
 
-def test_sliced_rank_with_one_value_holding_most_rows(spark):
+def test_rank_with_one_value_holding_most_rows(spark):
     rows = [(i, 7.0 if i % 3 else float(i)) for i in range(900)] + [(i, None) for i in range(900, 1000)]
     df = materialise(spark.createDataFrame(rows, "entity int, a double"))
     plain = df.withColumn("r", F.rank().over(Window.orderBy(F.desc_nulls_first("a"))))
-    assert same(RK.add_ranks(df, {"r": "a"}, key=["entity"], split_above=20), plain)
+    assert same(RK.add_ranks(df, {"r": "a"}), plain)
 
 
-def test_sliced_rank_of_nothing_but_nulls_and_null_groups(spark):
+def test_rank_of_nothing_but_nulls_and_null_groups(spark):
     rows = [(i, None if i % 2 else 1, None) for i in range(50)]
     df = materialise(spark.createDataFrame(rows, "entity int, period int, a double"))
-    out = RK.add_ranks(df, {"r": "a"}, ["period"], ["entity"], split_above=5)
+    out = RK.add_ranks(df, {"r": "a"}, ["period"])
     assert out.count() == 50 and {r.r for r in out.collect()} == {1}
 
 
-def test_only_large_groups_are_cut(spark):
+def test_rank_with_one_group_holding_a_third(spark):
     """One group holds a third of all rows, the others a few each."""
     rows = [(i, 0 if i % 3 == 0 else i // 6, float(i % 17) if i % 5 else None) for i in range(1200)]
     df = materialise(spark.createDataFrame(rows, "entity int, period int, a double"))
     plain = df.withColumn("r", F.rank().over(Window.partitionBy("period").orderBy(F.desc_nulls_first("a"))))
-    assert same(RK.add_ranks(df, {"r": "a"}, ["period"], ["entity"], split_above=50), plain)
+    assert same(RK.add_ranks(df, {"r": "a"}, ["period"]), plain)
+
+
+@pytest.mark.parametrize(
+    "value",
+    ["cast(9007199254740992 + id % 40 as bigint)", "cast(concat('123456789012345678901', id % 40) as decimal(38,0))", "cast(id % 7 as tinyint)",
+     "cast(id % 9 as decimal(18,8)) / 7", "cast(if(id % 4 = 0, 'NaN', if(id % 4 = 1, '-0.0', '0.0')) as float)", "cast(id % 5 as string)", "timestamp_seconds(id % 11)"],
+)
+def test_rank_of_any_type(spark, value):
+    df = materialise(spark.range(600).selectExpr("id", "id % 3 as period", f"if(id % 13 = 0, null, {value}) as a"))
+    plain = df.withColumn("r", F.rank().over(Window.partitionBy("period").orderBy(F.desc_nulls_first("a"))))
+    ranked = RK.add_ranks(df, {"r": "a"}, ["period"])
+    assert dict(ranked.dtypes)["r"] == "bigint"
+    assert sorted((x.id, x.r) for x in ranked.collect()) == sorted((x.id, x.r) for x in plain.collect())
 
 
 def test_nulls_rank_first(spark):

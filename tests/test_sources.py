@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +155,26 @@ def test_fallback_needs_every_export(spark):
     assert load()["extra"].columns == ["x"] and load()["extra"].isEmpty()
     assert tables.export_views(frames, folder, "parquet") == {"one": 1, "two": 1}
     assert load()["one"].first().source == "one"
+
+
+@pytest.mark.parametrize("first, second", [(8, 4), (8, None), (None, 8)])
+def test_a_reload_keeps_the_buckets(spark, first, second):
+    rows = spark.range(1000).withColumn("v", F.col("id") * 2)
+    name, other = (f"t_{uuid.uuid4().hex}" for _ in range(2))
+    spec = lambda n: {"buckets": n, "bucket_by": ["id"]} if n else {}
+    tables.full_refresh(rows, name, **spec(first))
+    tables.full_refresh(rows, other, **spec(8))
+    if second:
+        with pytest.raises(ContractError):
+            tables.full_refresh(rows, name, **spec(second))
+    else:
+        assert tables.full_refresh(rows, name) == 1000
+    assert spark.table(name).join(spark.table(other), "id").count() == 1000
+
+
+def test_a_reload_of_another_type_is_refused(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    tables.full_refresh(spark.range(10), name)
+    with pytest.raises(ContractError):
+        tables.full_refresh(spark.range(5).select(F.col("id").cast("string")), name)
+    assert spark.table(name).count() == 10

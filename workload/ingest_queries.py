@@ -121,14 +121,21 @@ def sink_roundtrip(spark, folder):
     return tidy(landed.read_csv_table(spark, path, ORDER_ROW))
 
 
-@add("full_refresh_load", f"select entity, period, b, {r('b2')} as b2, 2::bigint as loads from (" + with_(supply_cte()) + "select * from supply)")
+@add(
+    "full_refresh_load",
+    f"select entity, period, b, {r('b2')} as b2, (select count(*) from ("
+    + with_(supply_cte())
+    + "select * from supply where b is not null)) as first_load, count(*) over () as second_load from ("
+    + with_(supply_cte())
+    + "select * from supply)",
+)
 def full_refresh_load(spark, folder):
-    """Loaded twice; the second load replaces the first as a whole."""
+    """Loaded twice; the second load replaces the first as a whole. Both report their rows."""
     name = f"supply_{uuid.uuid4().hex}"
     supply = X.supply(spark, folder)
-    tables.full_refresh(supply.where("b is not null"), name, key=["entity", "period"])
-    tables.full_refresh(supply, name, key=["entity", "period"])
-    return tidy(spark.table(name).withColumn("loads", F.lit(2)))
+    first = tables.full_refresh(supply.where("b is not null"), name, key=["entity", "period"])
+    second = tables.full_refresh(supply, name, key=["entity", "period"])
+    return tidy(spark.table(name).withColumns({"first_load": F.lit(first), "second_load": F.lit(second)}))
 
 
 @add("sorted_sink", f"select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, {r('l_quantity')} as l_quantity from lineitem")

@@ -55,14 +55,14 @@ RANKED = """ranked as (select *,
 def panel_core(spark, folder):
     """Changes while the rows are together by entity; then stored, then ranked by period."""
     changed = materialise(P.add_changes(X.panel(spark, folder)), "panel")
-    return tidy(RK.add_ranks(changed, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD], [R.ENTITY]))
+    return tidy(RK.add_ranks(changed, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD]))
 
 
 @add("rank_in_period", with_(PANEL, RANKED) + "select entity, period, a_rank, b_rank from ranked")
 def rank_in_period(spark, folder):
     """The sliced ranking, as it runs when a period is too large for one task."""
     panel = materialise(X.panel(spark, folder).select(*R.KEY, "a", "b"), "panel")
-    ranked = RK.add_ranks(panel, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD], [R.ENTITY], split_above=1_000)
+    ranked = RK.add_ranks(panel, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD])
     return tidy(ranked.drop("a", "b"))
 
 
@@ -80,7 +80,7 @@ from slice where period = (select max(period) from slice)""",
 def rank_global(spark, folder):
     newest = P.latest_snapshot(X.all_orders(spark, folder), X.order_periods(spark, folder))
     latest = materialise(newest.select(*R.KEY, "a"), "latest")
-    return tidy(RK.add_ranks(latest, {"a_rank": "a"}, key=[R.ENTITY]))
+    return tidy(RK.add_ranks(latest, {"a_rank": "a"}))
 
 
 @add(
@@ -93,10 +93,28 @@ def rank_global_scaled(spark, folder):
         "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("order_year")
     )
     ranks = {"price_rank": "o_totalprice", "year_rank": "order_year"}
-    ranked = RK.add_ranks(orders, ranks, key=["o_orderkey"], split_above=2_000)
+    ranked = RK.add_ranks(orders, ranks)
     return tidy(ranked.select("o_orderkey", *ranks))
 
 
+@add(
+    "rank_wide_values",
+    """select o_orderkey,
+  rank() over (partition by o_orderpriority order by 9007199254740992 + o_custkey desc nulls first) as key_rank,
+  rank() over (partition by o_orderpriority order by 12345678901234567890::decimal(38,0) * 1000000 + (o_orderkey % 5000) desc nulls first) as wide_rank
+from orders""",
+)
+def rank_wide_values(spark, folder):
+    """Whole numbers that no double can tell apart."""
+    orders = X.table(spark, folder, "orders").select(
+        "o_orderkey", "o_orderpriority",
+        (F.lit(2**53) + F.col("o_custkey")).alias("wide_key"),
+        F.expr("cast(12345678901234567890000000BD + (o_orderkey % 5000) as decimal(38,0))").alias("wide"),
+    )
+    ranks = {"key_rank": "wide_key", "wide_rank": "wide"}
+    return tidy(RK.add_ranks(orders, ranks, ["o_orderpriority"]).select("o_orderkey", *ranks))
+
+
 @add(
     "lag_features",
     with_(PANEL)
@@ -149,7 +167,7 @@ def latest_snapshot(spark, folder):
     """The core view restricted to its last period; only that period needs ranking."""
     panel = materialise(P.add_changes(X.panel(spark, folder)), "panel")
     latest = P.latest_snapshot(panel)
-    return tidy(RK.add_ranks(latest, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD], [R.ENTITY]))
+    return tidy(RK.add_ranks(latest, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD]))
 
 
 @add(
@@ -183,7 +201,7 @@ def span_change(spark, folder):
     rows = X.all_orders(spark, folder)
     change = P.span_change(rows, ["a"], start=P.first_period(periods), end=P.latest_period(periods))
     change = materialise(change, "change")
-    return tidy(RK.add_ranks(change, {"change_rank": "a_span_change"}, key=[R.ENTITY]))
+    return tidy(RK.add_ranks(change, {"change_rank": "a_span_change"}))
 
 
 @add(
@@ -197,7 +215,7 @@ from end_rows e join start_rows s on e.entity = s.entity""",
 )
 def span_change_two_metrics(spark, folder):
     change = P.span_change(stored_panel(spark, folder), ["a", "b"], [R.NAME, R.GROUP, R.GROUP_CODE])
-    return tidy(RK.add_ranks(materialise(change, "change"), {"change_rank": "a_span_change"}, key=[R.ENTITY]))
+    return tidy(RK.add_ranks(materialise(change, "change"), {"change_rank": "a_span_change"}))
 
 
 @add(
@@ -551,7 +569,7 @@ def verify_overall(spark, folder):
 
 def _exported(spark, folder):
     panel = materialise(P.add_changes(X.panel(spark, folder)), "panel")
-    core = RK.add_ranks(panel, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD], [R.ENTITY])
+    core = RK.add_ranks(panel, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD])
     return {
         "latest": core.where(F.col(R.PERIOD) == P.latest_period(panel)),
         "entity_period": core,
