@@ -67,41 +67,54 @@ def ridge(target: str, train: DataFrame, alpha: float = 1.0) -> LinearRegression
     )
 
 
-def forest(target: str, trees: int = 300, depth: int = 10, seed: int = 42) -> RandomForestRegressor:
-    """All features at every split. The level model's default depth is 12, the change model's 10."""
+def forest(
+    target: str, trees: int = 300, depth: int = 10, seed: int = 42, buffer_mb: int = 48
+) -> RandomForestRegressor:
+    """All features at every split. The level model's default depth is 12, the change model's 10.
+
+    ``buffer_mb`` bounds the split statistics a task holds; with less of it a level of the trees takes
+    more passes and comes out the same.
+    """
     return RandomForestRegressor(
         featuresCol="_features", labelCol=target, predictionCol="prediction", numTrees=trees, maxDepth=depth,
-        featureSubsetStrategy="all", seed=seed,
+        featureSubsetStrategy="all", seed=seed, maxMemoryInMB=buffer_mb,
     )
 
 
-SMALL_TRAINING_SET = 1_000_000
-SMALL_SET_BUFFER_MB = 48
+def in_fixed_order(train: DataFrame, partitions: int, key: Sequence[str] = R.KEY) -> DataFrame:
+    """The same rows in the same partitions and order, however ``train`` arrives.
+
+    A forest draws its bags with one seed per partition, along the rows of the partition. Hashing the
+    unique key into a given number of partitions and sorting each makes the bags a property of the rows.
+    """
+    return train.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
-def fit_all(estimators: Mapping[str, object], train: DataFrame, numeric: Sequence[str]) -> dict[str, PipelineModel]:
+def fit_all(
+    estimators: Mapping[str, object],
+    train: DataFrame,
+    numeric: Sequence[str],
+    partitions: int = 8,
+    max_levels: int = 10_000,
+) -> dict[str, PipelineModel]:
     """Fit every candidate behind one shared, once-fitted preprocessing.
 
-    The group levels come to the driver only if their number is within the limit of
-    ``group_levels``. A small training set arrives in very few partitions, and a forest works
-    partition by partition, so for it the rows are spread by key over the available cores.
+    ``partitions`` is the number of partitions a forest is fitted in, at every size of the table: it is
+    part of the model, like the seed, so that machines with other core counts fit the same trees. Large
+    tables want a larger number, about one for each 128 MB of training rows. ``max_levels`` is how many
+    distinct groups may come to the driver for the one-hot slots; more of them are an error.
     """
-    rows = train.count()
-    prepared = Pipeline(stages=preprocessing(numeric, rows, group_levels(train))).fit(train)
+    prepared = Pipeline(stages=preprocessing(numeric, train.count(), group_levels(train, limit=max_levels))).fit(train)
     models = {}
     for name, estimator in estimators.items():
-        inputs = train
-        if isinstance(estimator, RandomForestRegressor) and rows < SMALL_TRAINING_SET:
-            inputs = train.repartition(train.sparkSession.sparkContext.defaultParallelism, *R.KEY)
-            # Split statistics are buffered per task. Over few rows another pass costs less than memory.
-            estimator = estimator.copy({estimator.maxMemoryInMB: SMALL_SET_BUFFER_MB})
+        inputs = in_fixed_order(train, partitions) if isinstance(estimator, RandomForestRegressor) else train
         fitted = estimator.fit(prepared.transform(inputs).select("_features", estimator.getLabelCol()))
         models[name] = PipelineModel(stages=[*prepared.stages, fitted])
     return models
 
 
-def fit(estimator, train: DataFrame, numeric: Sequence[str]) -> PipelineModel:
-    return fit_all({"model": estimator}, train, numeric)["model"]
+def fit(estimator, train: DataFrame, numeric: Sequence[str], partitions: int = 8) -> PipelineModel:
+    return fit_all({"model": estimator}, train, numeric, partitions)["model"]
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

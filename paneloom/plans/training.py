@@ -28,16 +28,26 @@ class Training:
 
 
 def train_change_model(
-    features: DataFrame, last_train_period: int, trees: int = 300, depth: int = 10, with_forest: bool = True
+    features: DataFrame,
+    last_train_period: int,
+    trees: int = 300,
+    depth: int = 10,
+    partitions: int = 8,
+    max_levels: int = 10_000,
 ) -> Training:
-    """Three-period-change model: the lowest-MAE *linear* candidate is flagged for scenarios."""
+    """Three-period-change model: the lowest-MAE *linear* candidate is flagged for scenarios.
+
+    ``partitions`` and ``max_levels`` are those of ``models.fit_all``.
+    """
     numeric, target = FE.CHANGE_NUMERIC, FE.CHANGE_TARGET
     rows = materialise(FE.training_rows(features, numeric, target), "training")
     train, test = FE.time_split(rows, last_train_period)
-    estimators = {"linear_regression": M.ols(target), "ridge_regression": M.ridge(target, train)}
-    if with_forest:
-        estimators["random_forest"] = M.forest(target, trees, depth)
-    models = M.fit_all(estimators, train, numeric)
+    estimators = {
+        "linear_regression": M.ols(target),
+        "ridge_regression": M.ridge(target, train),
+        "random_forest": M.forest(target, trees, depth),
+    }
+    models = M.fit_all(estimators, train, numeric, partitions, max_levels)
     long = materialise(M.predictions_long(models, test), "predictions")
     fitted = E.regression_metrics(long, target, "prediction", ["model"]).withColumn("model_family", F.lit("ml"))
     naive = E.previous_change_baseline(test, train, "a_change_3", target)
@@ -57,16 +67,22 @@ def train_change_model(
 
 
 def train_level_model(
-    features: DataFrame, last_train_period: int, trees: int = 300, depth: int = 12, with_forest: bool = True
+    features: DataFrame,
+    last_train_period: int,
+    trees: int = 300,
+    depth: int = 12,
+    partitions: int = 8,
+    max_levels: int = 10_000,
 ) -> Training:
-    """Next-level model: the lowest-MAE fitted candidate wins; the baseline is only reported."""
+    """Next-level model: the lowest-MAE fitted candidate wins; the baseline is only reported.
+
+    ``partitions`` and ``max_levels`` are those of ``models.fit_all``.
+    """
     numeric, target = FE.LEVEL_NUMERIC, FE.LEVEL_TARGET
     rows = materialise(FE.training_rows(features, numeric, target), "training")
     train, test = FE.time_split(rows, last_train_period)
-    estimators = {"linear_regression": M.ols(target)}
-    if with_forest:
-        estimators["random_forest"] = M.forest(target, trees, depth)
-    models = M.fit_all(estimators, train, numeric)
+    estimators = {"linear_regression": M.ols(target), "random_forest": M.forest(target, trees, depth)}
+    models = M.fit_all(estimators, train, numeric, partitions, max_levels)
     long = materialise(M.predictions_long(models, test), "predictions")
     fitted = E.regression_metrics(long, target, "prediction", ["model"])
     naive = E.regression_metrics(E.persistence_baseline(test), target, "prediction")
@@ -90,14 +106,17 @@ def forecast(
     end_period: int,
     scenarios: Mapping[str, float] = SC.SCENARIOS,
 ) -> DataFrame:
-    """Scenario forecast with a fitted pipeline: in-row fold if it is linear, stepwise if not."""
+    """Scenario forecast with a fitted pipeline: in-row fold if it is linear, stepwise if not.
+
+    Raises ``ContractError`` when nothing falls into the reporting window.
+    """
     state = materialise(SC.latest_state(SC.forecast_history(panel)), "state")
     numeric = FE.CHANGE_NUMERIC if predicts == "change" else FE.LEVEL_NUMERIC
     if hasattr(model.stages[-1], "coefficients"):
         rolled = SC.roll_forward(spread(state), end_period, M.linear_form(model, numeric), predicts, scenarios)
     else:
         rolled = M.forecast_with_model(model, state, end_period, predicts, scenarios)
-    out = SC.emit_window(rolled, first_period)
+    out = SC.require_forecast(SC.emit_window(rolled, first_period))
     if predicts == "change":
         out = out.withColumn("model_name", F.lit(model_name)).withColumn("model_type", F.lit("sugar_sensitivity_model"))
     return out

@@ -12,7 +12,6 @@ import __spark_entry__ as entry
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-SLOW = {"fit_forest"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 
 
@@ -36,7 +35,7 @@ def rows(names, records):
     return sorted(tuple(plain(record[i]) for i in order) for record in records)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, db, name):
     got = entry.queries()[name](spark, FOLDER)
     records = [tuple(r) for r in got.collect()]

@@ -193,3 +193,36 @@ def test_bundle_round_trip_and_errors(spark, split):
     spark.read.parquet(f"{path}/about").write.parquet(f"{path}-half/about")
     with pytest.raises(ContractError):
         TB.load_bundle(spark, f"{path}-half")
+
+
+def test_forest_is_a_property_of_the_rows(split):
+    """Equal trees from one partition, from many, and from rows in another order."""
+    train, test = split
+    estimator = M.forest(FE.CHANGE_TARGET, trees=10, depth=5)
+    one, many, turned = (
+        predictions(M.fit(estimator, rows, FE.CHANGE_NUMERIC), test)
+        for rows in (train.coalesce(1), train.repartition(13), train.orderBy(F.desc("period"), "entity"))
+    )
+    assert (one == many).all() and (one == turned).all()
+    assert len(set(one.round(9))) > 10
+
+
+def test_buffer_of_a_forest_does_not_change_it(split):
+    train, test = split
+    small, large = (
+        predictions(M.fit(M.forest(FE.CHANGE_TARGET, trees=10, depth=5, buffer_mb=mb), train, FE.CHANGE_NUMERIC), test)
+        for mb in (1, 64)
+    )
+    assert (small == large).all()
+
+
+def test_more_groups_than_allowed_are_an_error(split):
+    train, _ = split
+    with pytest.raises(ContractError, match="more than 2 levels"):
+        M.fit_all({"ols": M.ols(FE.CHANGE_TARGET)}, train, FE.CHANGE_NUMERIC, max_levels=2)
+
+
+def test_forecast_of_nothing_is_an_error(panel):
+    trained = TR.train_change_model(FE.change_features(panel), 2012, trees=2, depth=2)
+    with pytest.raises(ContractError, match="no forecasts"):
+        TR.forecast(panel, trained.models[trained.selected], trained.selected, "change", 2040, 2026)

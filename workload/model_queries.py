@@ -2,7 +2,9 @@
 
 The fits have full SQL counterparts: the normal equations are set up with aggregates and
 solved by Gauss-Jordan elimination in a recursive query, so predictions and metrics of both
-linear candidates are compared value by value.
+linear candidates are compared value by value. A forest has no SQL: its rows show no values, but what
+must hold of them (``inside``: within the range of the training target, ``consistent``: metrics that
+can belong to one another), computed here from the values and stated as true in the SQL.
 """
 
 from __future__ import annotations
@@ -227,11 +229,20 @@ def fit_ridge(spark, folder):
     return tidy(M.predict(model, test).select(*R.KEY, "prediction"))
 
 
-@add("fit_forest")
+def inside(train, target):
+    """Whether a forest's prediction lies where averages of training targets can lie."""
+    ends = train.agg(F.struct(F.min(target).alias("low"), F.max(target).alias("high"))).first()[0]
+    return F.col("prediction").between(ends["low"] - 1e-9, ends["high"] + 1e-9)
+
+
+@add(
+    "fit_forest",
+    with_(*CHANGE_DATA) + f"select entity, period, {r(FE.CHANGE_TARGET)} as {FE.CHANGE_TARGET}, true as inside from test",
+)
 def fit_forest(spark, folder):
     train, test = change_split(spark, folder)
-    model = M.fit(M.forest(FE.CHANGE_TARGET), train, FE.CHANGE_NUMERIC)
-    return tidy(M.predict(model, test).select(*R.KEY, "prediction"))
+    scored = M.predict(M.fit(M.forest(FE.CHANGE_TARGET), train, FE.CHANGE_NUMERIC), test)
+    return tidy(scored.select(*R.KEY, FE.CHANGE_TARGET, inside(train, FE.CHANGE_TARGET).alias("inside")))
 
 
 @add("model_roundtrip", with_(*CHANGE_DATA, CHANGE_OLS, recursive=True) + f"select entity, period, 'linear_regression' as model, 3::bigint as horizon, {r(OLS_PREDICTION)} as prediction from test")
@@ -320,21 +331,45 @@ SHOW_METRICS = f"model, model_family, {rounded(['mae', 'rmse', 'r2'])}, selected
 
 def _trained(spark, folder):
     panel = dense_panel(spark, folder)
-    return TR.train_change_model(FE.change_features(panel), _last_train(panel), with_forest=False)
+    return TR.train_change_model(FE.change_features(panel), _last_train(panel))
+
+
+def linear_only(df, *columns):
+    """The columns without a forest's values."""
+    return df.withColumns({c: F.when(F.col("model") != "random_forest", F.col(c)) for c in columns})
+
+
+def consistent(metrics):
+    return metrics.withColumn("consistent", (F.col("mae") > 0) & (F.col("mae") <= F.col("rmse")) & (F.col("r2") <= 1))
 
 
 @add(
     "predictions_long",
     with_(*TRAINED, recursive=True)
-    + f"select entity, name, period, model, {rounded(['a', 'b', FE.CHANGE_TARGET, 'prediction'])}, {r(f'prediction - {FE.CHANGE_TARGET}')} as error from predictions",
+    + f"""select entity, name, period, model, {rounded(['a', 'b', FE.CHANGE_TARGET, 'prediction'])}, {r(f'prediction - {FE.CHANGE_TARGET}')} as error,
+  cast(null as boolean) as inside from predictions
+union all
+select entity, name, period, 'random_forest', {rounded(['a', 'b', FE.CHANGE_TARGET])}, null, null, true from test""",
 )
 def predictions_long(spark, folder):
-    return tidy(_trained(spark, folder).predictions)
+    train, _ = change_split(spark, folder)
+    possible = F.when(F.col("model") == "random_forest", inside(train, FE.CHANGE_TARGET))
+    rows = _trained(spark, folder).predictions.withColumn("inside", possible)
+    return tidy(linear_only(rows, "prediction", "error"))
+
+
+CONSISTENT = "mae > 0 and mae <= rmse and r2 <= 1 as consistent"
 
 
-@add("metrics_table", with_(*TRAINED, METRICS, recursive=True) + f"select {SHOW_METRICS} from flagged")
+@add(
+    "metrics_table",
+    with_(*TRAINED, METRICS, recursive=True)
+    + f"""select {SHOW_METRICS}, {CONSISTENT} from flagged
+union all
+select 'random_forest', 'ml', null, null, null, false, true""",
+)
 def metrics_table(spark, folder):
-    return tidy(_trained(spark, folder).metrics)
+    return tidy(linear_only(consistent(_trained(spark, folder).metrics), *EV.METRICS))
 
 
 @add(
@@ -348,11 +383,42 @@ def select_flagged(spark, folder):
 @add(
     "select_best_model",
     with_(*TRAINED, METRICS, recursive=True)
-    + f"select model, {rounded(['mae', 'rmse', 'r2'])} from metrics where model_family = 'ml' order by mae, model limit 1",
+    + f"select true as fitted, true as not_beaten, {r('min(mae)')} as best_linear_mae from metrics where model_family = 'ml'",
 )
 def select_best_model(spark, folder):
+    """The best of all three fitted candidates, held against the best linear one."""
     metrics = _trained(spark, folder).metrics
-    return tidy(EV.best_model(metrics, F.col("model_family") == "ml").select("model", *EV.METRICS))
+    best = EV.best_model(metrics, F.col("model_family") == "ml").select("model", "mae")
+    linear = metrics.where(F.col("model").isin(TR.LINEAR)).agg(F.min("mae")).scalar()
+    return tidy(
+        best.withColumn("best_linear_mae", linear).select(
+            F.col("model").isin([*TR.LINEAR, "random_forest"]).alias("fitted"),
+            (F.col("mae") <= F.col("best_linear_mae")).alias("not_beaten"),
+            "best_linear_mae",
+        )
+    )
+
+
+LEVEL_METRICS = f"""level_metrics as (select model, {METRIC_SQL} from (
+  select 'linear_regression' as model, {predicted(LEVEL_SPAN, 'ols')} as prediction, {FE.LEVEL_TARGET} as y from test
+  union all select 'naive_baseline', a, {FE.LEVEL_TARGET} from test) group by model)"""
+
+
+def _trained_level(spark, folder):
+    panel = dense_panel(spark, folder)
+    return panel, TR.train_level_model(FE.next_period_features(panel), _last_train(panel))
+
+
+@add(
+    "train_level",
+    with_(*LEVEL_DATA, LEVEL_OLS, LEVEL_METRICS, recursive=True)
+    + f"""select model, {rounded(['mae', 'rmse', 'r2'])}, {CONSISTENT} from level_metrics
+union all
+select 'random_forest', null, null, null, true""",
+)
+def train_level(spark, folder):
+    _, trained = _trained_level(spark, folder)
+    return tidy(linear_only(consistent(trained.metrics), *EV.METRICS))
 
 
 @add("model_card", with_(*TRAINED, METRICS, recursive=True) + f"select model, {shown('mae', 3)} as mae from flagged where selected_for_scenarios")
@@ -375,8 +441,9 @@ LEVEL_FORM = SC.LinearForm(
      "b": 0.03, "b2": 0.00002, "b_lag_1": -0.01, "b_lag_3": 0.004, "b_change_1": 0.002, "b_change_3": -0.003},
     {"ASIA": 1.5, "EUROPE": -1.25, "AFRICA": 0.5},
 )
-END = 2008
-EMIT = 2002
+AHEAD = 7  # periods forecast beyond the last one; all of them are reported
+END = "(select max(last_period) + 7 from state)"
+EMIT = "(select max(last_period) + 1 from state)"
 
 SCENARIO_ROWS = (
     "scenarios(scenario, total_change) as (values "
@@ -436,11 +503,19 @@ EMITTED = f"emitted as (select * from forecast where forecast_period >= {EMIT})"
 
 def stored_state(spark, folder):
     """The few numbers per entity a forecast starts from; its steps are compute only."""
-    return spread(materialise(SC.latest_state(SC.forecast_history(X.panel(spark, folder))), "state"))
+    state = materialise(SC.latest_state(SC.forecast_history(X.panel(spark, folder))), "state")
+    return spread(state), state.agg(F.max("last_period")).first()[0]
 
 
 def change_forecast(spark, folder, scenarios=SC.SCENARIOS):
-    return SC.roll_forward(stored_state(spark, folder), END, CHANGE_FORM, "change", scenarios)
+    """The forecast and the last period of the panel."""
+    state, last = stored_state(spark, folder)
+    return SC.roll_forward(state, last + AHEAD, CHANGE_FORM, "change", scenarios), last
+
+
+def reported(spark, folder, scenarios=SC.SCENARIOS):
+    rolled, last = change_forecast(spark, folder, scenarios)
+    return SC.emit_window(rolled, last + 1)
 
 
 @add("scenario_grid", with_(SPARSE, SCENARIO_ROWS) + f"select entity, period, scenario, total_change, {r('b * (1 + total_change)')} as b_target from panel cross join scenarios where period = (select max(period) from panel)")
@@ -456,7 +531,7 @@ def scenario_grid(spark, folder):
     + f"select {FORECAST_KEYS}, {rounded(['forecast_a', 'predicted_change', 'annualised_change', 'b_assumption', 'b2_assumption'])} from emitted",
 )
 def scenario_forecast_change(spark, folder):
-    return tidy(SC.emit_window(change_forecast(spark, folder), EMIT))
+    return tidy(reported(spark, folder))
 
 
 @add(
@@ -465,7 +540,8 @@ def scenario_forecast_change(spark, folder):
     + f"select {FORECAST_KEYS}, {rounded(['forecast_a', 'b_assumption', 'b2_assumption'])} from emitted",
 )
 def scenario_forecast_level(spark, folder):
-    return tidy(SC.emit_window(SC.roll_forward(stored_state(spark, folder), END, LEVEL_FORM, "level"), EMIT))
+    state, last = stored_state(spark, folder)
+    return tidy(SC.emit_window(SC.roll_forward(state, last + AHEAD, LEVEL_FORM, "level"), last + 1))
 
 
 @add(
@@ -476,9 +552,10 @@ def scenario_forecast_level(spark, folder):
 )
 def forecast_emit_window(spark, folder):
     """What the reporting window keeps and what it drops."""
-    rolled = materialise(change_forecast(spark, folder), "forecast")
-    kept = SC.emit_window(rolled, EMIT).withColumn("reported", F.lit(True))
-    early = rolled.where(F.col("forecast_period") < EMIT).withColumn("reported", F.lit(False))
+    rolled, last = change_forecast(spark, folder)
+    rolled = materialise(rolled, "forecast")
+    kept = SC.emit_window(rolled, last + 1).withColumn("reported", F.lit(True))
+    early = rolled.where(F.col("forecast_period") <= last).withColumn("reported", F.lit(False))
     return tidy(
         kept.unionByName(early)
         .groupBy("reported")
@@ -501,8 +578,7 @@ MATCHED_SQL = "(" + ", ".join(f"'{n}'" for n in MATCHED) + ")"
 )
 def scenario_subset(spark, folder):
     picked = {n: SC.SCENARIOS[n] for n in MATCHED}
-    rolled = SC.emit_window(change_forecast(spark, folder, picked), EMIT)
-    return tidy(rolled.select(R.ENTITY, "scenario", "forecast_period", "forecast_a"))
+    return tidy(reported(spark, folder, picked).select(R.ENTITY, "scenario", "forecast_period", "forecast_a"))
 
 
 @add(
@@ -512,7 +588,7 @@ def scenario_subset(spark, folder):
 from emitted where grp = 'ASIA' and scenario in {MATCHED_SQL} order by entity, scenario, forecast_period""",
 )
 def scenario_series(spark, folder):
-    rows = SC.emit_window(change_forecast(spark, folder), EMIT).where(F.col(R.GROUP) == "ASIA")
+    rows = reported(spark, folder).where(F.col(R.GROUP) == "ASIA")
     shown = SC.scenario_series(rows, MATCHED).select(R.NAME, "scenario", "forecast_period", "forecast_a", "b_assumption")
     return tidy(SM.rounded(shown, {"forecast_a": 2, "b_assumption": 2}, half_even=False))
 
@@ -524,7 +600,7 @@ def scenario_series(spark, folder):
   min(forecast_period) as min_period, max(forecast_period) as max_period from emitted group by scenario""",
 )
 def scenario_counts(spark, folder):
-    return tidy(SM.scenario_counts(SC.emit_window(change_forecast(spark, folder), EMIT)))
+    return tidy(SM.scenario_counts(reported(spark, folder)))
 
 
 @add(
@@ -533,7 +609,8 @@ def scenario_counts(spark, folder):
     + f"select entity, {r('max(forecast_a) - min(forecast_a)')} as spread from forecast where forecast_period = {END} group by entity",
 )
 def scenario_spread(spark, folder):
-    return tidy(SC.scenario_spread(change_forecast(spark, folder), END))
+    rolled, last = change_forecast(spark, folder)
+    return tidy(SC.scenario_spread(rolled, last + AHEAD))
 
 
 @add(
@@ -544,7 +621,8 @@ from forecast f left join forecast c on c.entity = f.entity and c.forecast_perio
 where f.forecast_period = {END}""",
 )
 def scenario_impact(spark, folder):
-    impact = SC.impact_vs_constant(change_forecast(spark, folder), END)
+    rolled, last = change_forecast(spark, folder)
+    impact = SC.impact_vs_constant(rolled, last + AHEAD)
     return tidy(impact.select(R.ENTITY, "scenario", "forecast_a", "impact"))
 
 
@@ -556,11 +634,9 @@ def scenario_impact(spark, folder):
   order by {r('forecast_a')} desc nulls last, entity limit 10) order by forecast_a, entity""",
 )
 def topk_forecast(spark, folder):
-    rolled = change_forecast(spark, folder).withColumn("forecast_a", six_digits(F.col("forecast_a")))
-    return tidy(SC.top_forecast(rolled, MATCHED[0], END).select(R.ENTITY, R.NAME, "forecast_a"))
-
-
-DENSE_END = 34  # seven quarters after the last
+    rolled, last = change_forecast(spark, folder)
+    shown = rolled.withColumn("forecast_a", six_digits(F.col("forecast_a")))
+    return tidy(SC.top_forecast(shown, MATCHED[0], last + AHEAD).select(R.ENTITY, R.NAME, "forecast_a"))
 
 
 # The same standardised vectors as in training, over the recursion's state instead of a feature row.
@@ -584,7 +660,7 @@ STATE_CENTRED = [_state_z(c) for c in FE.CHANGE_NUMERIC] + [
 ]
 SELECTED_PREDICTION = f"""case (select model from chosen) when 'linear_regression' then {predicted(STATE_SPAN, 'ols')}
   else {predicted(STATE_CENTRED, 'ridge')} + (select mean_target from moments) end"""
-FITTED_FORECAST = (*TRAINED, METRICS, MOMENTS, recursion(SELECTED_PREDICTION, "change", DENSE_END))
+FITTED_FORECAST = (*TRAINED, METRICS, MOMENTS, recursion(SELECTED_PREDICTION, "change"))
 
 
 @add(
@@ -592,23 +668,42 @@ FITTED_FORECAST = (*TRAINED, METRICS, MOMENTS, recursion(SELECTED_PREDICTION, "c
     with_(*FITTED_FORECAST, recursive=True)
     + f"""select {FORECAST_KEYS}, {rounded(['forecast_a', 'predicted_change', 'annualised_change', 'b_assumption', 'b2_assumption'])},
   (select model from chosen) as model_name, 'sugar_sensitivity_model' as model_type
-from forecast where forecast_period >= {DENSE_END - 6}""",
+from forecast where forecast_period >= {EMIT}""",
 )
 def scenario_forecast_fitted(spark, folder):
     """Train, select, then forecast the dense panel with the selected model folded in."""
     panel = dense_panel(spark, folder)
-    trained = TR.train_change_model(FE.change_features(panel), _last_train(panel), with_forest=False)
-    model = trained.models[trained.selected]
-    return tidy(TR.forecast(panel, model, trained.selected, "change", DENSE_END - 6, DENSE_END))
+    trained = TR.train_change_model(FE.change_features(panel), _last_train(panel))
+    return tidy(_forecast(panel, trained.models[trained.selected], trained.selected, "change"))
+
 
+def _forecast(panel, model, name, predicts):
+    last = SC.forecast_history(panel).agg(F.max(R.PERIOD)).first()[0]
+    return TR.forecast(panel, model, name, predicts, last + 1, last + AHEAD)
 
-@add("scenario_forecast_forest")
+
+# Which rows there are, and the supply they assume, does not depend on the predictor.
+LEVEL_ROWS_AHEAD = (
+    with_(DENSE, recursion("a0", "level"), recursive=True)
+    + f"""select {FORECAST_KEYS}, {rounded(['b_assumption', 'b2_assumption'])}, true as inside
+from forecast where forecast_period >= {EMIT}"""
+)
+
+
+def _without_values(forecast):
+    return tidy(forecast.withColumn("inside", F.col("forecast_a").between(0, 100)).drop("forecast_a"))
+
+
+@add("scenario_forecast_forest", LEVEL_ROWS_AHEAD)
 def scenario_forecast_forest(spark, folder):
-    """The stepwise forecast with a forest, one transform per period."""
-    panel = dense_panel(spark, folder)
-    rows = materialise(
-        FE.training_rows(FE.next_period_features(panel), FE.LEVEL_NUMERIC, FE.LEVEL_TARGET), "rows"
-    )
-    train, _ = FE.time_split(rows, _last_train(panel))
-    model = M.fit(M.forest(FE.LEVEL_TARGET, trees=20, depth=5), train, FE.LEVEL_NUMERIC)
-    return tidy(TR.forecast(panel, model, "random_forest", "level", DENSE_END - 6, DENSE_END))
+    """The stepwise forecast with the level model's forest, one transform per period."""
+    train, _ = level_split(spark, folder)
+    model = M.fit(M.forest(FE.LEVEL_TARGET, depth=12), train, FE.LEVEL_NUMERIC)
+    return _without_values(_forecast(dense_panel(spark, folder), model, "random_forest", "level"))
+
+
+@add("forecast_level_fitted", LEVEL_ROWS_AHEAD)
+def forecast_level_fitted(spark, folder):
+    """Train the level candidates, take the best and forecast with it, whichever it is."""
+    panel, trained = _trained_level(spark, folder)
+    return _without_values(_forecast(panel, trained.models[trained.selected], trained.selected, "level"))
