@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from paneloom import roles as R
 from paneloom.operators import clean, features, panel, ranking, summary
@@ -71,12 +70,34 @@ FORECAST = {
 }
 
 
+# View name -> the method of ``Views`` that builds it.
+VIEWS = {
+    "v_obesity_country_year": "obesity_country_year",
+    "v_obesity_latest_country": "obesity_latest_country",
+    "v_obesity_country_change": "obesity_country_change",
+    "v_obesity_region_summary_latest": "obesity_region_summary_latest",
+    "v_obesity_sex_gap_latest": "obesity_sex_gap_latest",
+    "v_sugar_obesity_country_year": "sugar_obesity_country_year",
+    "v_sugar_obesity_latest": "sugar_obesity_latest",
+    "v_sugar_obesity_region_summary": "sugar_obesity_region_summary",
+    "v_sugar_obesity_country_change": "sugar_obesity_country_change",
+    "v_ml_obesity_features": "ml_obesity_features",
+    "v_ml_sugar_sensitivity_features": "ml_sugar_sensitivity_features",
+}
+
+
 class Views:
-    """Views as lazily built frames; the joined panel is stored once and shared by its readers."""
+    """A snapshot of the views; a frame is built when it is first asked for.
 
-    def __init__(self, who_obesity: DataFrame, faostat_sugar_supply: DataFrame):
+    The joined panel is stored once and shared by its readers, so the views show the base tables as they
+    were then: make a new ``Views`` after a reload. ``keys_are_unique`` says that both tables hold each of
+    their keys once, as after a ``full_refresh`` with a key; it saves a shuffle by entity.
+    """
+
+    def __init__(self, who_obesity: DataFrame, faostat_sugar_supply: DataFrame, keys_are_unique: bool = False):
         self.observations = SPEC.to_roles(who_obesity)
         self.supply = SPEC.to_roles(faostat_sugar_supply)
+        self.keys_are_unique = keys_are_unique
 
     @cached_property
     def _slice(self) -> DataFrame:
@@ -118,13 +139,17 @@ class Views:
         }
         return SPEC.from_roles(gap, names)
 
-    def sugar_obesity_country_year(self) -> DataFrame:
-        ranked = ranking.add_ranks(self._panel, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD])
+    def _ranked(self, rows: DataFrame) -> DataFrame:
+        ranked = ranking.add_ranks(rows, {"a_rank": "a", "b_rank": "b"}, [R.PERIOD])
         order = [R.ENTITY, R.NAME, R.PERIOD, "a", R.METRIC_A_LOW, R.METRIC_A_HIGH, "b", "b2", R.GROUP, R.GROUP_CODE]
         return SPEC.from_roles(ranked.select(*order, *_PANEL), _PANEL)
 
+    def sugar_obesity_country_year(self) -> DataFrame:
+        return self._ranked(self._panel)
+
     def sugar_obesity_latest(self) -> DataFrame:
-        return self.sugar_obesity_country_year().where(F.col(SPEC.period) == panel.latest_period(self._panel))
+        """Ranks are within a period, so only the last one's rows are ranked."""
+        return self._ranked(panel.latest_snapshot(self._panel))
 
     def sugar_obesity_region_summary(self) -> DataFrame:
         names = {
@@ -134,7 +159,7 @@ class Views:
             "avg_b2": "avg_sugar_kcal_per_capita_day",
             "corr_b_a": "sugar_obesity_corr",
         }
-        return SPEC.from_roles(summary.group_summary(self._panel), names)
+        return SPEC.from_roles(summary.group_summary(self._panel, self.keys_are_unique), names)
 
     def sugar_obesity_country_change(self) -> DataFrame:
         change = panel.span_change(self._panel, ["a", "b"], [R.NAME, R.GROUP, R.GROUP_CODE])
@@ -147,24 +172,15 @@ class Views:
     def ml_sugar_sensitivity_features(self) -> DataFrame:
         return SPEC.from_roles(features.change_features(self._panel), _FEATURES)
 
+    def view(self, name: str) -> DataFrame:
+        return getattr(self, VIEWS[name])()
+
     def all(self) -> dict[str, DataFrame]:
-        return {
-            "v_obesity_country_year": self.obesity_country_year(),
-            "v_obesity_latest_country": self.obesity_latest_country(),
-            "v_obesity_country_change": self.obesity_country_change(),
-            "v_obesity_region_summary_latest": self.obesity_region_summary_latest(),
-            "v_obesity_sex_gap_latest": self.obesity_sex_gap_latest(),
-            "v_sugar_obesity_country_year": self.sugar_obesity_country_year(),
-            "v_sugar_obesity_latest": self.sugar_obesity_latest(),
-            "v_sugar_obesity_region_summary": self.sugar_obesity_region_summary(),
-            "v_sugar_obesity_country_change": self.sugar_obesity_country_change(),
-            "v_ml_obesity_features": self.ml_obesity_features(),
-            "v_ml_sugar_sensitivity_features": self.ml_sugar_sensitivity_features(),
-        }
+        return {name: self.view(name) for name in VIEWS}
 
-    def register(self) -> list[str]:
-        """Make every view, and the two base tables, available to SQL."""
-        views = self.all()
+    def register(self, *names: str) -> list[str]:
+        """Make the named views (all, if none is named) and the two base tables available to SQL."""
+        views = {name: self.view(name) for name in names or VIEWS}
         views["who_obesity"] = SPEC.from_roles(self.observations)
         views["faostat_sugar_supply"] = SPEC.from_roles(self.supply)
         for name, df in views.items():
