@@ -130,5 +130,5 @@ def category_gap(
 
 
 def entity_series(panel: DataFrame, entity, columns: Sequence[str]) -> DataFrame:
-    """One entity's rows in period order; the entity filter reaches the scan."""
+    """One entity's rows in period order; the entity (a value or a scalar column) filters the scan."""
     return panel.where(F.col(R.ENTITY) == F.lit(entity)).select(R.PERIOD, *columns).orderBy(R.PERIOD)

@@ -107,11 +107,6 @@ def scenario_counts(forecast: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, key: Sequence[str], value: str, output: str) -> DataFrame:
-    """Maximum minus minimum per key."""
-    return df.groupBy(*key).agg((F.max(value) - F.min(value)).alias(output))
-
-
 def rounded(df: DataFrame, digits: Mapping[str, int], half_even: bool = True) -> DataFrame:
     """Display rounding; half-even as data frames print it, half-up as SQL ROUND does."""
     rounding = F.bround if half_even else F.round

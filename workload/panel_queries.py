@@ -28,9 +28,9 @@ GROUPS = ["ASIA", "EUROPE", "AFRICA"]
 GROUP_LIST = "('ASIA', 'EUROPE', 'AFRICA')"
 
 
-def stored_panel(spark, folder):
-    """The panel as a stored table, for operators that read it more than once."""
-    return materialise(X.panel(spark, folder), "panel")
+def stored_panel(spark, folder, *columns):
+    """The columns wanted of the panel as a stored table, for operators that read it more than once."""
+    return materialise(X.panel(spark, folder).select(*columns), "panel")
 
 
 # ---- the panel itself ---------------------------------------------------------------------
@@ -214,7 +214,11 @@ def span_change(spark, folder):
 from end_rows e join start_rows s on e.entity = s.entity""",
 )
 def span_change_two_metrics(spark, folder):
-    change = P.span_change(stored_panel(spark, folder), ["a", "b"], [R.NAME, R.GROUP, R.GROUP_CODE])
+    change = P.span_change(
+        stored_panel(spark, folder, *R.KEY, R.NAME, "a", "b", R.GROUP, R.GROUP_CODE),
+        ["a", "b"],
+        [R.NAME, R.GROUP, R.GROUP_CODE],
+    )
     return tidy(RK.add_ranks(materialise(change, "change"), {"change_rank": "a_span_change"}))
 
 
@@ -329,7 +333,7 @@ def unpivot_metrics(spark, folder):
 from panel where period = (select max(period) from panel) and grp in {GROUP_LIST}""",
 )
 def kpi_cards(spark, folder):
-    latest = P.latest_snapshot(stored_panel(spark, folder))
+    latest = P.latest_snapshot(stored_panel(spark, folder, *R.KEY, "a", "b", R.GROUP))
     return tidy(SM.kpis(C.keep_groups(latest, R.GROUP, GROUPS)))
 
 
@@ -376,7 +380,7 @@ def distinct_options(spark, folder):
 
 @add("distinct_groups", with_(PANEL) + "select distinct grp from panel where period = (select max(period) from panel) order by grp")
 def distinct_groups(spark, folder):
-    return SM.distinct_values(P.latest_snapshot(stored_panel(spark, folder)), R.GROUP)
+    return SM.distinct_values(P.latest_snapshot(stored_panel(spark, folder, R.PERIOD, R.GROUP)), R.GROUP)
 
 
 @add(
@@ -442,13 +446,15 @@ where period = (select max(period) from panel) and grp in {GROUP_LIST} order by
 
 @add("topk_metric_a", _topk_latest("a"))
 def topk_metric_a(spark, folder):
-    latest = C.keep_groups(P.latest_snapshot(stored_panel(spark, folder)), R.GROUP, GROUPS)
+    panel = stored_panel(spark, folder, *R.KEY, R.NAME, "a", R.GROUP)
+    latest = C.keep_groups(P.latest_snapshot(panel), R.GROUP, GROUPS)
     return tidy(SM.top_k(latest.select(R.ENTITY, R.NAME, "a"), "a", 10, [R.ENTITY]))
 
 
 @add("topk_metric_b", _topk_latest("b"))
 def topk_metric_b(spark, folder):
-    latest = C.keep_groups(P.latest_snapshot(stored_panel(spark, folder)), R.GROUP, GROUPS)
+    panel = stored_panel(spark, folder, *R.KEY, R.NAME, "b", R.GROUP)
+    latest = C.keep_groups(P.latest_snapshot(panel), R.GROUP, GROUPS)
     return tidy(SM.top_k(latest.select(R.ENTITY, R.NAME, "b"), "b", 10, [R.ENTITY]))
 
 
@@ -459,7 +465,7 @@ def topk_metric_b(spark, folder):
 where e.grp in {GROUP_LIST} order by e.b - s.b desc nulls last, e.entity limit 10""",
 )
 def topk_span_change(spark, folder):
-    change = P.span_change(stored_panel(spark, folder), ["b"], [R.NAME, R.GROUP])
+    change = P.span_change(stored_panel(spark, folder, *R.KEY, R.NAME, "b", R.GROUP), ["b"], [R.NAME, R.GROUP])
     kept = C.keep_groups(change, R.GROUP, GROUPS).select(R.ENTITY, R.NAME, "b_span_change")
     return tidy(SM.top_k(kept, "b_span_change", 10, [R.ENTITY]))
 
@@ -472,7 +478,7 @@ def topk_span_change(spark, folder):
 def entity_series(spark, folder):
     """The entity filter is pushed through both aggregations down to the scans."""
     first = X.table(spark, folder, "orders").agg(F.min("o_custkey")).scalar()
-    series = X.panel(spark, folder).where(F.col(R.ENTITY) == first).select(R.PERIOD, "a", "b").orderBy(R.PERIOD)
+    series = P.entity_series(X.panel(spark, folder), first, ["a", "b"])
     return tidy(SM.rounded(series, {"a": 2}, half_even=False))
 
 
