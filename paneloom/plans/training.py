@@ -14,7 +14,7 @@ from paneloom.operators import evaluation as E
 from paneloom.operators import features as FE
 from paneloom.operators import models as M
 from paneloom.operators import scenario as SC
-from paneloom.store import materialise, spread
+from paneloom.store import deal, materialise
 
 LINEAR = ["linear_regression", "ridge_regression"]
 
@@ -105,15 +105,18 @@ def forecast(
     first_period: int,
     end_period: int,
     scenarios: Mapping[str, float] = SC.SCENARIOS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Scenario forecast with a fitted pipeline: in-row fold if it is linear, stepwise if not.
 
+    The fold runs in ``partitions`` tasks, by default as many as the session's shuffles have.
+
     Raises ``ContractError`` when nothing falls into the reporting window.
     """
     state = materialise(SC.latest_state(SC.forecast_history(panel)), "state")
     numeric = FE.CHANGE_NUMERIC if predicts == "change" else FE.LEVEL_NUMERIC
     if hasattr(model.stages[-1], "coefficients"):
-        rolled = SC.roll_forward(spread(state), end_period, M.linear_form(model, numeric), predicts, scenarios)
+        rolled = SC.roll_forward(deal(state, partitions), end_period, M.linear_form(model, numeric), predicts, scenarios)
     else:
         rolled = M.forecast_with_model(model, state, end_period, predicts, scenarios)
     out = SC.require_forecast(SC.emit_window(rolled, first_period))

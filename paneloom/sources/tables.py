@@ -16,7 +16,12 @@ from paneloom.operators.quality import ContractError, require_columns, require_u
 from paneloom.store import new_path
 
 READ_OPTIONS = {"csv": {"header": "true", "nullValue": ""}}
-WRITE_OPTIONS = {"csv": {"header": "true", "nullValue": "", "emptyValue": ""}}
+WRITE_OPTIONS = {
+    "csv": {
+        "header": "true", "nullValue": "", "emptyValue": "",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",  # the writer would cut blanks
+    }
+}
 
 
 def read(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:

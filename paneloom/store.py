@@ -51,13 +51,10 @@ def materialise(df: DataFrame, label: str = "table", compression: str | None = N
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Give every core a share of a table that arrives in fewer partitions than there are cores.
+def deal(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows evenly over ``partitions`` tasks, by default as many as the session's shuffles have.
 
-    For compute-heavy steps over a stored table that is small enough to sit in one file and
-    would be read by one task. A table with enough splits is returned as it is: no shuffle.
+    For compute-heavy steps over short rows that may lie in few files, such as one row of state
+    per entity. The count is a setting: neither the machine nor the input changes it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *by)
+    return df.repartition(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on whole tables at the smallest scale."""
+"""Every query of ``workload`` against its SQL, on whole tables at the smallest scale."""
 
 from __future__ import annotations
 
@@ -35,7 +35,7 @@ def rows(names, records):
     return sorted(tuple(plain(record[i]) for i in order) for record in records)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(name for registry in entry.REGISTRIES for name in registry.queries))
 def test_query(spark, db, name):
     got = entry.queries()[name](spark, FOLDER)
     records = [tuple(r) for r in got.collect()]

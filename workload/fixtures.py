@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom import roles as R
+from paneloom.functions.scalars import recode
 from paneloom.operators.clean import recode_passthrough
 from paneloom.operators.panel import panel_join
-from paneloom.store import spread
+from paneloom.store import deal
 
 ALL = "ALL"
 CATEGORY_LABELS = {ALL: "All orders", "1-URGENT": "Urgent", "5-LOW": "Low"}
@@ -146,7 +147,7 @@ def supply_long(spark: SparkSession, folder: str) -> DataFrame:
     All fields are text. Area codes come in several spellings by return flag and are unknown
     (999) for untaxed returned lines; values of undiscounted lines are not numbers.
     """
-    lines = spread(table(spark, folder, "lineitem").select(*LONG_ORDER))
+    lines = deal(table(spark, folder, "lineitem").select(*LONG_ORDER))
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
     part = table(spark, folder, "part").select("p_partkey", "p_type")
@@ -181,6 +182,29 @@ def supply_long(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def prevalence_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """A raw feed of one row per order under the public feed's field names, and the order's key.
+
+    Entity codes are three letters made from the customer's key, in two spellings; unspecified
+    orders carry a code that is no entity, and small ones no value. Keys repeat, so "first" matters.
+    """
+    k, price = F.col("o_custkey"), F.col("o_totalprice")
+    code = F.concat(*[F.chr((F.floor(k / n) % 26 + 65).cast("int")) for n in (676, 26, 1)])
+    code = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.concat(code, F.lit("1"))).otherwise(code)
+    sex = recode(F.col("o_orderpriority"), {"1-URGENT": "SEX_FMLE", "5-LOW": "SEX_MLE", "2-HIGH": "SEX_OTHER"})
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit(" "), F.lower(code), F.lit(" "))).otherwise(code).alias("SpatialDim"),
+        F.year("o_orderdate").alias("TimeDim"),
+        F.when(sex.startswith("SEX_"), sex).otherwise(F.lit("SEX_BTSX")).alias("Dim1"),
+        F.when(price >= 20_000, price).alias("NumericValue"),
+        (price - 1).alias("Low"),
+        (price + 1).alias("High"),
+        F.concat(F.lit("Region "), F.col("o_orderstatus")).alias("ParentLocation"),
+        F.col("o_orderstatus").alias("ParentLocationCode"),
+    )
+
+
 def code_dimension(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "nation").select(
         F.col("n_nationkey").alias("code"), F.upper(F.col("n_name")).alias("area_entity")

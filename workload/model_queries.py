@@ -20,7 +20,7 @@ from paneloom.operators import scenario as SC
 from paneloom.operators import summary as SM
 from paneloom.plans import training as TR
 from paneloom.sources import tables as TB
-from paneloom.store import materialise, new_path, spread
+from paneloom.store import deal, materialise, new_path
 from workload import fixtures as X
 from workload.common import Registry, six_digits, tidy
 from workload.sql import panel_cte, r, shown, with_
@@ -504,7 +504,7 @@ EMITTED = f"emitted as (select * from forecast where forecast_period >= {EMIT})"
 def stored_state(spark, folder):
     """The few numbers per entity a forecast starts from; its steps are compute only."""
     state = materialise(SC.latest_state(SC.forecast_history(X.panel(spark, folder))), "state")
-    return spread(state), state.agg(F.max("last_period")).first()[0]
+    return deal(state), state.agg(F.max("last_period")).first()[0]
 
 
 def change_forecast(spark, folder, scenarios=SC.SCENARIOS):
