@@ -178,3 +178,9 @@ def test_a_reload_of_another_type_is_refused(spark):
     with pytest.raises(ContractError):
         tables.full_refresh(spark.range(5).select(F.col("id").cast("string")), name)
     assert spark.table(name).count() == 10
+
+
+def test_landed_text_keeps_its_blanks(spark):
+    path = tables.land(spark.createDataFrame([(" 5", "x "), (None, " ")], "code string, name string"), new_path(spark, "blanks"))
+    back = landed.read_long_csv(spark, path, {"code": ["code"], "name": ["name"]})
+    assert {tuple(r) for r in back.collect()} == {(" 5", "x "), (None, " ")}
