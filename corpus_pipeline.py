@@ -11,8 +11,8 @@ from paneloom.store import materialise
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go from the texts; documents that fail or lose too much go whole."""
-    return quality.kept_documents(docs)
+    """Failing lines go from the texts; documents that fail or lose too much go whole. A phrase condemns 20 words at most."""
+    return quality.kept_documents(docs, quality.Rules(words_per_phrase=20))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,7 +32,8 @@ class Rules:
       punctuation  with 3 or more symbols, more than one for ``chars_per_symbol`` word characters,
                    or 3 or more exclamation marks, more than one for ``words_per_bang`` words;
       navigation   with 2 or more bars, at least one for ``words_per_bar`` words;
-      boilerplate  if it holds one of the phrases.
+      boilerplate  if it holds one of the phrases; with ``words_per_phrase``, only if at least one of its
+                   phrases stands for so many words, so that a long line is not lost for a mention.
     A document fails beforehand with fewer than ``min_words`` words or with more than
     ``max_repeat_percent`` of its words in repeated 3-word windows, and afterwards if more than
     ``max_lost_percent`` of its word characters were in failed lines.
@@ -41,6 +42,7 @@ class Rules:
     chars_per_symbol: int = 10
     words_per_bang: int = 3
     words_per_bar: int = 3
+    words_per_phrase: int | None = None
     min_words: int = 50
     max_repeat_percent: int = 50
     max_lost_percent: int = 30
@@ -94,7 +96,8 @@ def _judged(part: pa.RecordBatch, rules: Rules) -> pa.RecordBatch:
     failed = (symbols >= 3) & (symbols * rules.chars_per_symbol > chars)
     failed |= (bangs >= 3) & (bangs * rules.words_per_bang > line_words)
     failed |= (bars >= 2) & (bars * rules.words_per_bar >= line_words)
-    failed |= _boilerplate(texts, data, line_starts, feeds, line_text)
+    phrases = _phrases(texts, data, line_starts, feeds, line_text)
+    failed |= (phrases > 0) & (True if rules.words_per_phrase is None else phrases * rules.words_per_phrase >= line_words)
     failed &= line_words > 0
 
     n = len(texts)
@@ -125,14 +128,14 @@ def _judged(part: pa.RecordBatch, rules: Rules) -> pa.RecordBatch:
     )
 
 
-def _boilerplate(texts, data, line_starts, feeds, line_text) -> np.ndarray:
-    """Lines with one of the phrases; lines are made strings only in texts that hold one somewhere."""
+def _phrases(texts, data, line_starts, feeds, line_text) -> np.ndarray:
+    """How many phrases each line holds; lines are made strings only in texts that hold one somewhere."""
     hit = pc.fill_null(pc.match_substring_regex(texts, PHRASES), False).to_numpy(zero_copy_only=False)
-    out = np.zeros(len(line_starts), bool)
+    out = np.zeros(len(line_starts), np.int64)
     look = np.flatnonzero(hit[line_text])
     if len(look):
         lines = pa.array([data[a:b].tobytes() for a, b in zip(line_starts[look], feeds[look], strict=True)], pa.binary())
-        out[look] = pc.match_substring_regex(lines.cast(pa.string()), PHRASES).to_numpy(zero_copy_only=False)
+        out[look] = pc.count_substring_regex(lines.cast(pa.string()), PHRASES).to_numpy(zero_copy_only=False)
     return out
 
 

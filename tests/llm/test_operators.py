@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from corpus_pipeline import quality_rules
 from paneloom.llm import html_text, jaccard, langid, licenses, mixing, packing, quality, sharding, topk, warc
 from paneloom.llm.queries import vocabulary
 
@@ -55,6 +56,17 @@ def test_quality_removes_lines(spark):
     assert not out[3].kept
 
 
+def test_a_mention_costs_no_long_line(spark):
+    prose = " ".join(f"w{i}x{i * i}" for i in range(60))
+    article = f"{prose} It says so in its privacy policy, and {prose.replace('x', 'y')}"
+    cases = [(1, article), (2, f"{prose}\n{prose.replace('x', 'z')}\nRead our Privacy Policy and click here"), (3, " click here or click here".join(prose[i : i + 60] for i in range(0, len(prose), 60)))]
+    table = spark.createDataFrame([(i, t, len(t)) for i, t in cases], "doc_id long, text string, n_chars long")
+    kept = {r.doc_id: r for r in quality_rules(spark, table, "").collect()}
+    assert set(kept) == {1, 2} and kept[1].text == article
+    assert kept[2].text == "\n".join(cases[1][1].split("\n")[:2]) and kept[2].n_chars == len(kept[2].text)
+    assert {r.row.doc_id for r in quality.clean_lines(table).where("kept").collect()} == {2}  # op5 judges as its SQL does
+
+
 def test_language(spark, docs, empty):
     rng = random.Random(1)
     kinds = {"aa": "bakala mifa tolu", "bb": "sturz krecht pfung"}
