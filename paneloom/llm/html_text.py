@@ -43,7 +43,10 @@ LINKS, PER_WORD, MOST_WORDS, HEADING = -3.0, 0.06, 1.8, 0.6
 #: Costs of unlike labels between neighbours in the page and between blocks of one parent.
 ADJACENT, SAME_PARENT = 0.4, 1.0
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?", re.S)
+#: Attributes as HTML reads them: only a value may be quoted and pass over >, a quote anywhere else is an ordinary character.
+VALUE = r"\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*"
+ATTRIBUTES = rf"(?:[\s/]+|(?:=[^\s/>=]*|[^\s/>=]+)(?:\s*=\s*(?:{VALUE})?)?)*"
+TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)({ATTRIBUTES})>?", re.S)
 NAMED = re.compile(r"(?i)\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 SPACE = re.compile(r"\s+")
 

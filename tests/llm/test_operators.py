@@ -312,6 +312,18 @@ def test_page_text(spark):
     assert len(got) == 6
 
 
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ('<p class="a"">First paragraph lost.</p><p class="b">Second</p>', "First paragraph lost.\n\nSecond"),
+        ("<img alt=don't><p>All of the rest of the page.</p><p>More.</p>", "All of the rest of the page.\n\nMore."),
+        ('<p title = "a > b" lang=\'c>d\' "x">One.</p><p title=a="b>Two.</p><p =="e>f" id=>Three.</p>', "One.\n\nTwo.\n\nThree."),
+    ],
+)
+def test_stray_quotes_swallow_no_text(page, expected):
+    assert "\n\n".join(b.text for b in html_text.blocks(page)) == expected
+
+
 def test_licences(docs, empty, spark):
     model = licenses.fit_licences(docs, background=20)
     held = {
