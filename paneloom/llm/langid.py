@@ -2,7 +2,8 @@
 
 Texts become TF-IDF vectors of hashed byte trigrams of unit length. Every language's sample is
 clustered by spherical k-means; a text takes the language of the centroid with the highest
-cosine, and is rejected if its distance (1 - cosine) lies outside that centroid's radius.
+cosine, and is rejected if its distance (1 - cosine) lies outside that centroid's radius. As a
+short text lies far from any centroid, a centroid has a radius for each size of text (SIZES).
 """
 
 from __future__ import annotations
@@ -24,6 +25,11 @@ from paneloom.store import materialise
 UNKNOWN = "und"
 DIMENSIONS = 1 << 13
 BLOCK = 64
+#: Sizes of texts, as powers of two of their distinct trigrams; bytes that texts are cut to for measuring the small sizes.
+SIZES = 14
+CUTS = (4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048)
+#: A centroid's own distances of a size are used from so many on, those of its language otherwise.
+OWN = 30
 
 #: Letters of ASCII in lower case, bytes of other letters as they are, all else a space.
 LETTERS = np.full(256, 32, dtype=np.uint8)
@@ -36,7 +42,7 @@ LETTERS[128:] = np.arange(128, 256)
 class LanguageModel:
     languages: tuple[str, ...]  # of each centroid
     centroids: np.ndarray  # unit rows
-    radius: np.ndarray
+    radius: np.ndarray  # centroids x SIZES
     idf: np.ndarray
 
 
@@ -66,14 +72,19 @@ def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weighted / np.maximum(length, 1e-12)[:, None]
 
 
+def _sizes(counts: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum((counts > 0).sum(1), 1)).astype(np.int64)
+
+
 def _clusters(vectors: np.ndarray, k: int, rounds: int) -> np.ndarray:
-    """Spherical k-means from spread-out starting points."""
-    chosen = [int(np.argmax(vectors @ vectors.mean(0)))]
-    near = vectors @ vectors[chosen[0]]
+    """Spherical k-means; every start but the first is the mean of the farthest quarter, so no single outlier makes one."""
+    chosen = [vectors[int(np.argmax(vectors @ vectors.mean(0)))]]
+    near = vectors @ chosen[0]
     for _ in range(1, min(k, len(vectors))):
-        chosen.append(int(np.argmin(near)))
-        near = np.maximum(near, vectors @ vectors[chosen[-1]])
-    centres = vectors[chosen]
+        mean = vectors[np.argsort(near, kind="stable")[: max(1, len(vectors) // 4)]].sum(0)
+        chosen.append(mean / max(float(np.linalg.norm(mean)), 1e-12))
+        near = np.maximum(near, vectors @ chosen[-1])
+    centres = np.stack(chosen)
     for _ in range(rounds):
         nearest = np.argmax(vectors @ centres.T, axis=1)
         sums = np.stack([vectors[nearest == j].sum(0) for j in range(len(centres))])
@@ -82,6 +93,39 @@ def _clusters(vectors: np.ndarray, k: int, rounds: int) -> np.ndarray:
     return centres
 
 
+def _least_cosines(texts: list[str], vectors: np.ndarray, centres: np.ndarray, idf: np.ndarray, rounds: int, beyond: float) -> np.ndarray:
+    """(centroids x SIZES): the cosine that a share ``beyond`` of the texts of the size fall short of.
+
+    Every text, whole and cut short, is measured by centroids fitted without it, in four parts of the
+    sample. A size without texts takes the next smaller one's cosine, 0 if there is none.
+    """
+    part = np.arange(len(texts)) % 4
+    held = {p: _clusters(vectors[part != p], len(centres), rounds) for p in set(part.tolist()) if (part != p).any()}
+    own = np.argmax(vectors @ centres.T, axis=1)
+    raw = [t.encode() for t in texts]
+    of, size, cosine = [], [], []
+    for cut in (*CUTS, None):
+        for p, others in held.items():
+            rows = [i for i in np.flatnonzero(part == p).tolist() if cut is None or len(raw[i]) > cut]
+            for start in range(0, len(rows), BLOCK):
+                some = rows[start : start + BLOCK]
+                data = [raw[i][:cut] + b"\n" for i in some]
+                counts = _counts(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+                of.append(own[some])
+                size.append(_sizes(counts))
+                cosine.append((_vectors(counts, idf) @ others.T).max(1))
+    out = np.zeros((len(centres), SIZES))
+    if not of:
+        return out
+    of, size, cosine = np.concatenate(of), np.concatenate(size), np.concatenate(cosine)
+    for j in range(len(centres)):
+        for k in range(SIZES):
+            mine = (size == k) & (of == j)
+            mine = mine if mine.sum() >= OWN else size == k
+            out[j, k] = np.quantile(cosine[mine], beyond) if mine.any() else out[j, k - 1] if k else 0.0
+    return out
+
+
 def fit_languages(
     labelled: DataFrame,
     text: str = "text",
@@ -90,15 +134,16 @@ def fit_languages(
     per_language: int = 400,
     centroids: int = 3,
     rounds: int = 8,
-    radius_scale: float = 1.25,
-    least_radius: float = 0.95,
+    quantile: float = 0.99,
+    slack: float = 0.75,
 ) -> LanguageModel:
     """Fit on at most ``per_language`` labelled texts of each language, chosen by a hash of ``order`` and text.
 
     ``per_language`` bounds the sample, and with it all that reaches the driver: one vector of
     document frequencies per task and the centroids. Rows without text or language are left
-    out. A radius is ``radius_scale`` times the largest distance in the sample's cluster and
-    ``least_radius`` at least (up to 1: cosines are not negative).
+    out. A radius is where the cosine is ``slack`` times the one that a share ``quantile`` of the
+    cluster's texts of that size reach by centroids fitted without them; a language with one text has
+    nothing to measure by and rejects nothing.
     """
     order = F.lit(0) if order is None else order
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), order.alias("pick")).dropna(subset=["text", "lang"])
@@ -126,17 +171,16 @@ def fit_languages(
     idf = (np.log((1 + seen) / (1 + totals)) + 1).astype(np.float32)
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("text")  # the parts of the sample do not depend on how rows arrive
         vectors = np.concatenate([_vectors(c, idf) for c in _blocks(pa.array(pdf["text"], pa.string()))])
         centres = _clusters(vectors, centroids, rounds)
-        cosine = vectors @ centres.T
-        nearest = cosine.argmax(1)
-        far = [float(1 - cosine[nearest == j, j].min()) if (nearest == j).any() else 0.0 for j in range(len(centres))]
-        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centre": [c.tolist() for c in centres], "far": far})
+        least = _least_cosines(list(pdf["text"]), vectors, centres, idf, rounds, 1 - quantile)
+        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centre": [c.tolist() for c in centres], "least": [x.tolist() for x in least]})
 
-    rows = sample.groupBy("lang").applyInPandas(cluster, "lang string, centre array<double>, far double").collect()
-    rows.sort(key=lambda r: (r.lang, r.far))
+    rows = sample.groupBy("lang").applyInPandas(cluster, "lang string, centre array<double>, least array<double>").collect()
+    rows.sort(key=lambda r: (r.lang, r.least, r.centre))
     centres = np.array([r.centre for r in rows], np.float32).reshape(len(rows), DIMENSIONS)
-    radius = np.minimum(1.0, np.maximum(least_radius, radius_scale * np.array([r.far for r in rows])))
+    radius = 1 - slack * np.array([r.least for r in rows]).reshape(len(rows), SIZES)
     return LanguageModel(tuple(r.lang for r in rows), centres, radius, idf)
 
 
@@ -162,10 +206,11 @@ def predict_languages(docs: DataFrame, model: LanguageModel, keep: Sequence[str]
                 lettered = pc.fill_null(pc.match_substring_regex(texts, r"\pL"), False).to_numpy(zero_copy_only=False)
                 best, score = np.full(len(texts), len(model.languages)), np.zeros(len(texts))
                 if len(model.languages):
-                    cosines = np.concatenate([_vectors(c, model.idf) @ across for c in _blocks(texts)])
+                    blocks = [(_vectors(c, model.idf) @ across, _sizes(c)) for c in _blocks(texts)]
+                    cosines, size = np.concatenate([c for c, _ in blocks]), np.concatenate([k for _, k in blocks])
                     best = cosines.argmax(1)
                     score = np.clip(cosines.max(1), 0, 1).astype(np.float64)
-                    rejected = ~lettered | (1 - score > model.radius[best])
+                    rejected = ~lettered | (1 - score > model.radius[best, size])
                     best, score = np.where(lettered, best, len(model.languages)), np.where(lettered, score, 0.0)
                 else:
                     rejected = np.ones(len(texts), bool)

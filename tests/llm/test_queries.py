@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 import os
+import random
 from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paneloom.llm import queries
+from paneloom.llm import langid, queries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
@@ -39,6 +41,24 @@ def test_runs(spark, name):
     assert queries.QUERIES[name](spark, FOLDER).count() > 0
 
 
+def test_language_rejects_what_was_not_learned(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = langid.fit_languages(docs.where(langid.learnable()), order=F.col("doc_id"))
+    held = langid.predict_languages(docs.where(~langid.learnable()), model, ("doc_id", "lang")).collect()
+    assert sum(r.rejected for r in held) <= 0.03 * len(held)
+    assert sum(r.lang_pred == r.row.lang for r in held) >= 0.97 * len(held)
+    rng = random.Random(2)
+    letters = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n))
+    strange = [
+        "Suomi on pohjoismainen valtio jonka pääkaupunki on Helsinki ja siellä asuu paljon ihmisiä jotka puhuvat suomea kotona sekä työssä.",
+        "Türkiye Cumhuriyeti güzel bir ülkedir ve başkenti Ankara şehridir. İnsanlar burada yüzyıllardır yaşamaktadır.",
+        "def main(argv):\n    for i in range(len(argv)):\n        print(argv[i], sep=',')\n    return sum(x for x in argv if x is not None)\n",
+        letters(20), letters(80), letters(1000),
+    ]
+    got = langid.predict_languages(spark.createDataFrame(list(enumerate(strange)), "doc_id long, text string"), model).collect()
+    assert [r.row.doc_id for r in got if not r.rejected] == []
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
