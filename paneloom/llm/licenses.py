@@ -1,7 +1,7 @@
 """Licence families of paragraphs: a trained classifier, confirmed by comparison with templates.
 
-A paragraph is a line with a word. Its features are the word 1- and 2-grams it shares with the
-licence texts known here; a multinomial logistic regression over them, with a class for
+A paragraph is a line with a word, or lines next to each other over which a notice is wrapped. Its
+features are the word 1- and 2-grams it shares with the licence texts known here; a multinomial logistic regression over them, with a class for
 "no licence" and a temperature fitted on rows held back, gives the family and its probability.
 The prediction is confirmed if enough of one of that family's templates stands in the paragraph.
 """
@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,10 +69,14 @@ TEMPLATES = {
 }
 
 
+#: Marks by which comments start and end a line; white space stands for them where lines are joined.
+COMMENT = r"(?m)^[ \t]*(?:/\*+!?|\*+/|\*+|//+!?|#+|<!--|--+|;+|%+|\"+|'+|(?i:dnl|rem|c)[ \t])[ \t]*|[ \t]*(?:\*+/|-->|\*+)[ \t\r]*$|^[ \t]*[-=*#/~_+]{3,}[ \t\r]*$"
+
+
 class Paragraphs:
-    """The lines with a word of some texts, lower-cased, with their words' hashes."""
+    """The lines with a word of some texts, lower-cased, with their words' hashes; or runs of such lines."""
 
-    def __init__(self, texts: pa.Array) -> None:
+    def __init__(self, texts: pa.Array, runs: bool = False) -> None:
         self.raw, offsets = scan.buffer(texts)
         letters = scan.LOWER[self.raw]
         # Marks around a word are no part of it; a hyphen or a point within one is.
@@ -84,11 +89,15 @@ class Paragraphs:
         starts = np.concatenate([[0], feeds[:-1] + 1]).astype(np.int64)
         first = np.searchsorted(words.starts, starts)
         last = np.searchsorted(words.starts, feeds)
-        some = last > first
+        some = np.flatnonzero(last > first)
         text = np.searchsorted(offsets, starts, side="right") - 1
-        self.number = (np.arange(len(starts)) - np.searchsorted(text, text))[some]
-        self.text, self.starts, self.ends = text[some], starts[some], feeds[some]
-        self.counts = (last - first)[some]
+        end = some
+        if runs and len(some):
+            new = np.append(True, (np.diff(some) > 1) | (np.diff(text[some]) > 0))
+            some, end = some[new], some[np.append(new[1:], True)]
+        self.number = some - np.searchsorted(text, text[some])
+        self.text, self.starts, self.ends, self.lines = text[some], starts[some], feeds[end], end - some + 1
+        self.counts = last[end] - first[some]
         self.of_word = np.repeat(np.arange(len(self.counts)), self.counts)
         self.hashes = words.hashes
         pair = scan.mix(words.hashes[:-1] * scan.ODD + words.hashes[1:])
@@ -221,7 +230,9 @@ def scan_licences(
     ``unknown`` is the most probable one with ``least`` or more. ``similarity`` is the largest share
     of one of the family's templates found in the paragraph, ``confirmed`` whether it is
     ``confirm`` or more. Null and empty texts have no paragraph; repeated rows repeat theirs.
-    ``paragraph`` counts all lines of the text from 0.
+    ``paragraph`` counts all lines of the text from 0. A notice wrapped over several lines comes out
+    once, at its first line and as one text without the marks of comments, in place of the lines it
+    covers, if more of a template stands in them together than in any one of them.
     """
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text).cast("string").alias("text"))
     fields = "paragraph int, family string, probability double, similarity double, confirmed boolean, text string"
@@ -235,6 +246,82 @@ def scan_licences(
     return source.mapInArrow(find, schema)
 
 
+def _similarities(texts: pa.Array, family: np.ndarray, model: LicenceModel) -> np.ndarray:
+    """The largest share of one of its family's templates in each text; every text is one line with a word."""
+    out = np.zeros(len(texts))
+    if len(texts):
+        alone = Paragraphs(texts)
+        for of, grams in model.templates:
+            out = np.where(family == of, np.maximum(out, _shares(alone, grams)[1]), out)
+    return out
+
+
+def _windows(lines: list[str], grams: np.ndarray) -> list[tuple[float, int, int]]:
+    """(share, first line, last line) of the best windows of several lines for one template, none over another.
+
+    The template must run on over a line's end and have a larger share in the window than in any of
+    its lines. The lines between the first and the last one have no more words than the template twice.
+    """
+    each = Paragraphs(pa.array(lines))
+    ends = np.cumsum(each.counts)
+    pair = scan.mix(each.hashes[:-1] * scan.ODD + each.hashes[1:])
+    place = lambda hashes: np.where(grams[at := np.minimum(np.searchsorted(grams, hashes), len(grams) - 1)] == hashes, at, -1)
+    held: list[set[int]] = [set() for _ in lines]
+    for line, gram in zip(each.of_gram.tolist(), place(each.grams).tolist(), strict=True):
+        if gram >= 0:
+            held[line].add(gram)
+    over = [-1, *place(pair[ends[:-1] - 1]).tolist()]  # from the line before
+    found = []
+    for first in range(len(lines)):
+        have, inner, runs_on, alone = set(held[first]), 0, False, len(held[first])
+        for last in range(first + 1, len(lines) if have else 0):
+            if inner > len(grams):
+                break
+            inner += int(each.counts[last])
+            have |= held[last]
+            alone = max(alone, len(held[last]))
+            if over[last] >= 0:
+                have.add(over[last])
+                runs_on = True
+            if runs_on and len(have) > alone and 2 * len(have) >= len(grams):
+                found.append((len(have) / len(grams), first, last))
+    out, taken = [], set()
+    for share, first, last in sorted(found, key=lambda x: (-x[0], x[2] - x[1], x[1])):
+        if taken.isdisjoint(range(first, last + 1)):
+            taken.update(range(first, last + 1))
+            out.append((share, first, last))
+    return out
+
+
+def _wrapped(texts: pa.Array, model: LicenceModel, least: float) -> list[tuple]:
+    """Notices over several lines: (text, line, family, probability, similarity, joined text, number of lines).
+
+    Only runs of lines that hold half of a template are looked at, by windows, so that neither a
+    long run nor a second notice in it hides one.
+    """
+    runs = Paragraphs(pc.replace_substring_regex(texts, COMMENT, " "), runs=True)
+    windows = []
+    for of, grams in model.templates if len(runs) else ():
+        for i in np.flatnonzero((_shares(runs, grams)[1] >= 0.5) & (runs.lines > 1)).tolist():
+            lines = runs.raw[runs.starts[i] : runs.ends[i]].tobytes().decode().split("\n")
+            for _, first, last in _windows(lines, grams):
+                joined = " ".join(" ".join(lines[first : last + 1]).split())
+                windows.append((int(runs.text[i]), int(runs.number[i]) + first, of, joined, last - first + 1))
+    if not windows:
+        return []
+    joined = pa.array([w[3] for w in windows], pa.string())
+    probability = _softmax(_logits(Paragraphs(joined), model))
+    similarity = _similarities(joined, np.array([w[2] for w in windows]), model)
+    out, taken = [], set()
+    for i in sorted(range(len(windows)), key=lambda i: (-similarity[i], windows[i][4], windows[i][:3])):
+        text, line, of, words, span = windows[i]
+        cover = {(text, line + k) for k in range(span)}
+        if probability[i].argmax() == of and probability[i, of] >= least and taken.isdisjoint(cover):
+            taken |= cover
+            out.append((text, line, of, float(probability[i, of]), float(similarity[i]), words, span))
+    return out
+
+
 def _found(part: pa.RecordBatch, model: LicenceModel, least: float, confirm: float) -> pa.RecordBatch:
     paragraphs = Paragraphs(part.column(1))
     probability = _softmax(_logits(paragraphs, model)) if len(paragraphs) else np.zeros((0, len(model.families)))
@@ -242,16 +329,19 @@ def _found(part: pa.RecordBatch, model: LicenceModel, least: float, confirm: flo
     top = probability.max(1) if len(paragraphs) else np.zeros(0)
     hit = np.flatnonzero((family < len(model.families) - 1) & (top >= least))
     lines = pa.array([paragraphs.raw[a:b].tobytes() for a, b in zip(paragraphs.starts[hit], paragraphs.ends[hit], strict=True)], pa.binary()).cast(pa.string())
-    similarity = np.zeros(len(hit))
-    if len(hit):
-        alone = Paragraphs(lines)
-        for of, grams in model.templates:
-            similarity = np.where(family[hit] == of, np.maximum(similarity, _shares(alone, grams)[1]), similarity)
+    similarity = _similarities(lines, family[hit], model)
+    found = list(zip(paragraphs.text[hit].tolist(), paragraphs.number[hit].tolist(), family[hit].tolist(), top[hit].tolist(), similarity.tolist(), lines.to_pylist(), strict=True))
+    wrapped = _wrapped(part.column(1), model, least)
+    if wrapped:
+        covers = {(text, line): of for text, line, of, *_, span in wrapped for line in range(line, line + span)}
+        inside = lambda x: x[:2] in covers and (covers[x[:2]] == x[2] or x[4] < confirm)
+        found = sorted([x for x in found if not inside(x)] + [x[:6] for x in wrapped], key=lambda x: x[:3])
+    text, number, family, top, similarity, lines = map(list, zip(*found, strict=True)) if found else ([],) * 6
     names = np.array(model.families, dtype=object)
     return pa.RecordBatch.from_arrays(
         [
-            part.column(0).take(pa.array(paragraphs.text[hit])), pa.array(paragraphs.number[hit].astype(np.int32)),
-            pa.array(names[family[hit]], pa.string()), pa.array(top[hit]), pa.array(similarity), pa.array(similarity >= confirm), lines,
+            part.column(0).take(pa.array(text, pa.int64())), pa.array(number, pa.int32()), pa.array(names[np.array(family, np.int64)], pa.string()),
+            pa.array(top, pa.float64()), pa.array(similarity, pa.float64()), pa.array([s >= confirm for s in similarity], pa.bool_()), pa.array(lines, pa.string()),
         ],
         names=["row", "paragraph", "family", "probability", "similarity", "confirmed", "text"],
     )

@@ -335,3 +335,24 @@ def test_licences(docs, empty, spark):
     assert {r.row.doc_id: (r.family, r.paragraph) for r in got if r.confirmed} == {i: (f, 1) for i, f in enumerate(held) if f}
     assert licenses.scan_licences(empty, model).count() == 0
     licenses.fit_licences(empty)
+
+
+def test_wrapped_licences(docs, spark):
+    model = licenses.fit_licences(docs, background=20)
+    gpl = [
+        "This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+        "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version.",
+    ]
+    bsd = ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions", "are met:"]
+    mit = ["Permission is hereby granted, free of charge, to any person obtaining", "a copy of this software and associated documentation files (the", '"Software"), to deal in the Software without restriction']
+    code = ["x = read(it)", "and then write the file of this"] * 200
+    rows = [
+        (1, "\n".join(["/*", " * Title of it", " *", *[f" * {x}" for x in gpl], " */", "int main()"])),
+        (2, "\n".join([f"# {x}\r" for x in bsd])),
+        (3, "\n".join(["The title\n", *mit, ""])),
+        (4, "\n".join([*code, *gpl, *code, *[f"// {x}" for x in mit], *gpl])),  # no blank line anywhere
+    ]
+    got = licenses.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    found = {(r.row.doc_id, r.paragraph): r.family for r in got if r.confirmed and r.similarity >= 0.95}
+    assert found == {(1, 3): "gpl", (2, 0): "bsd", (3, 2): "mit", (4, 400): "gpl", (4, 804): "mit", (4, 807): "gpl"}
+    assert {(r.row.doc_id, r.paragraph) for r in got} == set(found) and got[0].text.startswith(" ".join(gpl[:2]))
