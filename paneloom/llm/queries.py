@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneloom.llm import html_text, jaccard, langid, licenses, mixing, packing, quality, sharding, topk, warc
+from paneloom.llm import html_text, importance, jaccard, langid, licenses, mixing, packing, quality, sharding, topk, warc
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -206,3 +206,53 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard.jaccard_components(table(spark, folder, "documents"), width=4, percent=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+#: An unsigned CRC-32 of a text's UTF-8 bytes, by its table of 256 numbers.
+CRC_TABLE = """crc_table as materialized (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as tab
+  from range(256) r(i))"""
+
+
+def crc_sql(text: str) -> str:
+    octets = f"list_transform(range(0, length(hex({text})), 2), lambda i: ('0x' || substr(hex({text}), (i + 1)::int, 2))::bigint)"
+    turned = f"list_reduce(list_concat([4294967295::bigint], {octets}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))"
+    return f"xor({turned}, 4294967295::bigint)"
+
+
+IMPORTANCE_SQL = rf"""
+with {CRC_TABLE}, texts as (
+  select doc_id, coalesce(text, '') as t, true as mine from documents union all select null, coalesce(text, ''), false from benchmark
+), split as (
+  select doc_id, mine, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from texts
+), counted as (
+  select mine, w, count(*) as n from (select mine, unnest(words) as w from split) group by mine, w
+), hashed as (
+  select w, {crc_sql('w')} % 10000 as bucket from (select distinct w from counted), crc_table
+), buckets as (
+  select bucket, coalesce(sum(n) filter (where mine), 0)::double as s, coalesce(sum(n) filter (where not mine), 0)::double as t from counted join hashed using (w) group by bucket
+), gains as (
+  select bucket, floor(1000 * ln((t + 1) * ((select sum(s) from buckets) + 10000) / ((s + 1) * ((select sum(t) from buckets) + 10000))))::bigint as gain from buckets
+), by_word as (
+  select w, gain from hashed join gains using (bucket)
+), numbered as (
+  select row_number() over () as no, doc_id, words from split where mine
+), weights as (
+  select no, sum(gain)::bigint as weight from (select no, unnest(words) as w from numbered) join by_word using (w) group by no
+), scored as (
+  select no, doc_id, len(words)::bigint as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, 'null')), 1, 8))::bigint::double + 0.5) / 4294967296.0::double)))::bigint as score
+  from numbered left join weights using (no)
+), ranked as (
+  select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id nulls last) as place, count(*) over (partition by n_features >= 20) as able from scored
+)
+select doc_id, n_features, weight, score, case when n_features >= 20 and place <= able * 10 // 100 then place end as rank from ranked
+"""
+
+
+@query("op12_importance", IMPORTANCE_SQL)
+def importance_draw(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance.importance_sample(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), features=importance.Features(width=1, buckets=10_000)
+    )
+    return found.select("row.doc_id", "n_features", "weight", "score", "rank")

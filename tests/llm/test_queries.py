@@ -28,7 +28,7 @@ def rows(names, records):
 def test_against_sql(spark, name):
     got = queries.QUERIES[name](spark, FOLDER)
     db = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "conversations"):
         db.execute(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
     result = db.execute(queries.SQL[name])
     names = [d[0] for d in result.description]
