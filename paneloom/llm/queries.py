@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneloom.llm import html_text, importance, jaccard, langid, licenses, mixing, packing, quality, sharding, topk, warc
+from paneloom.llm import html_text, importance, jaccard, langid, licenses, mixing, packing, quality, sharding, superminhash, topk, warc
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -256,3 +256,9 @@ def importance_draw(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), features=importance.Features(width=1, buckets=10_000)
     )
     return found.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_superminhash")
+def superminhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = superminhash.near_duplicates(table(spark, folder, "documents"), superminhash.Near(width=5, percent=85))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
