@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneloom.llm import html_text, importance, jaccard, langid, licenses, mixing, packing, quality, sharding, superminhash, topk, warc
+from paneloom.llm import html_text, importance, jaccard, langid, licenses, mixing, packing, prefix_trie, quality, sharding, superminhash, topk, warc
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -262,3 +262,44 @@ def importance_draw(spark: SparkSession, folder: str) -> DataFrame:
 def superminhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = superminhash.near_duplicates(table(spark, folder, "documents"), superminhash.Near(width=5, percent=85))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+TRIE_SQL = f"""
+with {CRC_TABLE}, coded as (
+  select conv_id, turn, length(coalesce(text, ''))::bigint as len,
+    substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) as code
+  from conversations where conv_id is not null
+), t as (
+  select conv_id, len, code, row_number() over (partition by conv_id order by turn nulls first, code, len) as pos from coded
+), convs as (
+  select conv_id, conv_id - conv_id % 100 as base, {crc_sql('conv_id::varchar')} % 6 as h from (select distinct conv_id from t), crc_table
+), rebuilt as (
+  select c.conv_id, pos, code, len from convs c join t on t.conv_id = c.base and pos <= h
+  union all
+  select c.conv_id, pos, code, len from convs c join t on t.conv_id = c.conv_id and pos > h
+), walked as (
+  select conv_id, row_number() over w as depth, len, string_agg(code || lpad(to_hex(len), 8, '0'), '') over w as path
+  from rebuilt window w as (partition by conv_id order by pos)
+  union all
+  select conv_id, 0, 0, '' from convs
+), nodes as (
+  select depth, path, any_value(len) as len, min(conv_id) as conv_id, count(*) as n_convs from walked group by depth, path
+), children as (
+  select substr(path, 1, (40 * (depth - 1))::int) as path, count(*) as n_children from nodes where depth > 0 group by 1
+), subtree as (
+  select substr(n.path, 1, (40 * d)::int) as path, sum((n_convs - 1) * len)::bigint as saved_tokens, count(*) filter (where n_children is null) as n_leaves
+  from (select *, unnest(range(0, depth + 1)) as d from nodes) n left join children c on c.path = n.path group by 1
+), ends as (
+  select path, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends_sha256
+  from (select conv_id, arg_max(path, depth) as path from walked group by conv_id) group by path
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves, saved_tokens,
+  coalesce(ends_sha256, sha256('')) as ends_sha256
+from nodes n join subtree s using (path) left join children c using (path) left join ends e using (path)
+  left join nodes p on n.depth > 0 and p.path = substr(n.path, 1, (40 * (n.depth - 1))::int)
+"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*prefix_trie.shared_openings(prefix_trie.turns(table(spark, folder, "conversations"))))
