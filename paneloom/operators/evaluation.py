@@ -28,10 +28,13 @@ def persistence_baseline(test: DataFrame, level: str = "a") -> DataFrame:
     return test.withColumn("prediction", F.col(level))
 
 
-def previous_change_baseline(test: DataFrame, train: DataFrame, change: str, target: str) -> DataFrame:
+def previous_change(train: DataFrame, change: str, target: str) -> Column:
     """Next change = last change; where that is missing, the training mean of the target."""
-    mean_target = train.agg(F.avg(target)).scalar()
-    return test.withColumn("prediction", F.coalesce(F.col(change), mean_target))
+    return F.coalesce(F.col(change), train.agg(F.avg(target)).scalar())
+
+
+def previous_change_baseline(test: DataFrame, train: DataFrame, change: str, target: str) -> DataFrame:
+    return test.withColumn("prediction", previous_change(train, change, target))
 
 
 def prediction_errors(predictions: DataFrame, actual: str, predicted: str = "prediction") -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneloom import roles as R
 from paneloom.operators.clean import complete_rows
 from paneloom.operators.panel import calendar_offsets, row_offsets
 from paneloom.operators.quality import ContractError
+from paneloom.store import materialise
 
 BASE = [R.ENTITY, R.NAME, R.PERIOD, R.METRIC_A, R.METRIC_B, R.METRIC_B2, R.GROUP, R.GROUP_CODE]
 
@@ -123,6 +124,22 @@ def group_levels(df: DataFrame, column: str = R.GROUP, limit: int = 10_000) -> l
     return sorted(levels)
 
 
+def group_index(df: DataFrame, column: str = R.GROUP) -> DataFrame:
+    """(level, slot): the distinct groups numbered from 0 in their order, as a stored table of any size.
+
+    Range-partitioned by level; numbers run on from one partition to the next by a table of one row each.
+    """
+    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = df.select(F.col(column).alias("level")).where("level is not null").distinct()
+    placed = materialise(distinct.repartitionByRange(pieces, "level").withColumn("_part", F.spark_partition_id()), "levels")
+    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(F.col("_part").alias("_of")).agg(F.count("*").alias("_n"))
+    carried = totals.select("_of", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carried"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("level")) - 1
+    numbered = placed.withColumn("_inside", inside).join(carried, F.col("_part") == F.col("_of"))
+    return materialise(numbered.select("level", (F.col("_inside") + F.col("_carried")).alias("slot")), "slots")
+
+
 def one_hot(df: DataFrame, levels: Sequence[str], column: str = R.GROUP) -> DataFrame:
     """One 0/1 column per level; a level not seen in training is all zeros."""
     return df.withColumns(

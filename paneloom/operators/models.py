@@ -1,4 +1,4 @@
-"""MLlib candidates: preprocessing, fitting, coefficients in original units, model-driven forecast."""
+"""Candidate models: linear fits with group effects, forests on MLlib, scoring in one pass, model-driven forecast."""
 
 from __future__ import annotations
 
@@ -6,27 +6,32 @@ import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom import roles as R
 from paneloom.functions import scalars as S
-from paneloom.operators.features import group_levels
+from paneloom.operators.features import group_index
+from paneloom.operators.forest import ForestModel
+from paneloom.operators.linear import LeastSquares, LinearModel, fit_least_squares
 from paneloom.operators.quality import ContractError
-from paneloom.operators.scenario import NEEDED, SCENARIOS, LinearForm, scenario_grid
+from paneloom.operators.scenario import NEEDED, SCENARIOS, LinearForm, scenario_grid, with_group_effect
 from paneloom.store import materialise
 
+Model = LinearModel | ForestModel
+#: Groups up to which a forest is fitted: every training row has a number for each, as MLlib bins all features.
+FOREST_LEVELS = 10_000
 
-def preprocessing(numeric: Sequence[str], train_rows: int, levels: Sequence[str], group: str = R.GROUP) -> list:
-    """z-scores with the population deviation, and one 0/1 slot per group level.
+
+def preprocessing(numeric: Sequence[str], train_rows: int) -> list:
+    """z-scores with the population deviation, and one 0/1 slot per group number (``_group_no``).
 
     MLlib's scaler divides by the sample deviation; the factor sqrt(n/(n-1)) turns that into
-    the population one, which matters to a penalised fit. The indexer's extra slot for
-    unknown groups is the one the encoder drops, so unknown groups are all zeros and every
-    known group keeps its slot.
+    the population one. The slot after the last group's, that of unknown groups, is the one
+    the encoder drops, so unknown groups are all zeros and every known group keeps its slot.
     """
     factor = math.sqrt(train_rows / (train_rows - 1)) if train_rows > 1 else 1.0
     return [
@@ -35,36 +40,19 @@ def preprocessing(numeric: Sequence[str], train_rows: int, levels: Sequence[str]
         ElementwiseProduct(
             inputCol="_scaled", outputCol="_z", scalingVec=Vectors.dense([factor] * len(numeric))
         ),
-        StringIndexerModel.from_labels(list(levels), inputCol=group, outputCol="_group_no", handleInvalid="keep"),
-        OneHotEncoder(inputCols=["_group_no"], outputCols=["_group_slots"], dropLast=True, handleInvalid="error"),
+        OneHotEncoder(inputCols=["_group_no"], outputCols=["_group_slots"], dropLast=True, handleInvalid="keep"),
         VectorAssembler(inputCols=["_z", "_group_slots"], outputCol="_features"),
     ]
 
 
-def ols(target: str) -> LinearRegression:
-    """Least squares on features that are exactly collinear (changes, and all group slots).
-
-    The normal equations are singular then. A vanishing penalty makes them solvable directly
-    and, among all equally good solutions, picks the one of (nearly) least norm; measured
-    against an exact solution the predictions agree to about 1e-12.
-    """
-    return LinearRegression(
-        featuresCol="_features", labelCol=target, predictionCol="prediction", elasticNetParam=0.0,
-        regParam=1e-12, standardization=False, solver="normal",
-    )
+def ols(target: str) -> LeastSquares:
+    """Least squares on features that are exactly collinear (changes, and all group slots)."""
+    return LeastSquares(target)
 
 
-def ridge(target: str, train: DataFrame, alpha: float = 1.0) -> LinearRegression:
-    """Penalty ``alpha * |w|^2`` beside the *sum* of squared residuals.
-
-    MLlib's objective averages the residuals and works on a label scaled by its deviation,
-    hence regParam = alpha * stddev(label) / n.
-    """
-    moments = train.agg(F.stddev_pop(target).alias("sd"), F.count(target).alias("n")).first()
-    return LinearRegression(
-        featuresCol="_features", labelCol=target, predictionCol="prediction", elasticNetParam=0.0,
-        regParam=alpha * moments["sd"] / moments["n"], standardization=False, solver="normal",
-    )
+def ridge(target: str, alpha: float = 1.0) -> LeastSquares:
+    """Penalty ``alpha * |w|^2`` beside the *sum* of squared residuals."""
+    return LeastSquares(target, alpha)
 
 
 def forest(
@@ -91,62 +79,125 @@ def in_fixed_order(train: DataFrame, partitions: int, key: Sequence[str] = R.KEY
 
 
 def fit_all(
-    estimators: Mapping[str, object],
+    estimators: Mapping[str, LeastSquares | RandomForestRegressor],
     train: DataFrame,
     numeric: Sequence[str],
     partitions: int = 8,
-    max_levels: int = 10_000,
-) -> dict[str, PipelineModel]:
-    """Fit every candidate behind one shared, once-fitted preprocessing.
+    max_levels: int | None = None,
+) -> dict[str, Model]:
+    """Fit every candidate; the linear ones share their sums, the forests their preprocessing.
 
     ``partitions`` is the number of partitions a forest is fitted in, at every size of the table: it is
     part of the model, like the seed, so that machines with other core counts fit the same trees. Large
-    tables want a larger number, about one for each 128 MB of training rows. ``max_levels`` is how many
-    distinct groups may come to the driver for the one-hot slots; more of them are an error.
+    tables want a larger number, about one for each 128 MB of training rows. A linear fit takes any
+    number of groups; a forest holds a slot per group in every row it trains on, and more than
+    ``FOREST_LEVELS`` are an error. ``max_levels`` is a lower limit, for all candidates.
     """
-    prepared = Pipeline(stages=preprocessing(numeric, train.count(), group_levels(train, limit=max_levels))).fit(train)
-    models = {}
-    for name, estimator in estimators.items():
-        inputs = in_fixed_order(train, partitions) if isinstance(estimator, RandomForestRegressor) else train
-        fitted = estimator.fit(prepared.transform(inputs).select("_features", estimator.getLabelCol()))
-        models[name] = PipelineModel(stages=[*prepared.stages, fitted])
-    return models
-
-
-def fit(estimator, train: DataFrame, numeric: Sequence[str], partitions: int = 8) -> PipelineModel:
+    linear = {n: e for n, e in estimators.items() if isinstance(e, LeastSquares)}
+    forests = {n: e for n, e in estimators.items() if n not in linear}
+    levels = group_index(train) if forests or max_levels is not None else None
+    if levels is not None:
+        n_levels, limit = levels.count(), FOREST_LEVELS if max_levels is None else max_levels
+        if n_levels > limit:
+            raise ContractError(f"{R.GROUP} has {n_levels}, more than {limit} levels; too many for slots")
+    models: dict[str, Model] = dict(fit_least_squares(linear, train, numeric)) if linear else {}
+    if forests:
+        known = ForestModel(tuple(numeric), levels, n_levels, None)
+        slotted = known.with_slot(train)
+        prepared = Pipeline(stages=preprocessing(numeric, train.count())).fit(slotted)
+        for name, estimator in forests.items():
+            inputs = in_fixed_order(slotted, partitions)
+            fitted = estimator.fit(prepared.transform(inputs).select("_features", estimator.getLabelCol()))
+            models[name] = ForestModel(tuple(numeric), levels, n_levels, PipelineModel(stages=[*prepared.stages, fitted]))
+    return {name: models[name] for name in estimators}
+
+
+def fit(estimator, train: DataFrame, numeric: Sequence[str], partitions: int = 8) -> Model:
     return fit_all({"model": estimator}, train, numeric, partitions)["model"]
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Rows plus ``prediction``, without the vector columns."""
+def predict(model: Model, rows: DataFrame) -> DataFrame:
+    """Rows plus ``prediction``."""
     return model.transform(rows).select(*rows.columns, "prediction")
 
 
-def predictions_long(models: Mapping[str, PipelineModel], test: DataFrame) -> DataFrame:
-    """One row per (model, test row)."""
-    frames = [predict(m, test).withColumn("model", F.lit(name)) for name, m in models.items()]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+def predictions_long(models: Mapping[str, Model], test: DataFrame, others: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per (model, test row), from one reading of the test rows.
 
-
-def linear_form(model: PipelineModel, numeric: Sequence[str]) -> LinearForm:
-    """The fitted linear model in original units, so that it runs as a column expression."""
-    stages = model.stages
-    scaler, factor, indexer, regression = stages[1], stages[2], stages[3], stages[-1]
-    weights, intercept = {}, regression.intercept
-    scale = factor.getScalingVec()
-    for i, name in enumerate(numeric):
-        sd = scaler.std[i]
-        weights[name] = regression.coefficients[i] * scale[i] / sd if sd else 0.0
-        intercept -= weights[name] * scaler.mean[i]
-    effects = {g: regression.coefficients[len(numeric) + i] for i, g in enumerate(indexer.labels)}
-    return LinearForm(intercept, weights, effects)
+    Every model adds a column, linear ones after a join with their small table of effects, forests behind
+    one shared preprocessing; ``others`` are predictions that are columns already. The columns are then
+    unpivoted in place.
+    """
+    scored, names = test, {}
+    forests = [m for m in models.values() if isinstance(m, ForestModel)]
+    prepared: list = []
+    for i, (name, model) in enumerate(models.items()):
+        names[name] = f"_p{i}"
+        if isinstance(model, LinearModel):
+            scored = with_group_effect(scored, model.effects, model.group, "_effect")
+            scored = scored.withColumn(names[name], model.without_groups(F.col) + F.col("_effect")).drop("_effect")
+    if forests:
+        scored = forests[0].with_slot(scored)
+    for name, model in models.items():
+        if isinstance(model, ForestModel):
+            *stages, trees = model.pipeline.stages
+            if stages != prepared:  # models fitted together share them
+                scored = PipelineModel(stages=stages).transform(scored.drop("_numeric", "_scaled", "_z", "_group_slots", "_features"))
+                prepared = stages
+            scored = trees.transform(scored).withColumnRenamed("prediction", names[name])
+    for i, (name, value) in enumerate((others or {}).items()):
+        names[name] = f"_o{i}"
+        scored = scored.withColumn(names[name], value)
+    pairs = F.array(*[F.struct(F.lit(n).alias("model"), F.col(c).alias("prediction")) for n, c in names.items()])
+    return scored.withColumn("_scored", F.explode(pairs)).select(*test.columns, "_scored.prediction", "_scored.model")
+
+
+def linear_form(model: LinearModel, numeric: Sequence[str], limit: int = 10_000) -> LinearForm:
+    """The fitted model as one expression, its group effects (``limit`` at most) included."""
+    effects = {r.level: r.effect for r in model.effects.limit(limit + 1).collect()}
+    if len(effects) > limit:
+        raise ContractError(f"more than {limit} groups; join the table of effects instead")
+    return LinearForm(model.intercept, {n: model.weights[n] for n in numeric}, effects)
+
+
+def save_model(model: Model | PipelineModel, folder: str) -> str:
+    """Write a model to a new folder; returns its kind, which ``load_model`` needs."""
+    if isinstance(model, LinearModel):
+        about = [(model.intercept, list(model.numeric), [float(model.weights[n]) for n in model.numeric], model.group)]
+        model.effects.write.parquet(f"{folder}/effects")
+        _one_row(model.effects, about, _LINEAR).write.parquet(f"{folder}/form")
+        return "linear"
+    if isinstance(model, ForestModel):
+        model.levels.write.parquet(f"{folder}/levels")
+        model.pipeline.write().save(f"{folder}/pipeline")
+        _one_row(model.levels, [(list(model.numeric), model.n_levels, model.group)], _FOREST).write.parquet(f"{folder}/form")
+        return "forest"
+    model.write().save(f"{folder}/pipeline")
+    return "pipeline"
+
+
+def load_model(spark: SparkSession, folder: str, kind: str) -> Model | PipelineModel:
+    if kind == "linear":
+        form = spark.read.schema(_LINEAR).parquet(f"{folder}/form").first()
+        weights = dict(zip(form.numeric, form.weights, strict=True))
+        return LinearModel(tuple(form.numeric), form.intercept, weights, spark.read.parquet(f"{folder}/effects"), form.group)
+    pipeline = PipelineModel.load(f"{folder}/pipeline")
+    if kind == "pipeline":
+        return pipeline
+    form = spark.read.schema(_FOREST).parquet(f"{folder}/form").first()
+    return ForestModel(tuple(form.numeric), spark.read.parquet(f"{folder}/levels"), form.n_levels, pipeline, form.group)
+
+
+_LINEAR = "intercept double, numeric array<string>, weights array<double>, `group` string"
+_FOREST = "numeric array<string>, n_levels bigint, `group` string"
+
+
+def _one_row(beside: DataFrame, row: list[tuple], schema: str) -> DataFrame:
+    return beside.sparkSession.createDataFrame(row, schema).coalesce(1)
 
 
 def forecast_with_model(
-    model: PipelineModel,
+    model: Model,
     state: DataFrame,
     end_period: int,
     predicts: str,
@@ -155,7 +206,7 @@ def forecast_with_model(
     low: float = 0.0,
     high: float = 100.0,
 ) -> DataFrame:
-    """The recursive forecast for any fitted pipeline (a forest has no column form).
+    """The recursive forecast for any fitted model, step by step.
 
     One ``transform`` per calendar step over all entities and scenarios still running; the
     state is written out between steps, so the plan stays short. At most end - first steps.

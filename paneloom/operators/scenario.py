@@ -38,9 +38,16 @@ NEEDED = {"change": ("a_t0", "a_t1", "a_t3"), "level": ("a_t0", "a_t1", "a_t2",
 HISTORY_COLUMNS = [R.ENTITY, R.NAME, R.PERIOD, R.METRIC_A, R.METRIC_B, R.METRIC_B2, R.GROUP]
 
 
+#: The feature that holds a row's group effect, where one has been joined.
+GROUP_EFFECT = "group_effect"
+
+
 @dataclass(frozen=True)
 class LinearForm:
-    """A linear predictor over feature columns and group effects, usable inside the fold."""
+    """A linear predictor over feature columns and group effects, usable inside the fold.
+
+    The effects come as the feature GROUP_EFFECT if there is one, as in the fold, else as a CASE over the groups.
+    """
 
     intercept: float
     weights: Mapping[str, float]
@@ -50,7 +57,9 @@ class LinearForm:
         total = F.lit(float(self.intercept))
         for name, weight in self._without_changes().items():
             total = total + features[name] * F.lit(float(weight))
-        if self.group_effects:
+        if GROUP_EFFECT in features:
+            total = total + features[GROUP_EFFECT]
+        elif self.group_effects:
             effect = None
             for group, value in self.group_effects.items():
                 effect = (F if effect is None else effect).when(features[R.GROUP] == group, F.lit(float(value)))
@@ -68,6 +77,12 @@ class LinearForm:
         return merged
 
 
+def with_group_effect(rows: DataFrame, effects: DataFrame, group: str, name: str) -> DataFrame:
+    """``rows`` with the effect (level, effect) of their group as a column, 0 where the group is unknown."""
+    small = effects.select(F.col("level").alias("_level"), F.col("effect").alias("_found"))
+    return rows.join(small, F.col(group) == F.col("_level"), "left").withColumn(name, F.coalesce("_found", F.lit(0.0))).drop("_level", "_found")
+
+
 def matched_scenarios(percent: int, names: Mapping[str, float] = SCENARIOS) -> list[str]:
     """Decrease, constant and increase scenario for one percentage."""
     return [n for n, change in names.items() if change == 0 or round(abs(change) * 100) == percent]
@@ -120,6 +135,7 @@ def roll_forward(
     horizon: int = 3,
     low: float = 0.0,
     high: float = 100.0,
+    group_effects: DataFrame | None = None,
 ) -> DataFrame:
     """Forecast every entity x scenario step by step from its own last period to ``end_period``.
 
@@ -129,6 +145,9 @@ def roll_forward(
     A needed period that is absent ends the entity's forecast. The level is clipped, a
     predicted change is reported as it came. Supply follows the scenario's ramp and feeds the
     following step.
+
+    Group effects, a table (level, effect) or the mapping of a ``LinearForm``, are joined to the state
+    once and carried along: the plan is the same at any number of groups.
     """
     if predicts not in NEEDED:
         raise ValueError(f"predicts must be one of {list(NEEDED)}, not {predicts!r}")
@@ -147,6 +166,7 @@ def roll_forward(
             "b": at("b_t0"), "b2": at("b2_t0"), "b_lag_1": at("b_t1"), "b_lag_3": at("b_t3"),
             "b_change_1": at("b_t0") - at("b_t1"), "b_change_3": at("b_t0") - at("b_t3"),
             R.GROUP: F.col(R.GROUP),
+            GROUP_EFFECT: F.col("_effect"),
         }
         # From last + 1 to the end the ramp's progress is always within (0, 1].
         elapsed = (period - F.col("last_period")).cast("double") / (end - F.col("last_period")).cast("double")
@@ -187,6 +207,10 @@ def roll_forward(
     # sequence() counts down when its end is before its start, so finished entities go first;
     # so do entities that lack a needed period already, before they are multiplied by scenarios.
     live = state.where(F.col("last_period") < end).dropna(subset=list(needed))
+    if group_effects is None:
+        known = list(getattr(predictor, "group_effects", {}).items())
+        group_effects = state.sparkSession.createDataFrame(known, "level string, effect double") if known else None
+    live = live.withColumn("_effect", F.lit(0.0)) if group_effects is None else with_group_effect(live, group_effects, R.GROUP, "_effect")
     folded = scenario_grid(live, scenarios).withColumn(
         "_steps", F.aggregate(F.sequence(F.col("last_period") + 1, end), begin, step, lambda s: s.getField("steps"))
     )

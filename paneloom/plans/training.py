@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +13,17 @@ from paneloom.operators import evaluation as E
 from paneloom.operators import features as FE
 from paneloom.operators import models as M
 from paneloom.operators import scenario as SC
+from paneloom.operators.forest import forecast_with_forest
+from paneloom.operators.linear import LinearModel
 from paneloom.store import deal, materialise
 
 LINEAR = ["linear_regression", "ridge_regression"]
+NAIVE_CHANGE, NAIVE_LEVEL = "naive_previous_3yr_change", "naive_baseline"
 
 
 @dataclass
 class Training:
-    models: dict[str, PipelineModel]
+    models: dict[str, M.Model]
     metrics: DataFrame
     predictions: DataFrame
     selected: str
@@ -33,31 +35,28 @@ def train_change_model(
     trees: int = 300,
     depth: int = 10,
     partitions: int = 8,
-    max_levels: int = 10_000,
+    max_levels: int | None = None,
+    buffer_mb: int = 48,
 ) -> Training:
     """Three-period-change model: the lowest-MAE *linear* candidate is flagged for scenarios.
 
-    ``partitions`` and ``max_levels`` are those of ``models.fit_all``.
+    ``partitions`` and ``max_levels`` are those of ``models.fit_all``, ``buffer_mb`` that of ``models.forest``.
     """
     numeric, target = FE.CHANGE_NUMERIC, FE.CHANGE_TARGET
     rows = materialise(FE.training_rows(features, numeric, target), "training")
     train, test = FE.time_split(rows, last_train_period)
     estimators = {
         "linear_regression": M.ols(target),
-        "ridge_regression": M.ridge(target, train),
-        "random_forest": M.forest(target, trees, depth),
+        "ridge_regression": M.ridge(target),
+        "random_forest": M.forest(target, trees, depth, buffer_mb=buffer_mb),
     }
     models = M.fit_all(estimators, train, numeric, partitions, max_levels)
-    long = materialise(M.predictions_long(models, test), "predictions")
-    fitted = E.regression_metrics(long, target, "prediction", ["model"]).withColumn("model_family", F.lit("ml"))
-    naive = E.previous_change_baseline(test, train, "a_change_3", target)
-    baseline = (
-        E.regression_metrics(naive, target, "prediction")
-        .withColumn("model", F.lit("naive_previous_3yr_change"))
-        .withColumn("model_family", F.lit("baseline"))
-    )
-    order = ["model", "model_family", *E.METRICS]
-    both = materialise(baseline.select(*order).unionByName(fitted.select(*order)), "metrics")
+    naive = E.previous_change(train, "a_change_3", target)
+    scored = materialise(M.predictions_long(models, test, {NAIVE_CHANGE: naive}), "predictions")
+    family = F.when(F.col("model") == NAIVE_CHANGE, F.lit("baseline")).otherwise(F.lit("ml"))
+    both = E.regression_metrics(scored, target, "prediction", ["model"]).select("model", family.alias("model_family"), *E.METRICS)
+    both = materialise(both, "metrics")
+    long = scored.where(F.col("model") != NAIVE_CHANGE)
     metrics = E.flag_selected(both, F.col("model").isin(LINEAR))
     selected = metrics.where("selected_for_scenarios").first()["model"]
     predictions = E.prediction_errors(long, target).select(
@@ -72,25 +71,21 @@ def train_level_model(
     trees: int = 300,
     depth: int = 12,
     partitions: int = 8,
-    max_levels: int = 10_000,
+    max_levels: int | None = None,
+    buffer_mb: int = 48,
 ) -> Training:
     """Next-level model: the lowest-MAE fitted candidate wins; the baseline is only reported.
 
-    ``partitions`` and ``max_levels`` are those of ``models.fit_all``.
+    ``partitions`` and ``max_levels`` are those of ``models.fit_all``, ``buffer_mb`` that of ``models.forest``.
     """
     numeric, target = FE.LEVEL_NUMERIC, FE.LEVEL_TARGET
     rows = materialise(FE.training_rows(features, numeric, target), "training")
     train, test = FE.time_split(rows, last_train_period)
-    estimators = {"linear_regression": M.ols(target), "random_forest": M.forest(target, trees, depth)}
+    estimators = {"linear_regression": M.ols(target), "random_forest": M.forest(target, trees, depth, buffer_mb=buffer_mb)}
     models = M.fit_all(estimators, train, numeric, partitions, max_levels)
-    long = materialise(M.predictions_long(models, test), "predictions")
-    fitted = E.regression_metrics(long, target, "prediction", ["model"])
-    naive = E.regression_metrics(E.persistence_baseline(test), target, "prediction")
-    order = ["model", *E.METRICS]
-    metrics = materialise(
-        naive.withColumn("model", F.lit("naive_baseline")).select(*order).unionByName(fitted.select(*order)), "metrics"
-    )
-    selected = E.best_model(metrics, F.col("model") != "naive_baseline").first()["model"]
+    long = materialise(M.predictions_long(models, test, {NAIVE_LEVEL: F.col("a")}), "predictions")
+    metrics = materialise(E.regression_metrics(long, target, "prediction", ["model"]).select("model", *E.METRICS), "metrics")
+    selected = E.best_model(metrics, F.col("model") != NAIVE_LEVEL).first()["model"]
     predictions = E.prediction_errors(long.where(F.col("model") == selected), target).select(
         R.ENTITY, R.NAME, R.PERIOD, R.GROUP, target, "prediction", "error"
     )
@@ -99,7 +94,7 @@ def train_level_model(
 
 def forecast(
     panel: DataFrame,
-    model: PipelineModel,
+    model: M.Model,
     model_name: str,
     predicts: str,
     first_period: int,
@@ -107,18 +102,18 @@ def forecast(
     scenarios: Mapping[str, float] = SC.SCENARIOS,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Scenario forecast with a fitted pipeline: in-row fold if it is linear, stepwise if not.
+    """Scenario forecast with a fitted model, all periods of an entity in one pass: a fold over its row, or a walk of the forest.
 
-    The fold runs in ``partitions`` tasks, by default as many as the session's shuffles have.
+    Both run in ``partitions`` tasks, by default as many as the session's shuffles have.
 
     Raises ``ContractError`` when nothing falls into the reporting window.
     """
     state = materialise(SC.latest_state(SC.forecast_history(panel)), "state")
-    numeric = FE.CHANGE_NUMERIC if predicts == "change" else FE.LEVEL_NUMERIC
-    if hasattr(model.stages[-1], "coefficients"):
-        rolled = SC.roll_forward(deal(state, partitions), end_period, M.linear_form(model, numeric), predicts, scenarios)
+    state = deal(state, partitions)
+    if isinstance(model, LinearModel):
+        rolled = SC.roll_forward(state, end_period, model.form(), predicts, scenarios, group_effects=model.effects)
     else:
-        rolled = M.forecast_with_model(model, state, end_period, predicts, scenarios)
+        rolled = forecast_with_forest(model, state, end_period, predicts, scenarios)
     out = SC.require_forecast(SC.emit_window(rolled, first_period))
     if predicts == "change":
         out = out.withColumn("model_name", F.lit(model_name)).withColumn("model_type", F.lit("sugar_sensitivity_model"))

@@ -59,7 +59,7 @@ def test_ridge_equals_the_closed_form(split):
     (x, y), (xt, _) = design([train, test])
     centre = x.mean(axis=0)
     w = np.linalg.solve((x - centre).T @ (x - centre) + np.eye(x.shape[1]), (x - centre).T @ (y - y.mean()))
-    got = predictions(M.fit(M.ridge(FE.CHANGE_TARGET, train), train, FE.CHANGE_NUMERIC), test)
+    got = predictions(M.fit(M.ridge(FE.CHANGE_TARGET), train, FE.CHANGE_NUMERIC), test)
     assert got == pytest.approx((xt - centre) @ w + y.mean(), abs=1e-9)
 
 
@@ -74,7 +74,7 @@ def test_ols_equals_least_squares_on_collinear_features(split):
 
 def test_unknown_group_is_all_zeros(spark, split):
     train, test = split
-    model = M.fit(M.ridge(FE.CHANGE_TARGET, train), train, FE.CHANGE_NUMERIC)
+    model = M.fit(M.ridge(FE.CHANGE_TARGET), train, FE.CHANGE_NUMERIC)
     form = M.linear_form(model, FE.CHANGE_NUMERIC)
     stranger = test.limit(5).withColumn(R.GROUP, F.lit("elsewhere"))
     scored = M.predict(model, stranger).withColumn("by_form", form({c: F.col(c) for c in stranger.columns}))

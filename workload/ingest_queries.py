@@ -139,11 +139,35 @@ def full_refresh_load(spark, folder):
     """Loaded twice; the second load replaces the first as a whole. Both report their rows."""
     name = f"supply_{uuid.uuid4().hex}"
     supply = X.supply(spark, folder)
-    first = tables.full_refresh(supply.where("b is not null"), name, key=["entity", "period"])
-    second = tables.full_refresh(supply, name, key=["entity", "period"])
+    root = new_path(spark, "tables")
+    first = tables.full_refresh(supply.where("b is not null"), name, root, key=["entity", "period"])
+    second = tables.full_refresh(supply, name, root, key=["entity", "period"])
     return tidy(spark.table(name).withColumns({"first_load": F.lit(first), "second_load": F.lit(second)}))
 
 
+@add(
+    "full_refresh_readers",
+    with_(supply_cte())
+    + f"""select entity, period, {r('b')} as b, (select count(*) from supply) as reloaded, 1 as retired, 1 as swept
+from supply where b is not null""",
+)
+def full_refresh_readers(spark, folder):
+    """A scan begun before a reload, read after it: the old rows, until their generation is swept."""
+    name = f"supply_{uuid.uuid4().hex}"
+    supply, root = X.supply(spark, folder), new_path(spark, "tables")
+    tables.full_refresh(supply.where("b is not null"), name, root, key=["entity", "period"])
+    begun = spark.table(name)
+    tables.full_refresh(supply, name, root, key=["entity", "period"])
+    retired = sum(at is not None for at in tables.generations(spark, name).values())
+    seen = materialise(begun, "scan")
+    swept = len(tables.sweep(spark, name, older_than=0))
+    return tidy(
+        seen.select("entity", "period", "b").withColumns(
+            {"reloaded": F.lit(spark.table(name).count()), "retired": F.lit(retired), "swept": F.lit(swept)}
+        )
+    )
+
+
 @add("sorted_sink", f"select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, {r('l_quantity')} as l_quantity from lineitem")
 def sorted_sink(spark, folder):
     lines = X.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")

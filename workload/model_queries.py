@@ -2,9 +2,11 @@
 
 The fits have full SQL counterparts: the normal equations are set up with aggregates and
 solved by Gauss-Jordan elimination in a recursive query, so predictions and metrics of both
-linear candidates are compared value by value. A forest has no SQL: its rows show no values, but what
-must hold of them (``inside``: within the range of the training target, ``consistent``: metrics that
-can belong to one another), computed here from the values and stated as true in the SQL.
+linear candidates are compared value by value. A forest of bagged trees has no SQL: its rows show no values, but what
+must hold of them, computed here from the values and stated as true in the SQL. ``inside`` is within the range
+of the training target; ``beats_mean`` and ``beats_naive`` are errors below those of the training mean and of the naive
+forecast on the test rows, ``learned`` errors on its training rows below two thirds of the mean's; ``as_transform``
+is the value that MLlib's own transform gives. A model that returns the mean fails them. ``fit_tree`` compares a whole tree by value.
 """
 
 from __future__ import annotations
@@ -225,10 +227,20 @@ def fit_ols(spark, folder):
 @add("fit_ridge", with_(*CHANGE_DATA, CHANGE_RIDGE, recursive=True) + f"select entity, period, {r(RIDGE_PREDICTION)} as prediction from test")
 def fit_ridge(spark, folder):
     train, test = change_split(spark, folder)
-    model = M.fit(M.ridge(FE.CHANGE_TARGET, train), train, FE.CHANGE_NUMERIC)
+    model = M.fit(M.ridge(FE.CHANGE_TARGET), train, FE.CHANGE_NUMERIC)
     return tidy(M.predict(model, test).select(*R.KEY, "prediction"))
 
 
+def mae(rows, prediction, target):
+    return rows.agg(F.avg(F.abs(prediction - F.col(target)))).first()[0]
+
+
+def learned(model, train, target):
+    """Whether a model's error on its own training rows is below two thirds of the mean's: a forest's is, the mean's never."""
+    centre = train.agg(F.avg(target)).first()[0]
+    return mae(M.predict(model, train), F.col("prediction"), target) < 2 / 3 * mae(train, F.lit(centre), target)
+
+
 def inside(train, target):
     """Whether a forest's prediction lies where averages of training targets can lie."""
     ends = train.agg(F.struct(F.min(target).alias("low"), F.max(target).alias("high"))).first()[0]
@@ -237,12 +249,72 @@ def inside(train, target):
 
 @add(
     "fit_forest",
-    with_(*CHANGE_DATA) + f"select entity, period, {r(FE.CHANGE_TARGET)} as {FE.CHANGE_TARGET}, true as inside from test",
+    with_(*CHANGE_DATA)
+    + f"""select entity, period, {r(FE.CHANGE_TARGET)} as {FE.CHANGE_TARGET}, true as inside, true as beats_mean, true as beats_naive, true as learned from test""",
 )
 def fit_forest(spark, folder):
+    target = FE.CHANGE_TARGET
     train, test = change_split(spark, folder)
-    scored = M.predict(M.fit(M.forest(FE.CHANGE_TARGET), train, FE.CHANGE_NUMERIC), test)
-    return tidy(scored.select(*R.KEY, FE.CHANGE_TARGET, inside(train, FE.CHANGE_TARGET).alias("inside")))
+    model = M.fit(M.forest(target), train, FE.CHANGE_NUMERIC)
+    scored = materialise(M.predict(model, test), "scored")
+    error = mae(scored, F.col("prediction"), target)
+    centre = train.agg(F.avg(target)).first()[0]
+    beats = {
+        "beats_mean": F.lit(error < mae(test, F.lit(centre), target)),
+        "beats_naive": F.lit(error < mae(test, EV.previous_change(train, "a_change_3", target), target)),
+        "learned": F.lit(learned(model, train, target)),
+    }
+    return tidy(scored.select(*R.KEY, target, inside(train, target).alias("inside")).withColumns(beats))
+
+
+# A tree of depth 2 over features on a grid of 64 steps between the training rows' ends, its splits searched exactly in SQL:
+# every midpoint between neighbouring values of every feature and group slot, by the squared errors that it leaves.
+TREE_FEATURES = ["a", "a_change_3", "b", "b_lag_3"]
+TREE_STEPS = 64
+TREE_COLUMNS = [*TREE_FEATURES, *[f"g{i}" for i in range(len(LEVELS))]]
+
+
+def _split_sql(name, rows):
+    """CTEs giving the best split (part, feature, threshold) of every ``part`` of ``rows``."""
+    values = " union all ".join(f"select part, {i} as feature, {c}::double as v, y from {rows}" for i, c in enumerate(TREE_COLUMNS))
+    return f"""{name}_values as ({values}),
+{name}_sums as (select part, feature, v, count(*) as n, sum(y) as s from {name}_values group by part, feature, v),
+{name}_runs as (select part, feature, v, sum(n) over lower as n, sum(s) over lower as s, sum(n) over whole as n_all, sum(s) over whole as s_all,
+    lead(v) over (partition by part, feature order by v) as following from {name}_sums
+  window lower as (partition by part, feature order by v rows unbounded preceding), whole as (partition by part, feature)),
+{name}_best as (select part, feature, threshold from (
+  select part, feature, (v + following) / 2 as threshold, row_number() over (partition by part
+    order by round(s * s / n + (s_all - s) * (s_all - s) / (n_all - n), 6) desc, feature, v) as place
+  from {name}_runs where following is not null) where place = 1)"""
+
+
+GOES_LEFT = "case " + " ".join(f"when s.feature = {i} then t.{c} <= s.threshold" for i, c in enumerate(TREE_COLUMNS)) + " end"
+ON_GRID = ", ".join(f"floor(({c} - (select min({c}) from train)) * {TREE_STEPS} / (select max({c}) - min({c}) from train)) as {c}" for c in TREE_FEATURES)
+TREE_SQL = f"""tree_rows as (
+  select entity, period, 0 as part, {ON_GRID}, {", ".join(f"cast(grp = '{g}' as integer) as g{i}" for i, g in enumerate(LEVELS))},
+    {FE.CHANGE_TARGET} as y, period <= {CUT} as known from change_rows),
+known_rows as (select * from tree_rows where known),
+{_split_sql("first", "known_rows")},
+halves as (select t.* exclude (part), case when {GOES_LEFT} then 1 else 2 end as part from tree_rows t cross join first_best s),
+known_halves as (select * from halves where known),
+{_split_sql("second", "known_halves")},
+leaves as (select t.* exclude (part), 2 * t.part + case when {GOES_LEFT} then 0 else 1 end as part from halves t join second_best s using (part)),
+leaf_values as (select part, avg(y) as prediction from leaves where known group by part)"""
+
+
+@add("fit_tree", with_(*CHANGE_DATA, TREE_SQL) + f"select entity, period, {r('prediction')} as prediction from leaves join leaf_values using (part) where known")
+def fit_tree(spark, folder):
+    """One tree of the forest's kind without bagging, by its values for the training rows.
+
+    Splits of different features that part the training rows alike are equally good, so other rows may fall either way.
+    """
+    train, _ = change_split(spark, folder)
+    ends = train.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in TREE_FEATURES for f in (F.min, F.max)]).first()
+    low, high = ({c: F.lit(ends[f"{end}_{c}"]) for c in TREE_FEATURES} for end in ("min", "max"))
+    on_grid = {c: F.floor((F.col(c) - low[c]) * TREE_STEPS / (high[c] - low[c])).cast("double") for c in TREE_FEATURES}
+    tree = M.forest(FE.CHANGE_TARGET, trees=1, depth=2).setBootstrap(False).setMaxBins(2 * TREE_STEPS)
+    rows = materialise(train.withColumns(on_grid), "on-grid")
+    return tidy(M.predict(M.fit(tree, rows, TREE_FEATURES), rows).select(*R.KEY, "prediction"))
 
 
 @add("model_roundtrip", with_(*CHANGE_DATA, CHANGE_OLS, recursive=True) + f"select entity, period, 'linear_regression' as model, 3::bigint as horizon, {r(OLS_PREDICTION)} as prediction from test")
@@ -347,29 +419,38 @@ def consistent(metrics):
     "predictions_long",
     with_(*TRAINED, recursive=True)
     + f"""select entity, name, period, model, {rounded(['a', 'b', FE.CHANGE_TARGET, 'prediction'])}, {r(f'prediction - {FE.CHANGE_TARGET}')} as error,
-  cast(null as boolean) as inside from predictions
+  cast(null as boolean) as inside, cast(null as boolean) as beats_mean from predictions
 union all
-select entity, name, period, 'random_forest', {rounded(['a', 'b', FE.CHANGE_TARGET])}, null, null, true from test""",
+select entity, name, period, 'random_forest', {rounded(['a', 'b', FE.CHANGE_TARGET])}, null, null, true, true from test""",
 )
 def predictions_long(spark, folder):
-    train, _ = change_split(spark, folder)
-    possible = F.when(F.col("model") == "random_forest", inside(train, FE.CHANGE_TARGET))
-    rows = _trained(spark, folder).predictions.withColumn("inside", possible)
+    train, test = change_split(spark, folder)
+    is_forest = F.col("model") == "random_forest"
+    rows = _trained(spark, folder).predictions
+    centre = train.agg(F.avg(FE.CHANGE_TARGET)).first()[0]
+    better = mae(rows.where(is_forest), F.col("prediction"), FE.CHANGE_TARGET) < mae(test, F.lit(centre), FE.CHANGE_TARGET)
+    rows = rows.withColumns({"inside": F.when(is_forest, inside(train, FE.CHANGE_TARGET)), "beats_mean": F.when(is_forest, F.lit(better))})
     return tidy(linear_only(rows, "prediction", "error"))
 
 
 CONSISTENT = "mae > 0 and mae <= rmse and r2 <= 1 as consistent"
+BEATS_MEAN = f"mae < (select avg(abs({FE.CHANGE_TARGET} - (select avg({FE.CHANGE_TARGET}) from train))) from test) as beats_mean"
 
 
 @add(
     "metrics_table",
     with_(*TRAINED, METRICS, recursive=True)
-    + f"""select {SHOW_METRICS}, {CONSISTENT} from flagged
+    + f"""select {SHOW_METRICS}, {CONSISTENT}, {BEATS_MEAN}, mae < (select mae from flagged where model_family = 'baseline') as beats_naive from flagged
 union all
-select 'random_forest', 'ml', null, null, null, false, true""",
+select 'random_forest', 'ml', null, null, null, false, true, true, true""",
 )
 def metrics_table(spark, folder):
-    return tidy(linear_only(consistent(_trained(spark, folder).metrics), *EV.METRICS))
+    train, test = change_split(spark, folder)
+    centre = train.agg(F.avg(FE.CHANGE_TARGET)).first()[0]
+    metrics = _trained(spark, folder).metrics
+    naive = metrics.where("model_family = 'baseline'").first().mae
+    beats = {"beats_mean": F.col("mae") < mae(test, F.lit(centre), FE.CHANGE_TARGET), "beats_naive": F.col("mae") < naive}
+    return tidy(linear_only(consistent(metrics).withColumns(beats), *EV.METRICS))
 
 
 @add(
@@ -412,13 +493,18 @@ def _trained_level(spark, folder):
 @add(
     "train_level",
     with_(*LEVEL_DATA, LEVEL_OLS, LEVEL_METRICS, recursive=True)
-    + f"""select model, {rounded(['mae', 'rmse', 'r2'])}, {CONSISTENT} from level_metrics
+    + f"""select model, {rounded(['mae', 'rmse', 'r2'])}, {CONSISTENT}, mae < (select mae from level_metrics where model = 'naive_baseline') as beats_naive,
+  cast(null as boolean) as learned from level_metrics
 union all
-select 'random_forest', null, null, null, true""",
+select 'random_forest', null, null, null, true, true, true""",
 )
 def train_level(spark, folder):
     _, trained = _trained_level(spark, folder)
-    return tidy(linear_only(consistent(trained.metrics), *EV.METRICS))
+    train, _ = level_split(spark, folder)
+    naive = trained.metrics.where("model = 'naive_baseline'").first().mae
+    fitted = F.when(F.col("model") == "random_forest", F.lit(learned(trained.models["random_forest"], train, FE.LEVEL_TARGET)))
+    rows = consistent(trained.metrics).withColumns({"beats_naive": F.col("mae") < naive, "learned": fitted})
+    return tidy(linear_only(rows, *EV.METRICS))
 
 
 @add("model_card", with_(*TRAINED, METRICS, recursive=True) + f"select model, {shown('mae', 3)} as mae from flagged where selected_for_scenarios")
@@ -694,12 +780,21 @@ def _without_values(forecast):
     return tidy(forecast.withColumn("inside", F.col("forecast_a").between(0, 100)).drop("forecast_a"))
 
 
-@add("scenario_forecast_forest", LEVEL_ROWS_AHEAD)
+@add("scenario_forecast_forest", LEVEL_ROWS_AHEAD.replace("true as inside", f"true as inside, case when forecast_period = {EMIT} then true end as as_transform"))
 def scenario_forecast_forest(spark, folder):
-    """The stepwise forecast with the level model's forest, one transform per period."""
+    """The forecast with the level model's forest, all periods in one pass; the first period is held against MLlib's transform."""
     train, _ = level_split(spark, folder)
     model = M.fit(M.forest(FE.LEVEL_TARGET, depth=12), train, FE.LEVEL_NUMERIC)
-    return _without_values(_forecast(dense_panel(spark, folder), model, "random_forest", "level"))
+    panel = dense_panel(spark, folder)
+    forecast = _forecast(panel, model, "random_forest", "level")
+    history = SC.forecast_history(panel)
+    last = history.agg(F.max(R.PERIOD)).first()[0]
+    now = SC.latest_state(history).where(F.col("last_period") == last)
+    step = M.forecast_with_model(model, now, last + 1, "level", {SC.CONSTANT: 0.0}).select(
+        F.col(R.ENTITY).alias("of"), F.col("forecast_period").alias("first"), F.col("forecast_a").alias("step_a")
+    )
+    both = forecast.join(step, (F.col(R.ENTITY) == F.col("of")) & (F.col("forecast_period") == F.col("first")), "left")
+    return _without_values(both.withColumn("as_transform", F.abs(F.col("forecast_a") - F.col("step_a")) < 1e-9).drop("of", "first", "step_a"))
 
 
 @add("forecast_level_fitted", LEVEL_ROWS_AHEAD)
