@@ -109,7 +109,7 @@ def full_refresh(
         if exists:
             _require_types(spark.table(staging), spark.table(table))
             _write_manifest(spark, table, _manifest(spark, table) | {before: time.time(), path: None})
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
             spark.catalog.refreshTable(table)
         else:
             _write_manifest(spark, staging, {path: None})
@@ -154,8 +154,12 @@ def _manifest(spark: SparkSession, table: str) -> dict[str, float | None]:
 
 
 def _write_manifest(spark: SparkSession, table: str, found: Mapping[str, float | None]) -> None:
-    text = json.dumps(found).replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{MANIFEST}' = '{text}')")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{MANIFEST}' = {_quoted(json.dumps(found))})")
+
+
+def _quoted(text: str) -> str:
+    """``text`` as a string of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _layout(spark: SparkSession, table: str) -> tuple[tuple[int | None, tuple[str, ...]], str]:

@@ -195,6 +195,26 @@ def test_bundle_round_trip_and_errors(spark, split):
         TB.load_bundle(spark, f"{path}-half")
 
 
+def test_a_bundle_changes_as_a_whole(spark, split):
+    """A save whose second write fails leaves the bundle before; then a forest takes its place, and old generations go."""
+    train, test = split
+    path = new_path(spark, "bundle")
+    linear = M.fit(M.ols(FE.CHANGE_TARGET), train, FE.CHANGE_NUMERIC)
+    forest = M.fit(M.forest(FE.CHANGE_TARGET, trees=3, depth=3), train, FE.CHANGE_NUMERIC)
+    save = lambda model, name, horizon: TB.save_bundle(model, path, name, FE.CHANGE_NUMERIC, FE.CHANGE_TARGET, horizon, "test")
+    save(linear, "linear", 3)
+    with pytest.raises(Exception, match="horizon"):
+        save(forest, "broken", "no number")
+    loaded, about = TB.load_bundle(spark, path)
+    assert about["selected_model_name"] == "linear" and predictions(loaded, test) == pytest.approx(predictions(linear, test), abs=1e-12)
+    save(forest, "forest", 3)
+    loaded, about = TB.load_bundle(spark, path)
+    assert about["selected_model_name"] == "forest" and predictions(loaded, test) == pytest.approx(predictions(forest, test), abs=1e-12)
+    save(linear, "linear again", 3)
+    assert TB.sweep_bundle(spark, path, keep=1) == 2
+    assert TB.load_bundle(spark, path)[1]["selected_model_name"] == "linear again"
+
+
 def test_forest_is_a_property_of_the_rows(split):
     """Equal trees from one partition, from many, and from rows in another order."""
     train, test = split

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from paneloom.operators.quality import ContractError
 from paneloom.sources import landed, tables
-from paneloom.store import new_path
+from paneloom.store import new_path, shared_dir
 
 ROW = T.StructType().add("code", T.StringType()).add("year", T.StringType())
 TABLE = T.StructType().add("iso3", T.StringType()).add("year", T.IntegerType()).add("pct", T.DoubleType())
@@ -123,6 +123,41 @@ def test_refresh_replaces_as_a_whole_and_a_failed_one_changes_nothing(spark, tmp
     assert [tuple(r) for r in spark.table(name).collect()] == [(3, "c")]
 
 
+def test_a_scan_outlives_a_reload_until_its_generation_is_swept(spark, tmp_path):
+    name, root = f"t_{uuid.uuid4().hex}", str(tmp_path / "it's a root")
+    frame = lambda *values: spark.createDataFrame([(v,) for v in values], "v int")
+    tables.full_refresh(frame(1, 2), name, root)
+    begun = spark.table(name)
+    for load in (frame(3), frame(4, 5)):
+        tables.full_refresh(load, name, root)
+    assert sorted(r.v for r in begun.collect()) == [1, 2]
+    assert sorted(r.v for r in spark.table(name).collect()) == [4, 5]
+    found = tables.generations(spark, name)
+    assert len(found) == 3 and sum(at is None for at in found.values()) == 1
+    assert tables.sweep(spark, name) == [] and len(begun.collect()) == 2  # too young
+    swept = tables.sweep(spark, name, older_than=0)
+    assert len(swept) == 2 and set(found) - set(swept) == set(tables.generations(spark, name))
+    assert sorted(r.v for r in spark.table(name).collect()) == [4, 5]
+    assert len(list((tmp_path / "it's a root").iterdir())) == 1
+    with pytest.raises(ContractError):
+        tables.full_refresh(frame(6, 6), name, root, key=["v"])
+    assert len(tables.generations(spark, name)) == 1 and spark.table(name).count() == 2
+    tables._write_manifest(spark, name, tables._manifest(spark, name) | {str(tmp_path / "it's a root" / "begun"): 1.0})  # a load that died
+    assert len(tables.sweep(spark, name)) == 1
+
+
+def test_a_table_without_a_root_is_not_scratch(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    tables.full_refresh(spark.range(50), name)
+    assert tables.full_refresh(spark.range(60), name) == 60
+    folders = list(tables.generations(spark, name))
+    assert len(folders) == 2 and all(shared_dir(spark) not in f for f in folders)
+    assert all(f.startswith(tables._qualified(spark, spark.conf.get("spark.sql.warehouse.dir"))) for f in folders)
+    assert spark.table(name).count() == 60
+    tables.sweep(spark, name, older_than=0)
+    spark.sql(f"drop table {name}")
+
+
 def test_facts_bucketed_by_entity_join_and_lag_without_a_shuffle(spark, tmp_path):
     from paneloom.operators import panel as P
 
