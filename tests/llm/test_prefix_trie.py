@@ -112,7 +112,7 @@ def test_against_plain(spark, monkeypatch, keys, members, piece):
     rng = random.Random(members)
     rows = talk(rng, 300)
     rows += [(c, t, "user", f"hot {t}") for c in range(1000, 1040) for t in range(3)]  # equal conversations
-    rows += [(2000, t, "user", f"long {t % 7}") for t in range(2500)] + [(2001, t, "user", f"long {t % 7}") for t in range(2400)]
+    rows += [(2000, t, "user", f"long {t % 7}") for t in range(90)] + [(2001, t, "user", f"long {t % 7}") for t in range(80)]
     rows += [(-3, 0, None, None), (-200, 1, "user", "é" * 5), (None, 0, "user", "no conversation"), (3001, 0, "user", "y" * 100_000)]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     table = table.withColumns({c: F.lit(1) for c in ("conv", "pos", "key", "depth", "part")}).repartition(7)
