@@ -30,11 +30,19 @@ LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th caption fi
 AWAY = frozenset("nav footer header aside form menu button dialog fieldset".split())
 HOME = frozenset("article main".split())
 CLOSES_P = BLOCKS - {"body", "html", "button"}
+CONTROLS = frozenset("input select textarea button option label".split())
+#: Parts of class and id names. A name that begins with a part of ABOUT speaks of what the page has elsewhere or has not.
 HINTS_AWAY = re.compile(
-    r"(?i)(?:^|[\s_-])(ad|ads|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|sidebar|footer|header|masthead|cookies?|consent|notice|"
-    r"comments?|replies|disqus|social|share|sharing|related|recommend\w*|newsletter|subscribe|signup|login|popup|modal|widget|pagination|pager|copyright|toolbar)(?:$|[\s_-])"
+    r"ad|ads|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|sidebar|footer|header|masthead|cookies?|consent|notice|"
+    r"social|share|sharing|related|recommend\w*|newsletter|subscribe|signup|login|popup|modal|widget|pagination|pager|copyright|toolbar"
 )
-HINTS_HOME = re.compile(r"(?i)(?:^|[\s_-])(article|content|entry|post|story|main|body|text)(?:$|[\s_-])")
+HINTS_REPLIES = re.compile(r"comments?|replies|disqus")
+HINTS_HOME = re.compile(r"article|content|entry|post|story|main|body|text")
+ABOUT = frozenset("no not non without with has have hide hidden show is js supports".split())
+ALLOWED = frozenset("open closed count enabled disabled".split())
+PART = re.compile(r"[_-]+")
+#: Words for each control from which on a form holds more than its labels, and share of a page's words that no hint takes away.
+WORDS_PER_CONTROL, MOST_OF_PAGE = 12, 0.6
 
 #: The classifier's weights, towards content, in units of the smoothness costs.
 BIAS = 0.4
@@ -52,21 +60,64 @@ SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("text", "parent", "home", "away", "hint_home", "hint_away", "heading", "linked")
+    __slots__ = ("text", "parent", "element", "home", "away", "hint_home", "hint_away", "heading", "linked")
 
-    def __init__(self, text, parent, state, heading, linked):
-        self.text, self.parent, self.heading, self.linked = text, parent, heading, linked
-        self.home, self.away, self.hint_home, self.hint_away = state
+    def __init__(self, text, parent, element, heading, linked):
+        self.text, self.parent, self.element, self.heading, self.linked = text, parent, element, heading, linked
+        self.home = self.away = self.hint_home = self.hint_away = False
+
+
+class Element:
+    """An element with what its own name, class and id say, and the words and controls inside."""
+
+    __slots__ = ("above", "name", "hint_home", "hint_away", "replies", "words", "controls")
+
+    def __init__(self, above: int, name: str) -> None:
+        self.above, self.name, self.words, self.controls = above, name, 0, 0
+        self.hint_home = self.hint_away = self.replies = False
+
+    def read_names(self, attributes: str) -> None:
+        for found in NAMED.findall(attributes):
+            for name in "".join(found).lower().split():
+                parts = [p for p in PART.split(name) if p]
+                if not parts or len(parts) > 1 and parts[0] in ABOUT:
+                    continue
+                home = HINTS_HOME.fullmatch(parts[-1]) is not None  # the last part is the noun: related-content is content
+                self.hint_home = self.hint_home or home or any(HINTS_HOME.fullmatch(p) for p in parts)
+                self.replies = self.replies or parts[-1] not in ALLOWED and any(HINTS_REPLIES.fullmatch(p) for p in parts)
+                self.hint_away = self.hint_away or not home and any(HINTS_AWAY.fullmatch(p) for p in parts)
+
+    def is_away(self, home: bool, words: int) -> bool:
+        if self.name in ("form", "fieldset"):
+            return self.words < WORDS_PER_CONTROL * (self.controls + 1)
+        if self.name in ("button", "dialog", "menu"):
+            return self.words <= MOST_OF_PAGE * words
+        return self.name in AWAY and not (self.name == "header" and home)
+
+
+def _resolve(found: list[Block], elements: list[Element]) -> None:
+    """Give every block what the elements around it say. A hint on most of the page, and a form that is mostly text, say nothing."""
+    for e in reversed(elements[1:]):  # an element comes after those around it
+        elements[e.above].words += e.words
+        elements[e.above].controls += e.controls
+    words = elements[0].words
+    state = [(False, False, False, False)]
+    for e in elements[1:]:
+        home, away, hint_home, hint_away = state[e.above]
+        is_away = e.name in BLOCKS and e.is_away(home, words)
+        hinted = e.replies or e.hint_away and e.words <= MOST_OF_PAGE * words
+        state.append((home or e.name in HOME, away or is_away, hint_home or e.hint_home, hint_away or hinted))
+    for block in found:
+        block.home, block.away, block.hint_home, block.hint_away = state[block.element]
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order; unclosed and stray tags are taken as browsers mostly do."""
     out: list[Block] = []
-    # Open elements: name, number, and (home, away, hint_home, hint_away) of it and those above.
-    stack = [("", 0, (False, False, False, False))]
+    elements = [Element(0, "")]
+    stack = [("", 0)]  # open elements: name and number
     pieces: list[str] = []
     linked = links = 0
-    numbers = 0
 
     def flush() -> None:
         nonlocal linked
@@ -79,7 +130,9 @@ def blocks(page: str) -> list[Block]:
                     k -= 1
                 # A text block of its own belongs to the element around it, loose text to the element it is in.
                 parent = stack[k - 1][1] if k and stack[k][0] in LEAVES else stack[k][1]
-                out.append(Block(text, parent, stack[-1][2], stack[k][0] in ("h1", "h2", "h3", "h4", "h5", "h6"), min(1.0, linked / len(text))))
+                words = text.count(" ") + 1
+                elements[stack[-1][1]].words += words
+                out.append(Block(text, parent, stack[-1][1], stack[k][0] in ("h1", "h2", "h3", "h4", "h5", "h6"), min(1.0, linked / len(text))))
         linked = 0
 
     at, end = 0, len(page)
@@ -117,6 +170,8 @@ def blocks(page: str) -> list[Block]:
                 if stack[k][0] in ("article", "main", "nav", "footer", "aside", "header", "form", "table") and name not in BLOCKS:
                     break
             continue
+        if name in CONTROLS:
+            elements[stack[-1][1]].controls += 1
         if name in RAW or name in SKIPPED and name != "head":
             close = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
             if found[3].rstrip().endswith("/") and name in ("svg", "math"):
@@ -138,18 +193,15 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[k][0] in BLOCKS:
                     break
-        numbers += 1
-        home, away, hint_home, hint_away = stack[-1][2]
-        if name in BLOCKS:
-            home, away = home or name in HOME, away or name in AWAY and not (name == "header" and home)
-            if found[3]:
-                label = " ".join(x or y or z for x, y, z in NAMED.findall(found[3]))
-                if label:
-                    hint_home, hint_away = hint_home or bool(HINTS_HOME.search(label)), hint_away or bool(HINTS_AWAY.search(label))
+        element = Element(stack[-1][1], name)
+        if name in BLOCKS and name != "body" and found[3]:
+            element.read_names(found[3])
+        elements.append(element)
         if name == "a":
             links += 1
-        stack.append((name, numbers, (home, away, hint_home, hint_away)))
+        stack.append((name, len(elements) - 1))
     flush()
+    _resolve(out, elements)
     return out
 
 

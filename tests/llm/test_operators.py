@@ -324,6 +324,50 @@ def test_stray_quotes_swallow_no_text(page, expected):
     assert "\n\n".join(b.text for b in html_text.blocks(page)) == expected
 
 
+PARAGRAPHS = [" ".join(f"w{i}{j} long" for j in range(30)) + "." for i in range(2)]
+ARTICLE = f"<h1>The heading</h1><p>{PARAGRAPHS[0]}</p><p>{PARAGRAPHS[1]}</p>"
+CHROME = "<header><a href=1>Home</a></header><nav><ul><li><a href=2>News</a><li><a href=3>Sport</a></ul></nav>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='page no-sidebar'>{}</body>",
+        "<body class='post has-header-image'><main><article>{}</article></main></body>",
+        "<div id='main' class='with-sidebar content'>{}</div>",
+        "<article class='post related-content'>{}</article>",
+        "<form id='aspnetForm' method='post'><input type=hidden name=a><input type=hidden name=b>{}</form>",
+        "<fieldset>{}</fieldset>",
+        "<button>{}</button>",
+        "<body class='single comments-open widget'><div class='site has-sidebar'>{}</div></body>",
+        "<div class='banner'><div class='share'>{}</div></div>",
+        "<dialog open>{}</dialog>",
+    ],
+)
+@pytest.mark.parametrize("chrome", ["", CHROME])
+def test_no_wrapper_takes_the_article(page, chrome):
+    if "<article" in page:  # a header in an article is the article's
+        page, chrome = chrome + page, ""
+    said = html_text.main_text(page.replace("{}", chrome + ARTICLE + "<div class='comments-area'><p>A reader says that this is a long and good text.</p></div>"))
+    assert said == "\n\n".join(["The heading", *PARAGRAPHS])
+
+
+def test_what_is_around_still_goes():
+    form = "<form class=reply><label>Name</label><input><label>Your comment, which will be shown below the text</label><textarea>x</textarea><button>Send</button></form>"
+    side = "<div class='widget-area main-menu'><p>Here are some other things that you could read.</p></div><div class='related-posts'><p>Another story of ours, please read it.</p></div>"
+    assert html_text.main_text(f"{CHROME}<main>{ARTICLE}</main>{form}{side}") == "\n\n".join(["The heading", *PARAGRAPHS])
+    deep = "<div class=a>x y z" * 20_000
+    assert len(html_text.blocks(deep)) == 20_000
+
+
+def test_page_text_of_odd_tables(spark):
+    rows = [(1, "u", ARTICLE, "t", 3), (1, "u", ARTICLE, "t", 3), (None, None, None, None, None)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int").withColumn("row", F.lit(1))
+    got = html_text.extract_text(table).collect()
+    assert sorted(r.text for r in got) == ["", *["\n\n".join(["The heading", *PARAGRAPHS])] * 2]
+    assert html_text.extract_text(table.where("false")).count() == 0
+
+
 def test_licences(docs, empty, spark):
     model = licenses.fit_licences(docs, background=20)
     held = {
