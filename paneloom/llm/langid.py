@@ -136,25 +136,28 @@ def fit_languages(
     rounds: int = 8,
     quantile: float = 0.99,
     slack: float = 0.75,
+    most_languages: int = 256,
 ) -> LanguageModel:
     """Fit on at most ``per_language`` labelled texts of each language, chosen by a hash of ``order`` and text.
 
-    ``per_language`` bounds the sample, and with it all that reaches the driver: one vector of
-    document frequencies per task and the centroids. Rows without text or language are left
-    out. A radius is where the cosine is ``slack`` times the one that a share ``quantile`` of the
-    cluster's texts of that size reach by centroids fitted without them; a language with one text has
-    nothing to measure by and rejects nothing.
+    ``per_language`` and ``most_languages`` bound the sample, and with it all that reaches the driver: one vector of
+    document frequencies per task and the centroids. Of more languages those with the most texts are learned, the
+    first in the alphabet among equals; texts of the others get a learned language or are rejected. Rows without text or
+    language are left out, and rows that repeat order, text and language count once. A radius is where
+    the cosine is ``slack`` times the one that a share ``quantile`` of the cluster's texts of that size reach by
+    centroids fitted without them; a language with one text has nothing to measure by and rejects nothing.
     """
     order = F.lit(0) if order is None else order
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), order.alias("pick")).dropna(subset=["text", "lang"])
-    # Rows whose number is too high to be among the first go before the texts are moved: a language
-    # of n rows keeps about four times the sample, whose chance to miss one of the first is nil.
-    numbered = rows.withColumn("draw", F.shiftrightunsigned(F.xxhash64("pick", "text"), 1) / F.lit(2.0**63))
-    # Stored, so that the planner sees one short row per language and leaves the texts where they are.
-    sizes = materialise(rows.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("rows")), "language-sizes")
-    near = numbered.join(sizes, F.col("lang") == F.col("of")).where(F.col("draw") * F.col("rows") <= 4 * per_language + 50)
-    ranked = near.withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("draw", F.md5("text"))))
-    sample = materialise(ranked.where(F.col("no") <= per_language).select("text", "lang"), "languages")
+    # The draws decide without the texts; stored, they are few rows, and the planner leaves the texts where they are.
+    drawn = rows.withColumn("draw", F.shiftrightunsigned(F.xxhash64("pick", "text", "lang"), 1))
+    different = materialise(drawn.select("lang", "draw").distinct(), "draws")
+    learned = different.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).select("lang")
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("draw")) <= per_language
+    picked = different.join(learned, "lang", "left_semi").withColumn("first", first).where("first").select(F.col("lang").alias("of"), F.col("draw").alias("at"))
+    picked = materialise(picked, "language-draws")
+    near = drawn.join(picked, (F.col("lang") == F.col("of")) & (F.col("draw") == F.col("at")))
+    sample = materialise(near.groupBy("lang", "draw").agg(F.any_value("text").alias("text")).select("text", "lang"), "languages")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(DIMENSIONS, np.int64), 0
