@@ -30,7 +30,7 @@ def quality_weight(text: Column) -> Column:
 
 def exponential_key(identity: Column, weight: Column, seed: int) -> Column:
     """An exponential number of rate ``weight``, the same in every run; the smallest come first."""
-    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(identity, F.lit("null")))), 1, 13), 16, 10).cast("bigint")
+    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), identity)), 1, 13), 16, 10).cast("bigint")
     return -F.log((bits.cast("double") + 0.5) / F.lit(2.0**52)) / weight
 
 
@@ -71,25 +71,29 @@ def mix_sources(
     ``row`` is a struct of all input columns. Sizes are words; a document without words has size
     0 and comes with the complete epochs only. A document at the border of the last, partial
     epoch is taken if more than half of it lies below the target, so a source's words are within
-    half a document of it. Repeated rows are documents of their own; a null source is a source.
-    ``taken`` is copies times size. The rows are stored once with their numbers; what is sorted is
+    half a document of it. Repeated rows are documents of their own; a null source is a source. A key
+    comes from identity and text, and equal keys go by size and text: rows that are still equal are
+    the same document, so the mix does not depend on how rows arrive. ``taken`` is copies times size. The rows are stored once with their numbers; what is sorted is
     numbers, range-partitioned by (source, key), so one large source is spread over many tasks.
     """
     text_column = F.col(f"row.{text}").cast("string")
     stored = materialise(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("no")), "to-mix")
+    content = F.md5(F.coalesce(text_column, F.lit("")))
+    named = F.concat(F.coalesce(F.col(f"row.{identity}").cast("string"), F.lit("null")), F.lit(":"), content)
     sized = materialise(
         stored.select(
             "no",
             F.col(f"row.{source}").cast("string").alias("source"),
             word_count(text_column).alias("size"),
-            exponential_key(F.col(f"row.{identity}").cast("string"), quality_weight(text_column), seed).alias("key"),
+            exponential_key(named, quality_weight(text_column), seed).alias("key"),
+            content.alias("content"),
         ),
         "sizes",
     )
     targets = materialise(
         source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, share, most), "targets"
     )
-    ordered = running_totals(sized, ["source"], ["key", "no"], "size")
+    ordered = running_totals(sized, ["source"], ["key", "size", "content", "no"], "size")
     of = targets.withColumnRenamed("source", "of")
     epochs = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)).cast("bigint")
     rest = F.col("target") - F.col("epochs") * F.col("source_size")

@@ -136,7 +136,8 @@ MIXING_SQL = r"""
 with d as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
     greatest(0.05::double, coalesce(1 - 4.0::double * (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g'))) / nullif(length(text), 0), 0)) as quality,
-    ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint as bits
+    md5(coalesce(text, '')) as content,
+    ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, 'null') || ':' || md5(coalesce(text, ''))), 1, 13))::bigint as bits
   from documents
 ), keyed as (
   select *, -ln((bits::double + 0.5) / 4503599627370496.0::double) / quality as key from d
@@ -153,7 +154,7 @@ with d as (
   select source, source_size, coalesce(least(cap, weight * max(level) over ()), cap) as target from levels
 ), ordered as (
   select k.doc_id, k.size, t.source_size, t.target, coalesce(floor(target / nullif(source_size, 0)), 0)::bigint as epochs,
-    coalesce(sum(size) over (partition by k.source order by key rows between unbounded preceding and 1 preceding), 0) as before
+    coalesce(sum(size) over (partition by k.source order by key, size, content rows between unbounded preceding and 1 preceding), 0) as before
   from keyed k join targets t on k.source is not distinct from t.source
 )
 select doc_id, size, source_size, round(target, 6) as target,

@@ -83,6 +83,21 @@ def test_language(spark, docs, empty):
     assert {r.lang_pred for r in langid.predict_languages(docs, none).collect()} == {"und"}
 
 
+def test_repeated_rows_take_no_language_away(spark):
+    rng = random.Random(3)
+    words = {"aa": ["alpha", "beta", "gamma", "delta"], "bb": ["uno", "dos", "tres", "cuatro"], "cc": ["yksi", "kaksi", "kolme"]}
+    text = lambda lang: " ".join(rng.choice(words[lang]) for _ in range(12))
+    once = text("bb")
+    rows = [(i, text("aa"), "aa") for i in range(300)] + [(7, once, "bb")] * 2000 + [(i, text("bb"), "bb") for i in range(400, 405)] + [(9, text("cc"), "cc")] * 3
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = langid.fit_languages(table, order=F.col("doc_id"), per_language=50)
+    assert set(model.languages) == {"aa", "bb", "cc"}
+    asked = spark.createDataFrame([(1, text("aa")), (2, text("bb")), (3, once)], "doc_id long, text string")
+    assert sorted((r.row.doc_id, r.lang_pred) for r in langid.predict_languages(asked, model).collect()) == [(1, "aa"), (2, "bb"), (3, "bb")]
+    few = langid.fit_languages(table, order=F.col("doc_id"), per_language=50, most_languages=2)
+    assert set(few.languages) == {"aa", "bb"}
+
+
 def test_shards(docs, empty):
     rows = sharding.shuffle_into_shards(docs, 4, seed=1).collect()
     sizes = Counter(r.shard for r in rows)
@@ -244,6 +259,15 @@ def test_mixing(docs, empty, spark):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_mixing_does_not_depend_on_how_rows_arrive(spark):
+    rng = random.Random(6)
+    rows = [(None, f"text {i} " * rng.randrange(1, 30), "a") for i in range(400)] + [(i // 5, f"other {i} " * rng.randrange(1, 30), "ab"[i % 2]) for i in range(100)]
+    rows += [(None, "the same", "a")] * 50 + [(3, None, "b"), (3, "", "b")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = [Counter((r.row.doc_id, r.row.text, r.row.source, r.taken) for r in mixing.mix_sources(t).collect()) for t in (table.repartition(1), table.repartition(9), table.orderBy("text"))]
+    assert runs[0] == runs[1] == runs[2] and len({r[3] > 0 for r in runs[0]}) == 2
+
+
 def test_word_ids_are_the_tokenizers():
     words = packing.WordIds(vocabulary())
     texts = ["a  b", "a   b \n c", " x", "x ", "\n\n a", "", "é  z　 q", "tab\t x", "a \n \n b", "<|endoftext|> ok", "it's we'll", "  ", "q\x1c  r \x85 s", None, "a\r\n b", LONG]
