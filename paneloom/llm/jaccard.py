@@ -82,7 +82,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _summarise(source: DataFrame, width: int, limit: Threshold) -> DataFrame:
-    """Per row (id, text): size, a 128-bit identity of the set, and its posted hashes in order."""
+    """Per row (id, text, content): size, a 128-bit identity of the set, and its posted hashes in order."""
     below = np.uint64(int(ABOVE_PREFIX * (100 - limit.percent) / 100 * 2**64) if limit.percent > 25 else 2**64 - 1)
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,13 +101,13 @@ def _summarise(source: DataFrame, width: int, limit: Threshold) -> DataFrame:
                 within = np.arange(len(hashes)) - np.repeat(starts, counts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), pa.array(counts.astype(np.int64)), _signed(sums[0]), _signed(sums[1]),
+                        part.column(0), part.column(2), pa.array(counts.astype(np.int64)), _signed(sums[0]), _signed(sums[1]),
                         pa.array(under.astype(np.int64)), _blobs(hashes[within < np.repeat(posted, counts)], posted),
                     ],
-                    names=["id", "n", "s1", "s2", "under", "posted"],
+                    names=["id", "content", "n", "s1", "s2", "under", "posted"],
                 )
 
-    return source.mapInArrow(summarise, "id long, n long, s1 long, s2 long, under long, posted binary")
+    return source.mapInArrow(summarise, "id long, content long, n long, s1 long, s2 long, under long, posted binary")
 
 
 def _postings(sets: DataFrame) -> DataFrame:
@@ -296,8 +296,11 @@ def _roots(parent: list[int]) -> np.ndarray:
         up = above
 
 
-def _links(members: DataFrame, docs: DataFrame, width: int, limit: Threshold) -> DataFrame:
-    """(a, b): a spanning forest of the links inside each group (id, n, component)."""
+def _links(members: DataFrame, docs: DataFrame, firsts: DataFrame, width: int, limit: Threshold) -> DataFrame:
+    """(a, b): a spanning forest of the links inside each group (id, n, component).
+
+    ``firsts`` (id, named, content) leads from a set to the id and text of its first row in ``docs`` (id, text, content).
+    """
     chunked = running_totals(members, ["component"], ["n", "id"], "n").select(
         "id", "n", "component", F.floor(F.col("before") / F.lit(CHUNK)).cast("int").alias("chunk")
     )
@@ -311,9 +314,12 @@ def _links(members: DataFrame, docs: DataFrame, width: int, limit: Threshold) ->
     ends = F.explode(F.array_distinct(F.array("i", "j")))
     by_chunk = cells.select("c", "i", "j", ends.alias("k"))
 
-    # The members grow with the documents: this join is a sort-merge join at every size.
-    wanted = chunked.select(F.col("id").alias("member"), "component", "chunk").hint("merge")
-    source = docs.join(wanted, F.col("id") == F.col("member"))
+    # The members grow with the documents: these joins are sort-merge joins at every size.
+    of = firsts.select(F.col("id").alias("of"), "named", F.col("content").alias("says")).hint("merge")
+    wanted = chunked.join(of, F.col("id") == F.col("of")).select(F.col("id").alias("member"), "named", "says", "component", "chunk").hint("merge")
+    found = docs.join(wanted, F.col("content").eqNullSafe(F.col("says")) & F.col("id").eqNullSafe(F.col("named")))
+    # Repeated rows meet map-side.
+    source = found.groupBy(F.col("member").alias("id"), "component", "chunk").agg(F.any_value("text").alias("text"))
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -366,36 +372,54 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     A set is the distinct shingles of ``width`` words, A-Z in lower case; a text of fewer words has
     its whole sequence as one. A text that is null or without words has none and links with
-    nothing. ``component_id`` is the smallest id reachable by links. Rows with a null id come out
-    with a null component if nothing else shares their set, and never lend their id. Rows that
-    repeat an id with one text come out as often; an id with several texts joins their sets.
+    nothing. ``component_id`` is the smallest id reachable by links, null only if no row there
+    has an id: rows without an id take part like all others, and so does every text of a repeated id.
     """
+    found = _components(docs, doc_id, text, width, percent)
+    return found.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("head.id")).alias("component_id"))
+
+
+def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
+    """(id, content, n, head) for every row: ``head`` is the component's first row, by id (null last), null without words."""
     limit = Threshold(percent)
-    source = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-    sets = materialise(_summarise(source, width, limit), "sets")
-    classes = materialise(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("first_id")), "classes")
-    firsts = classes.where("first_id is not null").select("n", "s1", "s2", F.col("first_id").alias("id")).distinct()
-    # One set per class goes on; repeated rows of the first id are the same set.
-    chosen = sets.where("n > 0").join(firsts.hint("merge"), ["n", "s1", "s2", "id"], "left_semi")
+    body = F.col(text).cast("string")
+    source = docs.select(F.col(doc_id).cast("bigint").alias("id"), body.alias("text"), F.xxhash64(body).alias("content"))
+    # The stored rows are numbered; a set is known by the number of its first row.
+    sets = materialise(_summarise(source, width, limit).withColumn("no", F.monotonically_increasing_id()), "sets")
+    first = F.struct(F.col("id").isNull().alias("nameless"), "id", "content", "no")
+    classes = materialise(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(first).alias("first")), "classes")
+    firsts = classes.select("n", F.col("first.no").alias("id"), F.col("first.id").alias("named"), F.col("first.content").alias("content"))
+    # One set per class goes on.
+    chosen = sets.select(F.col("no").alias("id"), "n", "under", "posted").join(firsts.select("id").hint("merge"), "id", "left_semi")
     pieces = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     postings = _postings(chosen).repartition(pieces, "h").sortWithinPartitions("h", "id")
     lists = materialise(_scan_lists(postings, limit), "lists")
     groups = connected_components(_candidate_edges(lists, limit))
     sizes = firsts.select("id", "n")
     members = materialise(groups.join(sizes, F.col("node") == F.col("id")).select("id", "n", "component"), "members")
-    links = connected_components(_links(members, source, width, limit))
+    links = connected_components(_links(members, source, firsts, width, limit))
     linked = links.select(F.col("node").alias("linked"), "component")
-    of_class = classes.join(linked, F.col("first_id") == F.col("linked"), "left").select(
-        F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.coalesce("component", "first_id").alias("component")
-    )
-    same = (F.col("n") == F.col("cn")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2"))
-    return sets.join(of_class, same, "left").select(
-        "id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
-    )
+    labelled = classes.join(linked, F.col("first.no") == F.col("linked"), "left")
+    grouped = materialise(labelled.select("n", "s1", "s2", "first", F.coalesce("component", "first.no").alias("component")), "grouped")
+    heads = grouped.groupBy("component").agg(F.min("first").alias("head")).withColumnRenamed("component", "c")
+    of_class = grouped.join(heads, F.col("component") == F.col("c")).select(*[F.col(c).alias(f"of_{c}") for c in ("n", "s1", "s2")], "head")
+    same = (F.col("n") == F.col("of_n")) & (F.col("s1") == F.col("of_s1")) & (F.col("s2") == F.col("of_s2"))
+    return sets.join(of_class, same, "left").select("id", "content", "n", "head")
 
 
 def first_of_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The columns of ``docs``, one document of each component: the one with the smallest id."""
-    found = jaccard_components(docs, width=width, percent=percent)
-    firsts = found.where("id = component_id or component_id is null").select(F.col("id").alias("kept_id")).distinct()
-    return docs.join(firsts, F.col("doc_id").cast("bigint").eqNullSafe(F.col("kept_id")), "left_semi")
+    """The columns of ``docs``, one row of each component: the first by id (null last) and text. Rows without words stay."""
+    found = _components(docs, "doc_id", "text", width, percent)
+    is_head = F.col("id").eqNullSafe(F.col("head.id")) & F.col("content").eqNullSafe(F.col("head.content"))
+    kept = found.where((F.col("n") == 0) | is_head).groupBy(F.col("id").alias("kept_id"), F.col("content").alias("kept_content"))
+    kept = materialise(kept.agg((F.sum((F.col("n") > 0).cast("int")) > 1).alias("repeated")), "kept")
+    content = F.xxhash64(F.col("text").cast("string"))
+    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), content.alias("content")).join(
+        kept.hint("merge"), F.col("id").eqNullSafe(F.col("kept_id")) & F.col("content").eqNullSafe(F.col("kept_content"))
+    )
+    columns = [F.col("row").getField(c).alias(c) for c in docs.columns]
+    once = marked.where("not repeated").select(*columns)
+    if kept.where("repeated").isEmpty():
+        return once
+    # Rows that repeat both id and text: one of each.
+    return once.unionByName(marked.where("repeated").dropDuplicates(["id", "content"]).select(*columns))

@@ -212,6 +212,24 @@ def test_jaccard_odd_rows(docs, empty):
     assert jaccard.jaccard_components(empty).count() == 0
     kept = jaccard.first_of_groups(docs, width=3)
     assert kept.columns == docs.columns and Counter(r.doc_id for r in kept.collect())[2] == 0
+    assert Counter(r.doc_id for r in kept.collect()) == {1: 1, 3: 1, 4: 1, 5: 1, 6: 1, None: 1, 7: 1}
+
+
+def test_jaccard_of_rows_without_or_with_repeated_ids(spark):
+    """Near copies of every kind of row are linked, and one row of each group stays."""
+    rng = random.Random(9)
+    text = lambda: [f"w{rng.randrange(5000)}" for _ in range(100)]
+    near = lambda words: " ".join([*words[:50], "changed", *words[51:]])
+    a, b, c = text(), text(), text()
+    rows = [(5, " ".join(a)), (None, near(a)), (None, " ".join(a)), (5, " ".join(b)), (9, near(b)), (None, " ".join(c)), (None, near(c)), (5, " ".join(a)), (None, None), (None, None), (8, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit(1) for n in ("id", "content", "head", "repeated", "row")})
+    got = Counter((r.id, r.component_id) for r in jaccard.jaccard_components(table).collect())
+    assert got == {(5, 5): 3, (None, 5): 2, (9, 5): 1, (None, None): 4, (8, 8): 1}
+    kept = jaccard.first_of_groups(table)
+    assert kept.columns == table.columns
+    found = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert sum(found.values()) == 6 and found[(None, None)] == 2 and found[(8, "")] == 1 and sum(n for (i, _), n in found.items() if i == 5) == 2
+    assert jaccard.first_of_groups(table.where("false")).count() == 0
 
 
 def test_posting_lists_across_batches():
