@@ -5,10 +5,10 @@ shard follow a multivariate hypergeometric law whose margins are the partitions'
 the shards' sizes. The matrix is drawn first, exactly; every partition then permutes its rows
 and cuts them at its matrix row, the pieces are exchanged, and every shard permutes again.
 
-All of it is column expressions: a partition finds its matrix row by walking down a binary tree
-over the partitions. At each node the shards' remaining places are divided between the halves
-by hypergeometric draws whose uniform numbers come from a hash of the seed and the node, so
-that all partitions below a node see the same division.
+All of it is column expressions. The matrix is drawn down a binary tree over the partitions, level by level, as
+a table of one row per node: a node's places in the shards are divided between its halves by
+hypergeometric draws, once, at a cost that does not grow with the rows; the uniform numbers come from a
+hash of the seed and the node.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneloom.store import materialise
+from paneloom.store import deal, materialise
 
 #: Rows that one task permutes within a shard, about.
 ROWS_PER_PIECE = 20_000
@@ -42,11 +42,24 @@ def _log_factorial(n: Column) -> Column:
     return F.when(n < 9, F.get(small, n.cast("int"))).otherwise(series)
 
 
+def _log_ratio(a: Column, b: Column) -> Column:
+    """log(a! / b!), for numbers next to each other relative to their size, without the cancellation of large logarithms."""
+    x, y = a.cast("double"), b.cast("double")
+    tail = lambda z: 1 / (12 * z) - 1 / (360 * z * z * z)
+    near = (y + 0.5) * F.log1p((x - y) / y) + (x - y) * (F.log(x) - 1) + tail(x) - tail(y)
+    return F.when(F.least(a, b) < 40, _log_factorial(a) - _log_factorial(b)).otherwise(near)
+
+
+#: Spread up to which a draw walks outwards from the mode; and attempts of a wider draw, of which about one in four fails.
+WALKED, ATTEMPTS = 16.0, 40
+
+
 def hypergeometric(total: Column, good: Column, drawn: Column, u: Column) -> Column:
-    """How many good ones are among ``drawn`` of ``total``, by inversion outwards from the mode.
+    """How many good ones are among ``drawn`` of ``total``.
 
-    The steps reach twelve deviations to either side; what lies beyond has less probability
-    than the doubles resolve.
+    Narrow laws are inverted outwards from the mode, twelve deviations to either side; what lies beyond has less
+    probability than the doubles resolve. Wide ones are drawn by the ratio of uniforms (Stadlober's table mountain hat), whose
+    uniform numbers are hashes of ``u``: the cost does not depend on the spread.
     """
 
     def draw(p: Column) -> Column:
@@ -54,88 +67,106 @@ def hypergeometric(total: Column, good: Column, drawn: Column, u: Column) -> Col
         low, high = F.greatest(F.lit(0), m + k - n), F.least(k, m)
         mode = F.greatest(low, F.least(high, F.floor((m + 1).cast("double") * (k + 1) / (n + 2)).cast("bigint")))
         spread = F.sqrt(m.cast("double") * k / n * (n - k) / n * (n - m) / F.greatest(n - 1, F.lit(1)))
-        steps = F.ceil(12 * spread + 12).cast("bigint")
-        comb = lambda a, b: _log_factorial(a) - _log_factorial(b) - _log_factorial(a - b)
-
-        def from_mode(q: Column) -> Column:
-            weight = F.exp(comb(k, q["mode"]) + comb(n - k, m - q["mode"]) - comb(n, m))
-            start = F.struct(
-                (p["u"] - weight).alias("left"), weight.alias("up"), weight.alias("down"),
-                F.when(p["u"] <= weight, q["mode"]).alias("found"),
-            )
-
-            def step(s: Column, i: Column) -> Column:
-                x, y = q["mode"] + i, q["mode"] - i
-                up = F.when(
-                    x <= q["high"], s["up"] * ((k - x + 1).cast("double") * (m - x + 1)) / (x.cast("double") * (n - k - m + x))
-                ).otherwise(F.lit(0.0))
-                down = F.when(
-                    y >= q["low"], s["down"] * ((y + 1).cast("double") * (n - k - m + y + 1)) / ((k - y).cast("double") * (m - y))
-                ).otherwise(F.lit(0.0))
-                moved = F.struct(s["left"].alias("left"), up.alias("up"), down.alias("down"), s["found"].alias("found"))
-                hit = lambda t: F.when(t["found"].isNotNull(), t["found"]).when(t["left"] <= t["up"], x).when(t["left"] <= t["up"] + t["down"], y)
-                return F.when(s["found"].isNotNull(), s).otherwise(
-                    _let(moved, lambda t: F.struct((t["left"] - t["up"] - t["down"]).alias("left"), t["up"].alias("up"), t["down"].alias("down"), hit(t).alias("found")))
-                )
-
-            steps_taken = F.sequence(F.lit(1).cast("bigint"), F.greatest(q["steps"], F.lit(1).cast("bigint")))
-            return F.aggregate(steps_taken, start, step, lambda s: F.coalesce(s["found"], q["mode"]))
-
-        frame = F.struct(low.alias("low"), high.alias("high"), mode.alias("mode"), steps.alias("steps"))
-        return F.when(low >= high, low).otherwise(_let(frame, from_mode))
+        frame = F.struct(low.alias("low"), high.alias("high"), mode.alias("mode"), spread.alias("spread"))
+        chosen = lambda q: F.when(q["spread"] <= WALKED, _from_mode(p, q)).otherwise(_by_ratio(p, q))
+        return F.when(low >= high, low).otherwise(_let(frame, chosen))
 
     big = lambda c: c.cast("bigint")
     return _let(F.struct(big(total).alias("n"), big(good).alias("k"), big(drawn).alias("m"), u.alias("u")), draw)
 
 
-def communication_matrix(counts: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(part, sends): how many rows every partition sends to each shard.
+def _from_mode(p: Column, q: Column) -> Column:
+    n, k, m = p["n"], p["k"], p["m"]
+    comb = lambda a, b: _log_factorial(a) - _log_factorial(b) - _log_factorial(a - b)
+    # The weight of the mode, by logarithms that nearly cancel; the walk's own weights add up to 1 with it.
+    weight = F.exp(comb(k, q["mode"]) + comb(n - k, m - q["mode"]) - comb(n, m))
+    start = F.struct(
+        (p["u"] - weight).alias("left"), weight.alias("up"), weight.alias("down"),
+        F.when(p["u"] <= weight, q["mode"]).alias("found"),
+    )
 
-    ``counts`` has one row (part, n) per partition. Their prefix sums go to every partition as
-    one array: its length is the number of partitions, not of rows.
-    """
-    ordered = counts.agg(F.array_sort(F.collect_list(F.struct("part", "n"))).alias("all")).select(
-        F.col("all.part").alias("parts"),
-        F.aggregate(
-            F.col("all.n"), F.array(F.lit(0).cast("bigint")), lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n))
-        ).alias("sums"),
-    )
-    one = ordered.select(F.struct("*")).scalar()
-    rows = F.element_at("_t.sums", -1)
-    base = F.floor(rows / F.lit(shards)).cast("bigint")
-    places = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda j: base + (j < rows - base * shards).cast("bigint"))
-    width = F.size("_t.parts").cast("bigint")
-    levels = F.ceil(F.log2(F.greatest(width, F.lit(2)))).cast("int")
-
-    def descend(s: Column, _level: Column) -> Column:
-        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("bigint")
-
-        def halve(h: Column) -> Column:
-            """Divide the node's places: the lower half's rows are drawn from the shards one after the other."""
-            start = F.struct(h["lower"].alias("need"), h["whole"].alias("pool"), F.array().cast("array<bigint>").alias("got"))
-
-            def one_shard(d: Column, j: Column) -> Column:
-                place = F.get(s["places"], j)
-                got = hypergeometric(d["pool"], place, d["need"], _uniform(F.lit(seed), s["lo"], s["hi"], j))
-                return _let(got, lambda g: F.struct((d["need"] - g).alias("need"), (d["pool"] - place).alias("pool"), F.concat(d["got"], F.array(g)).alias("got")))
-
-            low = F.aggregate(F.sequence(F.lit(0), F.lit(shards - 1)), start, one_shard, lambda d: d["got"])
-            below = F.col("_at") < h["middle"]
-            return F.when(below, F.struct(s["lo"].alias("lo"), h["middle"].alias("hi"), low.alias("places"))).otherwise(
-                F.struct(h["middle"].alias("lo"), s["hi"].alias("hi"), F.zip_with(s["places"], low, lambda a, b: a - b).alias("places"))
+    def step(s: Column, i: Column) -> Column:
+        x, y = q["mode"] + i, q["mode"] - i
+        up = F.when(
+            x <= q["high"], s["up"] * ((k - x + 1).cast("double") * (m - x + 1)) / (x.cast("double") * (n - k - m + x))
+        ).otherwise(F.lit(0.0))
+        down = F.when(
+            y >= q["low"], s["down"] * ((y + 1).cast("double") * (n - k - m + y + 1)) / ((k - y).cast("double") * (m - y))
+        ).otherwise(F.lit(0.0))
+        moved = F.struct(s["left"].alias("left"), up.alias("up"), down.alias("down"), s["found"].alias("found"))
+        hit = lambda t: F.when(t["found"].isNotNull(), t["found"]).when(t["left"] <= t["up"], x).when(t["left"] <= t["up"] + t["down"], y)
+        return F.when(s["found"].isNotNull(), s).otherwise(
+            _let(moved, lambda t: F.struct((t["left"] - t["up"] - t["down"]).alias("left"), t["up"].alias("up"), t["down"].alias("down"), hit(t).alias("found")))
+        )
+
+    steps = F.ceil(12 * q["spread"] + 12).cast("bigint")
+    return F.aggregate(F.sequence(F.lit(1).cast("bigint"), steps), start, step, lambda s: F.coalesce(s["found"], q["mode"]))
+
+
+def _by_ratio(p: Column, q: Column) -> Column:
+    n, k, m = p["n"], p["k"], p["m"]
+    centre = m.cast("double") * k / n + 0.5
+    # Fixed values of the method: 2 sqrt(2/e) and 3 - 2 sqrt(3/e).
+    width = 2 * math.sqrt(2 / math.e) * F.sqrt(q["spread"] * q["spread"] + 0.5) + (3 - 2 * math.sqrt(3 / math.e))
+
+    def attempt(found: Column, i: Column) -> Column:
+        x, y = _uniform(p["u"], i, F.lit("x")), _uniform(p["u"], i, F.lit("y"))
+
+        def judge(t: Column) -> Column:
+            z = t["z"]
+            # The logarithm of the law at z over that at the mode.
+            height = -(
+                _log_ratio(z, q["mode"]) + _log_ratio(k - z, k - q["mode"]) + _log_ratio(m - z, m - q["mode"]) + _log_ratio(n - k - m + z, n - k - m + q["mode"])
             )
+            return F.when((z >= q["low"]) & (z <= q["high"]) & (2 * F.log(t["x"]) <= height), z)
+
+        place = F.floor(centre + width * (y - 0.5) / x).cast("bigint")
+        return F.when(found.isNotNull(), found).otherwise(_let(F.struct(x.alias("x"), place.alias("z")), judge))
 
-        at = lambda i: F.get(F.col("_t.sums"), i.cast("int"))
-        node = F.struct(middle.alias("middle"), (at(middle) - at(s["lo"])).alias("lower"), (at(s["hi"]) - at(s["lo"])).alias("whole"))
-        return F.when(s["hi"] - s["lo"] <= 1, s).otherwise(_let(node, halve))
+    tried = F.aggregate(F.sequence(F.lit(1), F.lit(ATTEMPTS)), F.lit(None).cast("bigint"), attempt)
+    return F.coalesce(tried, q["mode"])
 
-    root = F.struct(F.lit(0).cast("bigint").alias("lo"), width.alias("hi"), places.alias("places"))
-    walked = F.aggregate(F.sequence(F.lit(1), levels), root, descend, lambda s: s["places"])
-    return (
-        counts.withColumn("_t", one)
-        .withColumn("_at", (F.array_position("_t.parts", F.col("part")) - 1).cast("bigint"))
-        .select("part", walked.alias("sends"))
+
+def communication_matrix(counts: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(part, sends): how many rows every partition sends to each shard.
+
+    ``counts`` has one row (part, n) per partition. Node j of a level holds the partitions whose number
+    in order, shifted right by the level, is j; a level's table has the nodes' places, drawn from the level above.
+    """
+    numbered = materialise(counts.select("part", "n", (F.row_number().over(Window.orderBy("part")) - 1).cast("bigint").alias("leaf")), "partitions")
+    width, rows = numbered.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    depth = max(1, (max(width, 2) - 1).bit_length())
+    levels = F.explode(F.sequence(F.lit(0), F.lit(depth)))
+    sizes = materialise(
+        numbered.select("leaf", "n", levels.alias("level")).groupBy("level", F.expr("shiftright(leaf, level)").alias("node")).agg(F.sum("n").alias("n")), "tree"
     )
+    places = [rows // shards + (j < rows % shards) for j in range(shards)]
+    nodes = sizes.where(F.col("level") == depth).select("node", F.array(*[F.lit(p).cast("bigint") for p in places]).alias("places"))
+    for level in range(depth - 1, -1, -1):
+        lower = sizes.where((F.col("level") == level) & (F.col("node") % 2 == 0)).select(F.shiftright("node", 1).alias("of"), "n")
+        upper = sizes.where((F.col("level") == level) & (F.col("node") % 2 == 1)).select(F.shiftright("node", 1).alias("of_upper"))
+        both = nodes.join(lower, F.col("node") == F.col("of")).join(upper, F.col("node") == F.col("of_upper"), "left")
+        drawn = deal(both).withColumn("low", F.when(F.col("of_upper").isNull(), F.col("places")).otherwise(_divide(F.col("places"), F.col("n"), shards, seed, level)))
+        halves = F.array(
+            F.struct((F.col("node") * 2).alias("node"), F.col("low").alias("places")),
+            F.struct((F.col("node") * 2 + 1).alias("node"), F.zip_with("places", "low", lambda a, b: a - b).alias("places")),
+        )
+        kept = drawn.select(F.explode(F.when(F.col("of_upper").isNull(), F.slice(halves, 1, 1)).otherwise(halves)).alias("half")).select("half.*")
+        nodes = materialise(kept, "level")
+    return numbered.join(nodes, F.col("leaf") == F.col("node")).select("part", F.col("places").alias("sends"))
+
+
+def _divide(places: Column, need: Column, shards: int, seed: int, level: int) -> Column:
+    """The places that the lower half's ``need`` rows take: drawn from the shards one after the other."""
+    pool = F.aggregate(places, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    start = F.struct(need.cast("bigint").alias("need"), pool.alias("pool"), F.array().cast("array<bigint>").alias("got"))
+
+    def one_shard(d: Column, j: Column) -> Column:
+        place = F.get(places, j)
+        got = hypergeometric(d["pool"], place, d["need"], _uniform(F.lit(seed), F.lit(level), F.col("node"), j))
+        return _let(got, lambda g: F.struct((d["need"] - g).alias("need"), (d["pool"] - place).alias("pool"), F.concat(d["got"], F.array(g)).alias("got")))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(shards - 1)), start, one_shard, lambda d: d["got"])
 
 
 def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:

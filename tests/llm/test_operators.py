@@ -125,6 +125,40 @@ def test_hypergeometric_law(spark, n, k, m):
     assert abs(got.var() - var) <= 0.15 * var + 1e-12
 
 
+@pytest.mark.parametrize("n, k, m", [(60, 30, 20), (3000, 1500, 1500), (200_000, 25_000, 90_000), (10**8, 125 * 10**5, 5 * 10**7), (4 * 10**10, 5 * 10**9, 2 * 10**10)])
+def test_hypergeometric_frequencies(spark, n, k, m):
+    """Chi-square of draws in some twenty bins against the law, by inversion and by the ratio of uniforms."""
+    draws = 20_000
+    got = spark.range(draws).select(sharding.hypergeometric(F.lit(n), F.lit(k), F.lit(m), sharding._uniform(F.lit(7), F.col("id"))).alias("x")).toPandas().x.to_numpy()
+    sd = (m * k / n * (1 - k / n) * (n - m) / (n - 1)) ** 0.5
+    mode = (m + 1) * (k + 1) // (n + 2)
+    span = int(7 * sd) + 8
+    xs = np.arange(max(0, m + k - n, mode - span), min(k, m, mode + span) + 1)
+    # Ratios of neighbours, from the mode outwards, lose nothing to cancellation.
+    up = np.log((k - xs[:-1]).astype(float)) + np.log((m - xs[:-1]).astype(float)) - np.log(xs[1:].astype(float)) - np.log((n - k - m + xs[1:]).astype(float))
+    weight = np.exp((logs := np.concatenate([[0], np.cumsum(up)])) - logs.max())
+    total = np.cumsum(weight) / weight.sum()
+    edges = sorted({int(xs[np.searchsorted(total, q)]) for q in np.linspace(0.05, 0.95, 19)})
+    cut = np.searchsorted(xs, edges, side="right")
+    expected = draws * np.diff(np.concatenate([[0], total[cut - 1], [1]]))
+    seen = np.bincount(np.searchsorted(edges, got, side="left"), minlength=len(edges) + 1)
+    keep = expected > 5
+    chi = ((seen - expected)[keep] ** 2 / expected[keep]).sum()
+    assert chi < keep.sum() + 5 * (2 * keep.sum()) ** 0.5
+
+
+def test_large_communication_matrix(spark):
+    counts = spark.range(3000).select(F.col("id").alias("part"), (F.lit(10**6) + F.col("id")).alias("n"))
+    matrix = {r.part: r.sends for r in sharding.communication_matrix(counts, 8, seed=2).collect()}
+    total = sum(10**6 + i for i in range(3000))
+    assert len(matrix) == 3000 and all(sum(s) == 10**6 + i for i, s in matrix.items())
+    assert [sum(s[j] for s in matrix.values()) for j in range(8)] == [total // 8 + (j < total % 8) for j in range(8)]
+    z = np.array([[(x - (10**6 + i) / 8) / (10**6 / 8 * 7 / 8) ** 0.5 for x in s] for i, s in matrix.items()])
+    assert abs(z.mean()) < 1e-3 and abs(z.var() - 1) < 0.05
+    assert [len(r.sends) for r in sharding.communication_matrix(counts.limit(1), 8, seed=2).collect()] == [8]
+    assert sharding.communication_matrix(counts.where("false"), 8, seed=2).count() == 0
+
+
 def test_archive(spark, tmp_path):
     rows = [(1, "u", "<p>a"), (2, "u\r\nX: y", "<p>a"), (3, None, None), (4, "v", ""), (5, "v", "é"), (None, "w", "é")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
