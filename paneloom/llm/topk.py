@@ -25,11 +25,14 @@ BLOCK = 64
 #: Rows and queries of a cell.
 CELL_ROWS = 8192
 CELL_QUERIES = 1024
+#: Norms up to which products are exact in doubles, and fit into 64 bits.
+EXACT, LONGEST = 2.0**26, 2.0**31
 
 
 def quantized(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) per component; null for a vector that is null, empty or holds null, NaN or infinity."""
-    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    """floor(scale * x) per component; null for a vector that is null, empty or holds null, NaN or infinity, or a component
+    beyond the integers of LONGEST."""
+    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(LONGEST / scale)))
     whole = F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("bigint"))
     return F.when(sound & (F.size(vector) > 0), whole)
 
@@ -38,19 +41,21 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id",
     """(query_id, rank, vec_id, score): the k highest integer inner products of every query row.
 
     ``queries`` is a condition on the rows; candidates are all rows but the query's own, so rows
-    that repeat an id are no candidates of it. Equal scores go by smaller id. Vectors that hold
+    that repeat an id are no candidates of it. Rows that repeat an id are candidates of others as often as they are
+    there, and as queries they ask together: the k best of all their pairs. Equal scores go by smaller id. Vectors that hold
     null, NaN or infinite components take no part, and vectors of different lengths do not meet.
     Rows with a null id take no part. Fewer candidates than k give fewer rows, none gives none.
-    Products are summed in doubles, which is exact while a score stays below 2**53; rows whose
-    components could exceed that stop the job.
+    Products are summed in doubles, which is exact while norms stay below 2**26, and in 64-bit integers in cells with a
+    longer vector; from a norm of 2**31 on a score would not be a 64-bit integer, and the vector takes no part.
     """
     code = quantized(F.col(vector), scale)
     norm = F.sqrt(F.aggregate("code", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    safe = F.when(norm < 2.0**26, F.col("code")).otherwise(F.raise_error(F.lit("a vector is too long for exact scores")))
+    safe = F.when(norm < LONGEST, F.col("code"))
     sound = (
         rows.select(F.col(vec_id).cast("bigint").alias("id"), code.alias("code"), F.coalesce(queries, F.lit(False)).alias("asks"))
         .where("id is not null and code is not null")
         .select("id", safe.alias("code"), "asks", F.size("code").alias("dim"), F.monotonically_increasing_id().alias("no"))
+        .where("code is not null")
     )
     stored = materialise(sound, "vectors")
     counts = stored.agg(F.count("*"), F.count_if("asks")).first()
@@ -73,7 +78,7 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id",
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     # A query's rows are few in a cell, so the merge sorts cells x k rows per query.
-    best = both.groupBy("dim", "r", "q").applyInPandas(search, "query_id long, vec_id long, score long").dropDuplicates()
+    best = both.groupBy("dim", "r", "q").applyInPandas(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -84,14 +89,18 @@ def _search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> Iterator[tuple
         return []
     ids = rows["id"].to_numpy()
     forward = np.stack(rows["code"].to_numpy()).astype(np.float64)
+    asked = np.stack(queries["code"].to_numpy()).astype(np.float64)
+    longest = max((x * x).sum(1).max() for x in (forward, asked)) ** 0.5
+    # Scores are exact: in doubles if they all stay below 2**53, else in 64-bit integers, with room for the bounds' rounding.
+    exact = (forward, asked) if longest < EXACT else tuple(np.stack(x["code"].to_numpy()).astype(np.int64) for x in (rows, queries))
+    room = 0.0 if longest < EXACT else longest * longest * 1e-9
     edges = np.arange(0, len(ids), BLOCK)
     high, low = np.maximum.reduceat(forward, edges), np.minimum.reduceat(forward, edges)
-    asked = np.stack(queries["code"].to_numpy()).astype(np.float64)
     # A term's maximum is the high component where the query's is positive, the low one where negative.
-    bounds = np.maximum(asked, 0) @ high.T + np.minimum(asked, 0) @ low.T
-    out = []
-    for query, vector, bound in zip(queries["id"].to_numpy(), asked, bounds, strict=True):
-        best_score, best_id = np.full(0, 0.0), np.full(0, 0)
+    bounds = np.maximum(asked, 0) @ high.T + np.minimum(asked, 0) @ low.T + room
+    forward, out = exact[0], []
+    for query, vector, bound in zip(queries["id"].to_numpy(), exact[1], bounds, strict=True):
+        best_score, best_id = np.zeros(0, forward.dtype), np.zeros(0, np.int64)
         for block in np.argsort(-bound, kind="stable"):
             if len(best_score) >= k and bound[block] < best_score[k - 1]:
                 break
@@ -102,10 +111,7 @@ def _search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> Iterator[tuple
                 other &= score >= best_score[k - 1]
             if other.any():
                 best_score, best_id = np.concatenate([best_score, score[other]]), np.concatenate([best_id, name[other]])
-                order = np.lexsort((best_id, -best_score))
+                order = np.lexsort((best_id, -best_score))[:k]
                 best_score, best_id = best_score[order], best_id[order]
-                fresh = np.ones(len(best_id), bool)
-                fresh[1:] = (best_id[1:] != best_id[:-1]) | (best_score[1:] != best_score[:-1])
-                best_score, best_id = best_score[fresh][:k], best_id[fresh][:k]
         out.extend((query, i, s) for i, s in zip(best_id, best_score, strict=True))
     return out

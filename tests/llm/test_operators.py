@@ -197,6 +197,19 @@ def test_top_k(spark):
     assert topk.top_k(table.where("false"), F.lit(True)).count() == 0
 
 
+def test_top_k_of_repeated_rows_and_long_vectors(spark):
+    """Every pair of a query row and a row of another id, as the SQL has it; a long vector costs nobody a result."""
+    rows = [(1, [0.5, 0.25]), (1, [0.5, 0.25]), (2, [0.5, 0.5]), (50, [1.0, 0.0]), (50, [0.0, 1.0]), (3, [-0.5, 0.1]), (100, [3e5, -1e5]), (4, [2e5, 7e5]), (5, [1e30, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(table, F.col("vec_id") % 50 == 0).collect())
+    sound = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if i != 5]
+    expected = []
+    for q in {i for i, _ in sound if i % 50 == 0}:
+        pairs = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for j, a in sound if j == q for i, b in sound if i != q)
+        expected += [(q, rank + 1, i, -score) for rank, (score, i) in enumerate(pairs[:5])]
+    assert got == sorted(expected) and (50, 1) == got[0][:2]
+
+
 def plain_components(rows, width, percent):
     sets, parent = {}, {}
     for i, text in rows:
