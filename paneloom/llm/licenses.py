@@ -52,8 +52,18 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
         "Released under the GPL version 2 or later.",
     ),
+    "agpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.",
+        "This software is licensed under the GNU Affero General Public License, version 3.",
+        "Released under the AGPL version 3 or later.",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Released under the ISC License.",
+    ),
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
         "Released under the LGPL version 3 or later.",
     ),
     "mit": (
@@ -65,6 +75,10 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License 2.0.",
     ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Released into the public domain under the Unlicense.",
+    ),
     "proprietary": ("All rights reserved.", "Copyright. All rights reserved. No part of this publication may be reproduced without permission."),
 }
 
@@ -142,21 +156,23 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def fit_licences(
-    docs: DataFrame, text: str = "text", order: str = "doc_id", background: int = 500, copies: int = 60, seed: int = 7, rounds: int = 400
+    docs: DataFrame, text: str = "text", order: str = "doc_id", background: int = 6000, longest: int = 2000, copies: int = 60, seed: int = 7, rounds: int = 400
 ) -> LicenceModel:
     """Train on perturbed templates against ordinary paragraphs.
 
-    The ordinary paragraphs are those of at most ``background`` texts (chosen by a hash of
-    ``order``), without those that hold half of a template; with null or no texts the templates'
-    own words alone stand for them. Every fifth row is held back to fit the temperature.
+    The ordinary paragraphs are at most ``background`` lines of up to ``longest`` characters, chosen by a hash of ``order`` and line,
+    without those that hold half of a template; the two bound what reaches the driver. With null or no texts the
+    templates' own words alone stand for them. Every fifth row is held back to fit the temperature.
     """
-    texts = docs.select(F.col(text).cast("string").alias("text"), F.col(order).alias("of")).where("text is not null")
+    texts = docs.select(F.col(order).alias("of"), F.explode(F.split(F.col(text).cast("string"), "\n")).alias("line"))
+    texts = texts.where((F.length(F.trim("line")) > 0) & (F.char_length("line") <= longest))
     rows = texts.count()
-    # About four times the sample goes on to be sorted, whatever the number of texts.
-    draw = F.shiftrightunsigned(F.xxhash64("of", "text"), 1) / F.lit(2.0**63)
-    near = texts.withColumn("draw", draw).where(F.col("draw") * rows <= 4 * background + 50)
-    picked = near.orderBy("draw", F.md5("text")).limit(background)
-    sample = [r.text for r in materialise(picked.select("text"), "licences").collect()]
+    # About four times the sample goes on to be sorted, whatever the number of lines.
+    draw = F.shiftrightunsigned(F.xxhash64("of", "line"), 1) / F.lit(2.0**63)
+    near = texts.withColumn("draw", draw).where(F.col("draw") * rows <= 4 * background + 50).select("draw", "line").distinct()
+    picked = near.orderBy("draw", "line").limit(background)
+    sample = [r.line for r in materialise(picked.select("line"), "licences").collect()]
+    sample.sort()  # the fit does not depend on how rows arrive
     families = (*sorted(TEMPLATES), UNKNOWN)
     rng = np.random.default_rng(seed)
     sources = [(families.index(f), t) for f in sorted(TEMPLATES) for t in TEMPLATES[f]]
@@ -174,7 +190,7 @@ def fit_licences(
             cut = int(rng.integers(0, len(extra) + 1))
             rows.append(" ".join([*extra[:cut], *kept, *extra[cut:]]).replace("\n", " "))
             labels.append(family)
-    lines = [line for t in sample for line in t.split("\n") if line.strip()]
+    lines = [line for line in sample if line.strip()]
     if lines:
         plain = Paragraphs(pa.array(lines))
         best = np.zeros(len(lines))
@@ -192,23 +208,31 @@ def fit_licences(
     paragraphs = Paragraphs(pa.array(rows))
     label = np.array(labels)[paragraphs.text]
     row, column, outside = _features(paragraphs, vocabulary)
-    x = np.zeros((len(paragraphs), len(vocabulary) + 2))
-    x[row, column] = 1
-    x[:, -2], x[:, -1] = outside, 1
-    target = np.eye(len(families))[label]
-    balance = 1 / np.bincount(label, minlength=len(families)).clip(1)[label]
-    held = np.arange(len(x)) % 5 == 0
-    weights = np.zeros((x.shape[1], len(families)))
+    # Sparse rows: the places of their n-grams, and two dense columns of length.
+    width, kinds, n = len(vocabulary), len(families), len(paragraphs)
+
+    def forward(w: np.ndarray) -> np.ndarray:
+        inside = [np.bincount(row, weights=w[column, j], minlength=n) for j in range(kinds)]
+        return np.stack(inside, axis=1) + outside[:, None] * w[-2] + w[-1]
+
+    def backward(error: np.ndarray) -> np.ndarray:
+        inside = [np.bincount(column, weights=error[row, j], minlength=width) for j in range(kinds)]
+        return np.concatenate([np.stack(inside, axis=1), (outside @ error)[None, :], error.sum(0)[None, :]])
+
+    target = np.eye(kinds)[label]
+    balance = 1 / np.bincount(label, minlength=kinds).clip(1)[label]
+    held = np.arange(n) % 5 == 0
+    share = np.where(held, 0.0, balance) / balance[~held].sum()
+    weights = np.zeros((width + 2, kinds))
     speed, moment = np.zeros_like(weights), np.zeros_like(weights)
-    xt, yt, bt = x[~held], target[~held], balance[~held] / balance[~held].sum()
     for step in range(1, rounds + 1):  # Adam on the balanced cross entropy, with a small penalty
-        gradient = xt.T @ ((_softmax(xt @ weights) - yt) * bt[:, None]) + 1e-5 * weights
+        gradient = backward((_softmax(forward(weights)) - target) * share[:, None]) + 1e-5 * weights
         moment = 0.9 * moment + 0.1 * gradient
         speed = 0.999 * speed + 0.001 * gradient**2
         weights -= 0.1 * (moment / (1 - 0.9**step)) / (np.sqrt(speed / (1 - 0.999**step)) + 1e-9)
     grid = np.geomspace(0.25, 4, 33)
-    chosen = balance[held]
-    loss = [-(np.log(_softmax(x[held] @ weights / t)[np.arange(held.sum()), label[held]] + 1e-12) * chosen).sum() for t in grid]
+    logits = forward(weights)[held]
+    loss = [-(np.log(_softmax(logits / t)[np.arange(held.sum()), label[held]] + 1e-12) * balance[held]).sum() for t in grid]
     return LicenceModel(families, vocabulary, weights, float(grid[int(np.argmin(loss))]), templates)
 
 
@@ -229,7 +253,7 @@ def scan_licences(
     All paragraphs of all whole texts are classified; one comes out if a family other than
     ``unknown`` is the most probable one with ``least`` or more. ``similarity`` is the largest share
     of one of the family's templates found in the paragraph, ``confirmed`` whether it is
-    ``confirm`` or more. Null and empty texts have no paragraph; repeated rows repeat theirs.
+    ``confirm`` or more and above that of every other family's templates. Null and empty texts have no paragraph; repeated rows repeat theirs.
     ``paragraph`` counts all lines of the text from 0. A notice wrapped over several lines comes out
     once, at its first line and as one text without the marks of comments, in place of the lines it
     covers, if more of a template stands in them together than in any one of them.
@@ -256,6 +280,12 @@ def _similarities(texts: pa.Array, family: np.ndarray, model: LicenceModel) -> n
     return out
 
 
+def _rivals(texts: pa.Array, family: np.ndarray, model: LicenceModel) -> np.ndarray:
+    """The largest share of a template of any other family in each text."""
+    others = [_similarities(texts, np.where(family == of, -1, of), model) for of in sorted({of for of, _ in model.templates})]
+    return np.max(others, axis=0) if len(texts) else np.zeros(0)
+
+
 def _windows(lines: list[str], grams: np.ndarray) -> list[tuple[float, int, int]]:
     """(share, first line, last line) of the best windows of several lines for one template, none over another.
 
@@ -338,10 +368,12 @@ def _found(part: pa.RecordBatch, model: LicenceModel, least: float, confirm: flo
         found = sorted([x for x in found if not inside(x)] + [x[:6] for x in wrapped], key=lambda x: x[:3])
     text, number, family, top, similarity, lines = map(list, zip(*found, strict=True)) if found else ([],) * 6
     names = np.array(model.families, dtype=object)
+    rival = _rivals(pa.array(lines, pa.string()), np.array(family, np.int64), model)
+    confirmed = [own >= confirm and own > other for own, other in zip(similarity, rival.tolist(), strict=True)]
     return pa.RecordBatch.from_arrays(
         [
             part.column(0).take(pa.array(text, pa.int64())), pa.array(number, pa.int32()), pa.array(names[np.array(family, np.int64)], pa.string()),
-            pa.array(top, pa.float64()), pa.array(similarity, pa.float64()), pa.array([s >= confirm for s in similarity], pa.bool_()), pa.array(lines, pa.string()),
+            pa.array(top, pa.float64()), pa.array(similarity, pa.float64()), pa.array(confirmed, pa.bool_()), pa.array(lines, pa.string()),
         ],
         names=["row", "paragraph", "family", "probability", "similarity", "confirmed", "text"],
     )

@@ -470,6 +470,28 @@ def test_licences(docs, empty, spark):
     licenses.fit_licences(empty)
 
 
+def test_related_licences_are_told_apart(docs, spark):
+    """Notices that share most of their words go by their own template, and a share beside a better one confirms nothing."""
+    model = licenses.fit_licences(docs, background=20)
+    gnu = "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License, or any later version."
+    held = {
+        "lgpl": gnu.format("library", "Lesser ", "2.1"), "agpl": gnu.format("program", "Affero ", "3"), "gpl": gnu.format("program", "", "2"),
+        "isc": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "unlicense": "This is free and unencumbered software released into the public domain.",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software",
+    }
+    rows = [(i, t) for i, t in enumerate(held.values())]
+    got = licenses.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    assert {r.row.doc_id: r.family for r in got if r.confirmed} == dict(enumerate(held))
+    # The shares are those of a plain count over the distinct words and pairs of words.
+    plain = lambda t: [w.strip(".,;:!?\"'()[]{}") for w in t.lower().split()]
+    grams = lambda w: set(w) | set(zip(w, w[1:], strict=False))
+    for r in got:
+        own = {f: max(len(grams(plain(r.text)) & grams(plain(t))) / len(grams(plain(t))) for t in ts) for f, ts in licenses.TEMPLATES.items()}
+        assert r.similarity == pytest.approx(own[r.family])
+        assert r.confirmed == (own[r.family] >= 0.6 and own[r.family] > max(x for f, x in own.items() if f != r.family))
+
+
 def test_wrapped_licences(docs, spark):
     model = licenses.fit_licences(docs, background=20)
     gpl = [
