@@ -32,8 +32,8 @@ class Rules:
       punctuation  with 3 or more symbols, more than one for ``chars_per_symbol`` word characters,
                    or 3 or more exclamation marks, more than one for ``words_per_bang`` words;
       navigation   with 2 or more bars, at least one for ``words_per_bar`` words;
-      boilerplate  if it holds one of the phrases; with ``words_per_phrase``, only if at least one of its
-                   phrases stands for so many words, so that a long line is not lost for a mention.
+      boilerplate  with one or more of the phrases, at least one for ``words_per_phrase`` words, so that a
+                   long line is not lost for a mention; if that is None, with any.
     A document fails beforehand with fewer than ``min_words`` words or with more than
     ``max_repeat_percent`` of its words in repeated 3-word windows, and afterwards if more than
     ``max_lost_percent`` of its word characters were in failed lines.
@@ -42,7 +42,7 @@ class Rules:
     chars_per_symbol: int = 10
     words_per_bang: int = 3
     words_per_bar: int = 3
-    words_per_phrase: int | None = None
+    words_per_phrase: int | None = 20
     min_words: int = 50
     max_repeat_percent: int = 50
     max_lost_percent: int = 30

@@ -43,11 +43,11 @@ with d as (
 ), judged as (
   select doc_id, line, len(w) as words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as chars,
     length(line) - length(translate(line, '#*$%&|<>', '')) as symbols,
-    length(line) - length(replace(line, '|', '')) as bars, length(line) - length(replace(line, '!', '')) as bangs
+    len(regexp_extract_all(line, '%s')) as phrases, length(line) - length(replace(line, '|', '')) as bars, length(line) - length(replace(line, '!', '')) as bangs
   from lines
 ), lost as (
   select doc_id, sum(chars) filter (where words > 0 and (symbols >= 3 and symbols * 10 > chars
-      or bangs >= 3 and bangs * 3 > words or bars >= 2 and bars * 3 >= words or regexp_matches(line, '%s'))) as lost,
+      or bangs >= 3 and bangs * 3 > words or bars >= 2 and bars * 3 >= words or phrases >= 1 and phrases * 20 >= words)) as lost,
     count(*) filter (where words > 0) - count(distinct line) filter (where words > 0) as dup
   from judged group by doc_id
 ), wins as (

@@ -178,6 +178,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
     """(key, node, n, head): the members of all buckets of two or more; the head is the bucket's least node."""
     postings = materialise(_postings(classes), "postings")
     shared = postings.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("head")).where("members > 1")
+    shared = materialise(shared.select("key", "head"), "heads")  # stored, so that the join can split the rows of a hot bucket
     # The buckets grow with the documents: a sort-merge join at every size; a bucket is one row on its right.
     return postings.join(shared.select(F.col("key").alias("of"), "head").hint("merge"), F.col("key") == F.col("of")).select("key", "node", "n", "head")
 
