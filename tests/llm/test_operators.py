@@ -64,7 +64,7 @@ def test_a_mention_costs_no_long_line(spark):
     kept = {r.doc_id: r for r in quality_rules(spark, table, "").collect()}
     assert set(kept) == {1, 2} and kept[1].text == article
     assert kept[2].text == "\n".join(cases[1][1].split("\n")[:2]) and kept[2].n_chars == len(kept[2].text)
-    assert {r.row.doc_id for r in quality.clean_lines(table).where("kept").collect()} == {2}  # op5 judges as its SQL does
+    assert {r.row.doc_id for r in quality.clean_lines(table).where("kept").collect()} == {1, 2}
 
 
 def test_language(spark, docs, empty):
