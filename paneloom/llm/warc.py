@@ -81,15 +81,16 @@ def write_archive(
         F.concat(F.lit("Content-Length: "), F.when(revisit, F.lit(0)).otherwise(F.col("length")).cast("string")),
     )
     header = F.concat(lines, F.lit("\r\n\r\n"))
-    typed.select("id", "record_type", "refers_to", "digest", header.cast("binary").alias("header")).write.parquet(archive.headers)
+    typed.select("id", "digest", header.cast("binary").alias("header")).write.parquet(archive.headers)
     return archive
 
 
 def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
     """Every record again: id, record_type, refers_to, header, payload, payload_bytes, payload_digest.
 
-    The stored bytes are digested anew; a payload that is not what its address says stops the
-    reading, and so does a header without a payload. A revisit has the payload it refers to.
+    Type and reference are read from the header's bytes. The stored payloads are digested anew; a payload that is not what
+    its address says stops the reading, and so does a header without a payload, or one whose digest or
+    length is not the payload's. A revisit has the payload it refers to.
     """
     stored = spark.read.parquet(archive.payloads)
     sound = F.sha2("payload", 256) == F.col("digest")
@@ -99,14 +100,19 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
         F.octet_length("payload").cast("bigint").alias("payload_bytes"),
         base32_sha1(F.col("payload")).alias("payload_digest"),
     )
-    found = F.when(F.col("address").isNotNull(), F.col("payload_digest")).otherwise(
-        F.raise_error(F.concat(F.lit("no payload for "), F.col("digest")))
-    )
-    return (
-        spark.read.parquet(archive.headers)
-        .join(verified, F.col("digest") == F.col("address"), "left")
-        .select("id", "record_type", "refers_to", "header", "payload", "payload_bytes", found.alias("payload_digest"))
+    headers = spark.read.parquet(archive.headers)
+    told = lambda name: F.regexp_extract(F.col("header").cast("string"), rf"\r\n{name}: ([^\r]*)", 1)
+    referred = F.regexp_extract(told("WARC-Refers-To"), "^<urn:record:(.*)>$", 1)
+    joined = headers.join(verified, F.col("digest") == F.col("address"), "left").withColumn("record_type", told("WARC-Type"))
+    length = F.when(F.col("record_type") == "response", F.col("payload_bytes")).otherwise(F.lit(0))
+    states = (told("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("payload_digest"))) & (told("Content-Length") == length.cast("string"))
+    found = F.when(F.col("address").isNull(), F.raise_error(F.concat(F.lit("no payload for "), F.col("digest")))).otherwise(
+        F.when(states, F.col("payload_digest")).otherwise(F.raise_error(F.concat(F.lit("a header is not its payload's: "), F.col("digest"))))
     )
+    return joined.select(
+        "id", "record_type", F.when(referred != "", referred).cast(headers.schema["id"].dataType).alias("refers_to"),
+        "header", "payload", "payload_bytes", found.alias("payload_digest"),
+    )
 
 
 def record_bytes(records: DataFrame) -> DataFrame:

@@ -176,6 +176,14 @@ def test_archive(spark, tmp_path):
     assert {r.id: r.record_type for r in warc.read_archive(spark, small).collect()} == {1: "revisit", 2: "response", 3: "response", 4: "response", 5: "response", None: "response"}
     records = {r.id: bytes(r.record) for r in warc.record_bytes(warc.read_archive(spark, archive)).collect()}
     assert records[2].endswith(b"\r\n\r\n<p>a\r\n\r\n") and records[1].endswith(b"\r\n\r\n\r\n\r\n")
+    # What is read comes from the headers' bytes, and they are held to the payloads.
+    headers = spark.read.parquet(archive.headers)
+    assert headers.columns == ["id", "digest", "header"]
+    for name, wrong, message in (("d", "Content-Length: 5", "not its payload's"), ("e", "WARC-Payload-Digest: sha1:A", "not its payload's")):
+        line = wrong.split(":")[0]
+        headers.withColumn("header", F.regexp_replace(F.col("header").cast("string"), f"{line}: [^\r]*", wrong).cast("binary")).write.parquet(str(tmp_path / name))
+        with pytest.raises(Exception, match=message):
+            warc.read_archive(spark, warc.Archive(archive.payloads, str(tmp_path / name))).collect()
     none = warc.write_archive(pages.where("false"), str(tmp_path / "c"))
     assert warc.read_archive(spark, none).count() == 0
 
