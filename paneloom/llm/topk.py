@@ -1,9 +1,11 @@
 """Exact top-k inner products by block-at-a-time pruning.
 
-Vectors are cut into blocks of consecutive rows. A block keeps every dimension's largest and
-smallest component, and its vectors as a forward index. For a query, the sum over dimensions of
-what the block could contribute at most bounds all its scores; blocks are scored in the order
-of falling bounds until the bound of the next lies below the k-th score found.
+Vectors are put into an order that keeps like ones together, by halving at the median of the dimension
+that varies most, and cut into blocks of consecutive rows. A block keeps every dimension's largest and
+smallest component, its centre and radius, and its vectors as a forward index. For a query, the sum over dimensions of
+what the block could contribute at most bounds all its scores, and so does the centre's score plus the radius times the
+query's length; blocks are scored in the order of falling bounds until the bound of the next lies below the
+k-th score found.
 
 Queries and blocks meet on a grid of cells, each of a bounded number of both, so that neither
 side is broadcast or collected; a query's best of every cell are merged at the end.
@@ -11,8 +13,6 @@ side is broadcast or collected; a query's best of every cell are merged at the e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -74,7 +74,7 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id",
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         asks = pdf["is_query"].to_numpy()
-        found = _search(pdf[~asks].sort_values("id"), pdf[asks], k)
+        found, _ = search_cell(pdf[~asks], pdf[asks], k)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     # A query's rows are few in a cell, so the merge sorts cells x k rows per query.
@@ -83,12 +83,29 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id",
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> Iterator[tuple[int, int, int]]:
-    """The k best of the cell's rows for each of its queries."""
+def in_blocks(vectors: np.ndarray) -> np.ndarray:
+    """An order of the rows in which blocks hold like vectors; every half but the last is a whole number of blocks."""
+    ranges, out = [np.arange(len(vectors))], []
+    while ranges:
+        rows = ranges.pop()
+        if len(rows) <= BLOCK:
+            out.append(rows)
+            continue
+        half = -(-len(rows) // (2 * BLOCK)) * BLOCK
+        axis = int(vectors[rows].var(axis=0).argmax())
+        rows = rows[np.argpartition(vectors[rows, axis], half - 1)] if half < len(rows) else rows
+        ranges += [rows[half:], rows[:half]]
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def search_cell(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> tuple[list[tuple[int, int, int]], float]:
+    """The k best of the cell's rows for each of its queries, and the share of blocks that were scored."""
     if not len(rows) or not len(queries):
-        return []
-    ids = rows["id"].to_numpy()
+        return [], 0.0
     forward = np.stack(rows["code"].to_numpy()).astype(np.float64)
+    order = in_blocks(forward)
+    rows, forward = rows.iloc[order], forward[order]
+    ids = rows["id"].to_numpy()
     asked = np.stack(queries["code"].to_numpy()).astype(np.float64)
     longest = max((x * x).sum(1).max() for x in (forward, asked)) ** 0.5
     # Scores are exact: in doubles if they all stay below 2**53, else in 64-bit integers, with room for the bounds' rounding.
@@ -97,13 +114,21 @@ def _search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> Iterator[tuple
     edges = np.arange(0, len(ids), BLOCK)
     high, low = np.maximum.reduceat(forward, edges), np.minimum.reduceat(forward, edges)
     # A term's maximum is the high component where the query's is positive, the low one where negative.
-    bounds = np.maximum(asked, 0) @ high.T + np.minimum(asked, 0) @ low.T + room
-    forward, out = exact[0], []
+    boxes = np.maximum(asked, 0) @ high.T + np.minimum(asked, 0) @ low.T
+    sizes = np.diff(np.append(edges, len(ids)))
+    centre = np.add.reduceat(forward, edges) / sizes[:, None]
+    radius = np.sqrt(np.maximum.reduceat(((forward - np.repeat(centre, sizes, axis=0)) ** 2).sum(1), edges))
+    length = np.sqrt((asked * asked).sum(1))
+    balls = asked @ centre.T + length[:, None] * radius
+    # The centres are rounded, scores are not: a little room keeps the bounds above.
+    bounds = np.minimum(boxes, balls + 1e-9 * (length[:, None] * (radius + np.sqrt((centre * centre).sum(1)))) + 1e-6) + room
+    forward, out, scored = exact[0], [], 0
     for query, vector, bound in zip(queries["id"].to_numpy(), exact[1], bounds, strict=True):
         best_score, best_id = np.zeros(0, forward.dtype), np.zeros(0, np.int64)
         for block in np.argsort(-bound, kind="stable"):
             if len(best_score) >= k and bound[block] < best_score[k - 1]:
                 break
+            scored += 1
             part = slice(edges[block], edges[block] + BLOCK)
             score, name = forward[part] @ vector, ids[part]
             other = name != query
@@ -114,4 +139,4 @@ def _search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> Iterator[tuple
                 order = np.lexsort((best_id, -best_score))[:k]
                 best_score, best_id = best_score[order], best_id[order]
         out.extend((query, i, s) for i, s in zip(best_id, best_score, strict=True))
-    return out
+    return out, scored / bounds.size

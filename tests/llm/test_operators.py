@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -205,6 +206,21 @@ def test_top_k(spark):
     assert topk.top_k(table.where("false"), F.lit(True)).count() == 0
 
 
+def test_blocks_are_pruned():
+    """Of clustered vectors fewer than half the blocks are scored, and the results are those of all pairs."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 1, (40, 32))
+    codes = np.floor(256 * (centres[rng.integers(0, 40, 4000)] + rng.normal(0, 0.05, (4000, 32)))).astype(np.int64)
+    rows = pd.DataFrame({"id": np.arange(4000), "code": list(codes)})
+    queries = rows[rows["id"] % 50 == 0]
+    found, share = topk.search_cell(rows.sample(frac=1, random_state=1), queries, 5)
+    assert share < 0.5
+    scores = codes @ codes.T
+    expected = [(q, i, scores[q, i]) for q in queries["id"] for i in sorted((i for i in range(4000) if i != q), key=lambda i: (-scores[q, i], i))[:5]]
+    assert sorted(found) == sorted(expected)
+    assert sorted(topk.in_blocks(codes[:1000].astype(float)).tolist()) == list(range(1000))
+
+
 def test_top_k_of_repeated_rows_and_long_vectors(spark):
     """Every pair of a query row and a row of another id, as the SQL has it; a long vector costs nobody a result."""
     rows = [(1, [0.5, 0.25]), (1, [0.5, 0.25]), (2, [0.5, 0.5]), (50, [1.0, 0.0]), (50, [0.0, 1.0]), (3, [-0.5, 0.1]), (100, [3e5, -1e5]), (4, [2e5, 7e5]), (5, [1e30, 0.0])]
