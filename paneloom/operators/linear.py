@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom import roles as R
+from paneloom.operators.quality import ContractError
 from paneloom.operators.scenario import LinearForm, with_group_effect
 from paneloom.store import materialise
 
@@ -63,16 +66,20 @@ def fit_least_squares(
 
     The intercept is free of penalty. Without a penalty, collinear features take the weights of least
     norm and the effects add up to 0; predictions do not depend on that choice. ``train`` is read once for the moments
-    and once a target for the sums; pass a stored table.
+    and once a target for the sums; pass a stored table. A null feature or target is an error, and so is no row.
     """
     train = train.where(F.col(group).isNotNull())
+    targets = list(dict.fromkeys(e.target for e in estimators.values()))
+    whole = reduce(and_, [F.col(c).isNotNull() for c in [*numeric, *targets]])
     moments = train.agg(
-        F.count("*").alias("n"), *[F.avg(c).alias(f"mean_{c}") for c in numeric], *[F.stddev_pop(c).alias(f"sd_{c}") for c in numeric]
+        F.count("*").alias("n"), F.count_if(whole).alias("whole"), *[F.avg(c).alias(f"mean_{c}") for c in numeric], *[F.stddev_pop(c).alias(f"sd_{c}") for c in numeric]
     ).first()
+    if not moments["n"] or moments["whole"] < moments["n"]:
+        raise ContractError(f"{moments['whole']} of {moments['n']} training rows have all features and targets")
     mean = np.array([moments[f"mean_{c}"] for c in numeric], float)
     sd = np.array([moments[f"sd_{c}"] for c in numeric], float)
     fitted = {}
-    for target in dict.fromkeys(e.target for e in estimators.values()):
+    for target in targets:
         mean_y = train.agg(F.avg(target)).first()[0]
         sums = _Sums(train, numeric, mean, sd, target, mean_y, group)
         for name, estimator in estimators.items():

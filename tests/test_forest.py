@@ -187,6 +187,15 @@ def test_many_groups_are_fitted(spark):
         M.fit_all({"forest": M.forest("y", 1, 1)}, rows, ["x", "z"])
 
 
+def test_incomplete_training_rows_are_an_error(spark):
+    rows = spark.createDataFrame([("g", 1.0, 2.0), ("g", None, 1.0), ("h", 2.0, 1.0)], "grp string, x double, y double")
+    for broken in (rows, rows.where("false"), rows.where("x is not null").withColumn("y", F.when(F.col("x") > 1, F.col("y")))):
+        with pytest.raises(ContractError, match="training rows"):
+            M.fit(M.ols("y"), broken, ["x"])
+    model = M.fit(M.ols("y"), rows.where("x is not null"), ["x"])
+    assert model.weights == {"x": 0.0}  # one row a group: the groups explain it all
+
+
 def test_ridge_at_many_groups_is_the_penalised_optimum(spark):
     """The gradient of the penalised sum of squares vanishes, by the definition."""
     rng = np.random.default_rng(5)
