@@ -1,4 +1,4 @@
-"""Least squares with group effects, by aggregates: any number of groups, no list of them on the driver.
+"""Least squares with group effects, by sums: any number of groups, no list of them on the driver.
 
 The slots of a one-hot group are orthogonal, so they leave the normal equations in closed form: what
 reaches the driver is a matrix as wide as the numeric features, at every number of groups. Group effects
@@ -7,12 +7,13 @@ stay a table (level, effect), stored in the shared folder and joined where they
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ class LeastSquares:
 
 @dataclass(frozen=True)
 class LinearModel:
-    """A fitted model in the features' own units; ``effects`` is a stored table (level, effect)."""
+    """A fitted model in the features' own units; ``effects`` is a table (level, effect), read from a stored one."""
 
     numeric: tuple[str, ...]
     intercept: float
@@ -72,7 +73,8 @@ def fit_least_squares(
     targets = list(dict.fromkeys(e.target for e in estimators.values()))
     whole = reduce(and_, [F.col(c).isNotNull() for c in [*numeric, *targets]])
     moments = train.agg(
-        F.count("*").alias("n"), F.count_if(whole).alias("whole"), *[F.avg(c).alias(f"mean_{c}") for c in numeric], *[F.stddev_pop(c).alias(f"sd_{c}") for c in numeric]
+        F.count("*").alias("n"), F.count_if(whole).alias("whole"), *[F.avg(c).alias(f"mean_{c}") for c in numeric], *[F.stddev_pop(c).alias(f"sd_{c}") for c in numeric],
+        *[F.avg(c).alias(f"of_{c}") for c in targets],
     ).first()
     if not moments["n"] or moments["whole"] < moments["n"]:
         raise ContractError(f"{moments['whole']} of {moments['n']} training rows have all features and targets")
@@ -80,7 +82,7 @@ def fit_least_squares(
     sd = np.array([moments[f"sd_{c}"] for c in numeric], float)
     fitted = {}
     for target in targets:
-        mean_y = train.agg(F.avg(target)).first()[0]
+        mean_y = moments[f"of_{target}"]
         sums = _Sums(train, numeric, mean, sd, target, mean_y, group)
         for name, estimator in estimators.items():
             if estimator.target == target:
@@ -105,17 +107,25 @@ class _Sums:
         self.total = self._products(rows, F.lit(1.0))
 
     def _products(self, rows: DataFrame, weight: Column) -> np.ndarray:
-        """Sums of the products of any two columns, as a symmetric matrix."""
+        """Sums of the products of any two columns, as a symmetric matrix: one matrix a task, added up cell by cell."""
         k = len(self.columns)
-        pairs = [(i, j) for i in range(k) for j in range(i, k)]
-        row = rows.agg(*[F.sum(F.col(self.columns[i]) * F.col(self.columns[j]) * weight).alias(f"s_{i}_{j}") for i, j in pairs]).first()
-        out = np.zeros((k, k))
-        for (i, j), value in zip(pairs, row, strict=True):
-            out[i, j] = out[j, i] = value
-        return out
+
+        def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((k, k))
+            for batch in batches:
+                w, *x = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                x = np.stack(x, axis=1)
+                total += (x * w[:, None]).T @ x
+            yield pa.RecordBatch.from_arrays([pa.array([total.reshape(-1).tolist()], pa.list_(pa.float64()))], names=["cells"])
+
+        parts = rows.select(weight.cast("double").alias("w"), *[F.col(c).cast("double") for c in self.columns]).mapInArrow(multiply, "cells array<double>")
+        out = np.zeros(k * k)
+        for row in parts.select(F.posexplode("cells")).groupBy("pos").agg(F.sum("col").alias("total")).collect():
+            out[row.pos] = row.total
+        return out.reshape(k, k)
 
     def solve(self, penalty: float) -> tuple[np.ndarray, float, DataFrame]:
-        """Weights on the z-scores, intercept, and the effects (level, effect)."""
+        """Weights on the z-scores, intercept, and the effects (level, effect), a projection of the stored sums."""
         p = self.p
         inside = self.total - self._products(self.groups, F.lit(1.0) / (F.col("x0") + F.lit(float(penalty))))
         count = F.col("x0")
@@ -135,4 +145,4 @@ class _Sums:
         if intercept is None:
             intercept = float(effects.agg(F.avg("effect")).first()[0])
             effects = effects.withColumn("effect", F.col("effect") - F.lit(intercept))
-        return w, intercept, materialise(effects, "effects")
+        return w, intercept, effects
