@@ -7,6 +7,7 @@ cut at every ``length`` tokens, so that a sequence holds neighbours.
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 import types
@@ -29,6 +30,19 @@ DIMENSIONS = 3
 BITS = 12
 #: Words whose ids a worker keeps at hand, about 70 MB; then it starts anew.
 KEPT_WORDS = 1 << 21
+#: Kinds of bytes where texts are cut; letters are those of ASCII and U+00C0 to U+017F.
+OTHER, LETTER, SIGN, APOSTROPHE, FEED, SPACE, CONTROL = range(7)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[:128] = CONTROL
+KIND[0x21:0x7F] = SIGN
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, 0xC4, 0xC5]] = LETTER
+KIND[[0x0A, 0x20, 0x27]] = FEED, SPACE, APOSTROPHE
+#: Whether a text may be cut between two such bytes, at 8 * the first's kind + the second's.
+CUT = np.zeros((8, 8), bool)
+CUT[:, SPACE] = True
+CUT[LETTER, [SIGN, APOSTROPHE, FEED, CONTROL]] = True
+CUT[SIGN, [LETTER, FEED]] = True
+CUT[APOSTROPHE, FEED] = True
 
 
 class WordIds:
@@ -37,6 +51,8 @@ class WordIds:
     The pre-tokeniser of such a vocabulary never joins a word with a following space, so a text
     may be cut before every space and the pieces encoded on their own; where a space stands
     within a run of white space this does not hold, and those texts are encoded as they are.
+    With the pattern of the ByteLevel pre-tokeniser, a text is also cut between letters and signs
+    (an apostrophe may go with the letters behind it) and around a line feed between two such.
     Known pieces are found by their hashes: sorted keys, and where each one's ids begin and end.
     """
 
@@ -47,6 +63,10 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.feed = self._plain(["\n"])[0].tolist()
+        rules = json.loads(self.tokenizer.to_str())
+        before = rules["pre_tokenizer"] or {}
+        plain = rules["normalizer"] is None and not before.get("add_prefix_space", True)
+        self.words = plain and before.get("type") == "ByteLevel" and before.get("use_regex", False)
         self.stored = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self._forget()
 
@@ -68,28 +88,33 @@ class WordIds:
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encoded(self, words: list[str]) -> list[np.ndarray]:
-        """Many words to a call: one per line, where the line feed is a token by itself."""
-        out: list = [None] * len(words)
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the words, their numbers of ids and all ids in it; many words to a call:
+        one per line, where the line feed is a token by itself."""
+        order, sizes, found = [], [], []
         lines = [i for i, w in enumerate(words) if "\n" not in w] if len(self.feed) == 1 else []
         for k in range(0, len(lines), 1000):
             some = lines[k : k + 1000]
-            ids = self._plain(["".join(words[i] + "\n" for i in some)])[0]
-            ends = np.flatnonzero(ids == self.feed[0])
+            ids = self._plain(["\n".join([words[i] for i in some]) + "\n"])[0]
+            fed = ids == self.feed[0]
+            ends = np.flatnonzero(fed)
             if len(ends) == len(some):
-                for i, x, y in zip(some, [0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True):
-                    out[i] = ids[x:y]
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, x in zip(rest, self._plain([words[i] for i in rest]), strict=True):
-            out[i] = x
-        return out
+                order.append(np.array(some))
+                sizes.append(np.diff(ends, prepend=-1) - 1)
+                found.append(ids[~fed])
+        done = np.zeros(len(words), bool)
+        done[np.concatenate([np.zeros(0, np.int64), *order])] = True
+        rest = np.flatnonzero(~done)
+        plain = self._plain([words[i] for i in rest])
+        order.append(rest)
+        sizes.append(np.array([len(x) for x in plain], np.int64))
+        return np.concatenate(order), np.concatenate(sizes), np.concatenate([np.zeros(0, "<u4"), *found, *plain])
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
         if len(self.keys) + len(keys) > KEPT_WORDS:
             self._forget()
-        found = self._encoded(words)
-        sizes = np.array([len(x) for x in found], np.int64)
-        flat = np.concatenate(found)
+        order, sizes, flat = self._encoded(words)
+        keys = keys[order]
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), "<u4")])
         self.ids[self.used : self.used + len(flat)] = flat
@@ -102,11 +127,32 @@ class WordIds:
         self.sizes = np.insert(self.sizes, where, sizes[order])
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
-        """Places of the keys, -1 for unknown ones."""
-        if not len(self.keys):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
+        """Places of the keys, -1 for unknown ones; looked up in order, as neighbours share what is read."""
+        out = np.full(len(keys), -1)
+        if len(self.keys):
+            order = np.argsort(keys)
+            ordered = keys[order]
+            at = np.minimum(np.searchsorted(self.keys, ordered), len(self.keys) - 1)
+            out[order] = np.where(self.keys[at] == ordered, at, -1)
+        return out
+
+    def _cuts(self, data: np.ndarray) -> np.ndarray:
+        """Whether a piece begins at the byte, besides those that begin a text."""
+        cut = np.zeros(len(data), bool)
+        if not self.words:
+            cut[1:] = data[1:] == 32
+            return cut
+        kind = KIND[data]
+        lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC5))
+        kind[lead + 1] = LETTER
+        signs = lead[(data[lead] == 0xC3) & ((data[lead + 1] == 0x97) | (data[lead + 1] == 0xB7))]
+        kind[signs] = kind[signs + 1] = OTHER
+        cut[1:] = CUT.ravel()[kind[:-1] * 8 + kind[1:]]
+        feeds = np.flatnonzero((kind == FEED) & cut)
+        feeds = feeds[feeds + 1 < len(data)]
+        behind = kind[feeds + 1]
+        cut[feeds[(behind >= LETTER) & (behind <= APOSTROPHE)] + 1] = True
+        return cut
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the number of ids of each text."""
@@ -115,13 +161,15 @@ class WordIds:
         if odd.any():
             return self._mixed(texts, odd)
         data, offsets = scan.buffer(texts)
-        cut = data == 32
+        cut = self._cuts(data)
         cut[offsets[:-1]] = True
         starts = np.flatnonzero(cut)
-        text = np.searchsorted(offsets, starts, side="right") - 1
-        ends = np.minimum(np.append(starts[1:], len(data)), offsets[text + 1] - 1)
+        ends = np.append(starts[1:], len(data))[: len(starts)]
+        firsts = np.searchsorted(starts, offsets)
+        ends[firsts[1:] - 1] -= 1  # the line feed behind a text
         some = ends > starts
-        starts, ends, text = starts[some], ends[some], text[some]
+        text = np.repeat(np.arange(len(texts)), np.diff(firsts))[some]
+        starts, ends = starts[some], ends[some]
         at, keys = pd.factorize(scan.SpanHash(data)(starts, ends))
         places = self._find(keys)
         if (places < 0).any():
@@ -129,9 +177,10 @@ class WordIds:
             if len(self.keys) + new.sum() > KEPT_WORDS:
                 self._forget()
                 new[:] = True
-            _, first = np.unique(at, return_index=True)
-            first = first[new]
-            self._learn(keys[new], [data[a:b].tobytes().decode() for a, b in zip(starts[first], ends[first], strict=True)])
+            one = np.zeros(len(keys), np.int64)
+            one[at] = np.arange(len(at))
+            one, whole = one[new], data.tobytes()
+            self._learn(keys[new], [whole[a:b].decode() for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
             places = self._find(keys)
         begins, sizes = self.begins[places], self.sizes[places]
         per_piece = sizes[at]
@@ -154,12 +203,13 @@ def project(ids: np.ndarray, counts: np.ndarray, dimensions: int = DIMENSIONS) -
     Every id is hashed to one of 2**16 buckets, a bucket has a random sign per dimension; that is a
     hashed bag-of-tokens vector times a random projection, without the vector in between.
     """
-    text = np.repeat(np.arange(len(counts)), counts)
-    bits = scan.mix((ids.astype(np.uint64) & np.uint64(0xFFFF)) + np.uint64(1))
+    ends = np.cumsum(counts)
+    buckets = ids.astype(np.uint16)
+    bits = scan.mix(np.arange(1 << 16, dtype=np.uint64) + np.uint64(1))
     out = np.empty((len(counts), dimensions))
     for d in range(dimensions):
-        sign = ((bits >> np.uint64(d)) & np.uint64(1)).astype(np.float64) * 2 - 1
-        sums = np.bincount(text, weights=sign, minlength=len(counts))
+        sign = ((bits >> np.uint64(d)) & np.uint64(1)).astype(np.int8) * 2 - 1
+        sums = scan.sum_by(sign.astype(np.int8)[buckets], ends - counts, ends)
         out[:, d] = 0.5 + 0.5 * np.tanh(2 * sums / np.maximum(counts, 1))
     return out
 
@@ -222,6 +272,17 @@ def tokenize(docs: DataFrame, vocabulary: str, keep: Sequence[str] = ("doc_id",)
     return source.mapInArrow(encode, schema)
 
 
+def wide(ids: pa.Array, n: pa.Array) -> pa.Array:
+    """Every row's ``n`` ids in 32 bits each; of 16-bit ones, every two bytes get two zero bytes behind them."""
+    ids = ids.cast(pa.large_binary())
+    _, offsets, data = ids.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[ids.offset : ids.offset + len(ids) + 1]
+    doubled = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view("<u2").astype("<u4")
+    buffers = [None, pa.py_buffer((offsets - offsets[0]) * 2), pa.py_buffer(doubled)]
+    narrow = pc.less(pc.binary_length(ids), pc.multiply(n, 4))
+    return pc.if_else(narrow, pa.Array.from_buffers(pa.large_binary(), len(ids), buffers), ids).cast(pa.binary())
+
+
 def pack(tokens: DataFrame, length: int = 1024) -> DataFrame:
     """(row, start, length, ids, doc_tokens, sequence_id, offset): the pieces of all documents.
 
@@ -256,24 +317,28 @@ def pack(tokens: DataFrame, length: int = 1024) -> DataFrame:
         high = F.least(start_of(sequence + 1), end)
         return F.struct(
             sequence.alias("sequence_id"), (low - start_of(sequence)).alias("offset"), (low - begin).alias("start"), (high - low).alias("length"),
-            wide(F.substring("ids", ((low - begin) * size + 1).cast("int"), ((high - low) * size).cast("int"))).alias("ids"),
+            F.substring("ids", ((low - begin) * size + 1).cast("int"), ((high - low) * size).cast("int")).alias("ids"),
         )
 
     size = F.floor(F.octet_length("ids") / F.col("n"))
-
-    def wide(ids):
-        """32-bit ids; of 16-bit ones, every two bytes get two zero bytes behind them."""
-        return F.when(size == 4, ids).otherwise(F.unhex(F.regexp_replace(F.hex(ids), "(.{4})", F.lit("$10000"))))
-
     where = placed.select(F.col("no").alias("of"), "before")
     pieces = F.transform(F.sequence(sequence_of(begin), sequence_of(end - 1)), piece)
-    return (
+    cut = (
         stored.join(where, F.col("no") == F.col("of"))
         .select("row", F.col("n").alias("doc_tokens"), pieces.alias("pieces"))
         .select("row", "doc_tokens", F.inline("pieces"))
         .select("row", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
     )
 
+    def widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in scan.slices(batch, 3):
+                columns = part.columns
+                columns[3] = wide(columns[3], columns[2])
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+
+    return cut.mapInArrow(widened, cut.schema)
+
 
 def sequences(pieces: DataFrame) -> DataFrame:
     """(sequence_id, ids): the pieces of every sequence put together; a sequence has ``length`` ids at most."""

@@ -365,6 +365,34 @@ def test_word_ids_are_the_tokenizers():
     assert counts.tolist() == [len(p) for p in plain] and np.array_equal(ids, np.concatenate(plain))
 
 
+def test_token_ids_by_words():
+    """A word is encoded once, whatever signs and lines are around it."""
+    words = packing.WordIds(vocabulary())
+    words.encode(pa.array(["une été, été. (été) été!\nété\nété;\n", "Été | été", "été\n\nété"]))
+    # une, " été", "été", " Été" without a space, signs, the line feed; " (" and "\n\nété" as they stand
+    assert len(words.keys) == len({"une", " été", "été", "Été", ",", ".", " (", ")", "!", ";", "\n", " |", "\n\nété"})
+    rng = random.Random(5)
+    alphabet = [*"alERV'!.,(|-1 7\n\t\x00\x1c\x7f", "é", "×", "÷", "ſ", "À", "ª", "\u0301", "\xa0", "\x85", "　", "中", "😀", "٣", "'s", "'ll", " ", "  ", "word", " word"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 24))) for _ in range(20_000)]
+    ids, counts = words.encode(pa.array(texts))
+    plain = words._plain(texts)
+    assert counts.tolist() == [len(p) for p in plain] and np.array_equal(ids, np.concatenate(plain))
+    ids, counts = words.encode(pa.array(["a  b", "  "]))  # none is cut
+    assert counts.tolist() == [len(p) for p in words._plain(["a  b", "  "])]
+
+
+def test_packed_ids_are_widened_in_batches(docs):
+    pieces = packing.pack(packing.tokenize(docs, vocabulary()), length=64)
+    assert "regexp_replace" not in pieces._jdf.queryExecution().toString()
+    ids = [np.array([1, 50_256, 7], "<u2"), np.array([3], "<u2"), np.array([70_000, 1], "<u4"), np.array([0], "<u4")]
+    n = pa.array([len(x) for x in ids])
+    wide = packing.wide(pa.array([b"", *[x.tobytes() for x in ids]])[1:], n)
+    assert [np.frombuffer(w, "<u4").tolist() for w in wide.to_pylist()] == [x.tolist() for x in ids]
+    rows = packing.pack(packing.tokenize(docs, vocabulary(), end_id=70_000), length=64).collect()
+    assert sum(r.length for r in rows) == sum(len(r.ids) // 4 for r in rows) and sum(r.start + r.length == r.doc_tokens for r in rows) == len(DOCS)
+    assert all(np.frombuffer(r.ids, "<u4")[-1] == 70_000 for r in rows if r.start + r.length == r.doc_tokens)
+
+
 def test_packing(docs, empty):
     pieces = packing.pack(packing.tokenize(docs, vocabulary()), length=64)
     rows = pieces.collect()
