@@ -27,13 +27,14 @@ ROWS = 2048
 
 @dataclass(frozen=True)
 class ForestModel:
-    """A fitted MLlib pipeline behind a stored table (level, slot) of the groups it knows."""
+    """A fitted MLlib pipeline behind a stored table (level, slot) of the groups it knows; ``nodes`` is the forest's stored form, if there is one."""
 
     numeric: tuple[str, ...]
     levels: DataFrame
     n_levels: int
     pipeline: PipelineModel
     group: str = R.GROUP
+    nodes: DataFrame | None = None
 
     def with_slot(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``_group_no``; a group not known has the number after the last."""
@@ -74,17 +75,26 @@ class Trees:
             node = following
 
 
+def z_scaling(pipeline: PipelineModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, inverse deviation and factor of the z-scores of ``models.preprocessing``."""
+    scaler, factor = pipeline.stages[1], pipeline.stages[2]
+    sd = np.array(scaler.std.toArray())
+    return np.array(scaler.mean.toArray()), np.divide(1.0, sd, out=np.zeros_like(sd), where=sd != 0), np.array(factor.getScalingVec().toArray())
+
+
 def compile_forest(model: ForestModel) -> Trees:
     """Read the nodes of a fitted forest from its stored form; at most trees * 2**(depth + 1) rows of eight numbers.
 
     They travel to the executors with the function that walks them.
     """
-    scaler, factor, trees = model.pipeline.stages[1], model.pipeline.stages[2], model.pipeline.stages[-1]
-    path = new_path(model.levels.sparkSession, "forest")
-    trees.write().save(path)
+    trees, nodes = model.pipeline.stages[-1], model.nodes
+    if nodes is None:
+        path = new_path(model.levels.sparkSession, "forest")
+        trees.write().save(path)
+        nodes = model.levels.sparkSession.read.parquet(f"{path}/data")
     node = F.col("nodeData")
     split = node.getField("split")
-    stored = model.levels.sparkSession.read.parquet(f"{path}/data").select(
+    stored = nodes.select(
         F.col("treeID").alias("tree"), node["id"].alias("id"), node["prediction"].alias("value"), node["leftChild"].alias("left"), node["rightChild"].alias("right"),
         split["featureIndex"].alias("feature"), F.try_element_at(split["leftCategoriesOrThreshold"], F.lit(1)).alias("threshold"), split["numCategories"].alias("kinds"),
     )
@@ -100,9 +110,9 @@ def compile_forest(model: ForestModel) -> Trees:
     slot, threshold = found["kinds"] > 0, found["threshold"].astype(float)
     ones_left = slot & (threshold == 1.0)
     left, right = np.where(ones_left, right, left), np.where(ones_left, left, right)
-    sd = np.array(scaler.std.toArray())
+    mean, scale, factor = z_scaling(model.pipeline)
     return Trees(
-        mean=np.array(scaler.mean.toArray()), scale=np.divide(1.0, sd, out=np.zeros_like(sd), where=sd != 0), factor=np.array(factor.getScalingVec().toArray()),
+        mean=mean, scale=scale, factor=factor,
         roots=np.flatnonzero(found["id"] == 0).astype(np.int32), feature=np.where(leaf, 0, found["feature"]).astype(np.int32),
         threshold=np.where(leaf, np.inf, np.where(slot, 0.5, threshold)), left=left.astype(np.int32), right=right.astype(np.int32), value=found["value"].astype(float),
     )

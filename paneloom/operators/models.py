@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from paneloom import roles as R
 from paneloom.functions import scalars as S
 from paneloom.operators.features import group_index
-from paneloom.operators.forest import ForestModel
+from paneloom.operators.forest import ForestModel, z_scaling
+from paneloom.operators.growth import fit_trees
 from paneloom.operators.linear import LeastSquares, LinearModel, fit_least_squares
 from paneloom.operators.quality import ContractError
 from paneloom.operators.scenario import NEEDED, SCENARIOS, LinearForm, scenario_grid, with_group_effect
@@ -104,11 +105,15 @@ def fit_all(
     if forests:
         known = ForestModel(tuple(numeric), levels, n_levels, None)
         slotted = known.with_slot(train)
-        prepared = Pipeline(stages=preprocessing(numeric, train.count())).fit(slotted)
+        n_rows = train.count()
+        prepared = Pipeline(stages=preprocessing(numeric, n_rows)).fit(slotted)
         for name, estimator in forests.items():
-            inputs = in_fixed_order(slotted, partitions)
-            fitted = estimator.fit(prepared.transform(inputs).select("_features", estimator.getLabelCol()))
-            models[name] = ForestModel(tuple(numeric), levels, n_levels, PipelineModel(stages=[*prepared.stages, fitted]))
+            wanted = slotted.select(*dict.fromkeys([*R.KEY, *numeric, estimator.getLabelCol(), "_group_no"]))
+            inputs = in_fixed_order(wanted, partitions)
+            fitted, nodes = fit_trees(estimator, inputs, numeric, n_levels, n_rows, *z_scaling(prepared)) or (None, None)
+            if fitted is None:
+                fitted = estimator.fit(prepared.transform(inputs).select("_features", estimator.getLabelCol()))
+            models[name] = ForestModel(tuple(numeric), levels, n_levels, PipelineModel(stages=[*prepared.stages, fitted]), nodes=nodes)
     return {name: models[name] for name in estimators}
 
 
