@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,20 +23,34 @@ from paneloom import roles as R
 from paneloom.operators.scenario import NEEDED, SCENARIOS, scenario_grid
 from paneloom.store import new_path
 
-#: Rows walked at once; with 300 trees a step holds some 10 MB.
-ROWS = 2048
+#: Rows walked at once: their features and places in a tree stay in a core's cache.
+ROWS = 16_384
+#: Groups up to which a row's slots are laid out beside its features.
+LAID_OUT = 64
 
 
 @dataclass(frozen=True)
 class ForestModel:
-    """A fitted MLlib pipeline behind a stored table (level, slot) of the groups it knows; ``nodes`` is the forest's stored form, if there is one."""
+    """A fitted MLlib preparation and forest behind a stored table (level, slot) of the groups it knows.
+
+    ``forest`` is MLlib's model or the path of its stored form, which is loaded into the driver only where MLlib's transform is asked for.
+    """
 
     numeric: tuple[str, ...]
     levels: DataFrame
     n_levels: int
-    pipeline: PipelineModel
+    prepared: PipelineModel | None
+    forest: RandomForestRegressionModel | str | None
     group: str = R.GROUP
-    nodes: DataFrame | None = None
+
+    @cached_property
+    def pipeline(self) -> PipelineModel:
+        forest = RandomForestRegressionModel.load(self.forest) if isinstance(self.forest, str) else self.forest
+        return PipelineModel(stages=[*self.prepared.stages, forest])
+
+    @cached_property
+    def trees(self) -> Trees:
+        return compile_forest(self)
 
     def with_slot(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``_group_no``; a group not known has the number after the last."""
@@ -43,36 +59,62 @@ class ForestModel:
         return joined.withColumn("_group_no", F.coalesce("_slot", F.lit(self.n_levels)).cast("double")).drop("_level", "_slot")
 
     def transform(self, rows: DataFrame) -> DataFrame:
+        """MLlib's own transform."""
         scored = self.pipeline.transform(self.with_slot(rows))
         return scored.select(*rows.columns, "prediction")
 
+    def walked(self, slotted: DataFrame, name: str) -> DataFrame:
+        """``slotted`` rows (of ``with_slot``) and the same value as a column, by the compiled nodes. A null feature is an error, as for MLlib."""
+        trees = self.trees
+
+        def walk(*columns: pa.Array) -> pa.Array:
+            *x, slot = (c.to_numpy(zero_copy_only=False).astype(float) for c in columns)
+            x = np.stack(x, axis=1)
+            if np.isnan(x).any():
+                raise ValueError("a feature of a row to predict is null or NaN")
+            parts = [trees.predict(x[i : i + ROWS], slot[i : i + ROWS]) for i in range(0, len(x), ROWS)]
+            return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+
+        return slotted.withColumn(name, F.arrow_udf(walk, "double")(*[F.col(c).cast("double") for c in self.numeric], F.col("_group_no")))
+
 
 @dataclass(frozen=True)
 class Trees:
-    """All nodes of a forest in a row. A leaf leads to itself; ``feature`` p + g is the slot of group g."""
+    """All nodes of a forest, tree by tree. A right child follows its left one; a leaf leads to itself; ``feature`` p + g is the slot of group g."""
 
     mean: np.ndarray
     scale: np.ndarray
     factor: np.ndarray
-    roots: np.ndarray
+    slots: int
+    begin: np.ndarray
+    depth: np.ndarray
     feature: np.ndarray
     threshold: np.ndarray
     left: np.ndarray
-    right: np.ndarray
     value: np.ndarray
 
     def predict(self, x: np.ndarray, slot: np.ndarray) -> np.ndarray:
         """The mean of the trees' values for rows of numeric features and group numbers."""
         z = (x - self.mean) * self.scale * self.factor  # the scaler's arithmetic, in its order
-        p, row = z.shape[1], np.arange(len(z))[:, None]
-        node = np.broadcast_to(self.roots, (len(z), len(self.roots)))
-        while True:
-            feature = self.feature[node]
-            value = np.where(feature < p, z[row, np.minimum(feature, p - 1)], slot[:, None] == feature - p)
-            following = np.where(value <= self.threshold[node], self.left[node], self.right[node])
-            if (following == node).all():
-                return self.value[node].sum(1) / len(self.roots)
-            node = following
+        n, p = z.shape
+        laid_out = self.slots <= LAID_OUT
+        if laid_out:
+            z = np.concatenate([z, slot[:, None] == np.arange(self.slots)], axis=1)
+        width = z.shape[1]
+        z, offset = z.reshape(-1), np.arange(n) * width
+        total = np.zeros(n)
+        for i, depth in enumerate(self.depth):
+            own = slice(self.begin[i], self.begin[i + 1])
+            feature, left, threshold = self.feature[own].astype(np.intp), self.left[own].astype(np.intp), self.threshold[own]
+            node = np.zeros(n, np.intp)
+            for _ in range(depth):
+                at = feature.take(node)
+                value = z.take(at + offset) if laid_out else np.where(at < p, z.take(np.minimum(at, p - 1) + offset), slot == at - p)
+                over = value > threshold.take(node)
+                node = left.take(node)
+                node += over
+            total += self.value[own].take(node)
+        return total / len(self.depth)
 
 
 def z_scaling(pipeline: PipelineModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,34 +129,45 @@ def compile_forest(model: ForestModel) -> Trees:
 
     They travel to the executors with the function that walks them.
     """
-    trees, nodes = model.pipeline.stages[-1], model.nodes
-    if nodes is None:
-        path = new_path(model.levels.sparkSession, "forest")
-        trees.write().save(path)
-        nodes = model.levels.sparkSession.read.parquet(f"{path}/data")
+    spark, path = model.levels.sparkSession, model.forest
+    if not isinstance(path, str):
+        path = new_path(spark, "forest")
+        model.forest.write().save(path)
     node = F.col("nodeData")
     split = node.getField("split")
-    stored = nodes.select(
+    stored = spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"), node["id"].alias("id"), node["prediction"].alias("value"), node["leftChild"].alias("left"), node["rightChild"].alias("right"),
         split["featureIndex"].alias("feature"), F.try_element_at(split["leftCategoriesOrThreshold"], F.lit(1)).alias("threshold"), split["numCategories"].alias("kinds"),
     )
     found = {c: col.to_numpy() for c, col in zip(stored.columns, stored.toArrow().columns, strict=True)}
     order = np.lexsort((found["id"], found["tree"]))
     found = {c: v[order] for c, v in found.items()}
-    begin = np.searchsorted(found["tree"], np.arange(trees.getNumTrees))[found["tree"]]  # ids count from 0 in each tree
+    roots = np.flatnonzero(found["id"] == 0)
+    begin = np.append(roots, len(order))
+    offset = begin[np.searchsorted(begin, np.arange(len(order)), "right") - 1]  # ids count from 0 in each tree
     leaf = found["left"] < 0
-    own = np.arange(len(leaf))
-    left = np.where(leaf, own, begin + found["left"])
-    right = np.where(leaf, own, begin + found["right"])
+    left, right = offset + found["left"], offset + found["right"]
     # A slot is 0 or 1; the split names the values that go left.
     slot, threshold = found["kinds"] > 0, found["threshold"].astype(float)
     ones_left = slot & (threshold == 1.0)
     left, right = np.where(ones_left, right, left), np.where(ones_left, left, right)
-    mean, scale, factor = z_scaling(model.pipeline)
+    # Anew in each tree: level by level, a right child behind its left one.
+    levels, depth, now = [], np.zeros(len(roots), int), roots
+    while len(now):
+        levels.append(now)
+        inner = now[~leaf[now]]
+        depth[np.searchsorted(begin, inner, "right") - 1] = len(levels)
+        now = np.stack([left[inner], right[inner]], axis=1).reshape(-1)
+    order = np.concatenate(levels)
+    order = order[np.argsort(offset[order], kind="stable")]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    leaf, slot, threshold, offset = leaf[order], slot[order], threshold[order], offset[order]
+    mean, scale, factor = z_scaling(model.prepared)
     return Trees(
-        mean=mean, scale=scale, factor=factor,
-        roots=np.flatnonzero(found["id"] == 0).astype(np.int32), feature=np.where(leaf, 0, found["feature"]).astype(np.int32),
-        threshold=np.where(leaf, np.inf, np.where(slot, 0.5, threshold)), left=left.astype(np.int32), right=right.astype(np.int32), value=found["value"].astype(float),
+        mean=mean, scale=scale, factor=factor, slots=model.n_levels, begin=begin, depth=depth, feature=np.where(leaf, 0, found["feature"][order]).astype(np.int32),
+        threshold=np.where(leaf, np.inf, np.where(slot, 0.5, threshold)), left=(np.where(leaf, place[order], place[np.where(leaf, 0, left[order])]) - offset).astype(np.int32),
+        value=found["value"][order].astype(float),
     )
 
 
@@ -177,7 +230,7 @@ def forecast_with_forest(
     high: float = 100.0,
 ) -> DataFrame:
     """The recursive forecast of ``scenario.roll_forward`` with a forest as its predictor, all periods in one pass."""
-    trees = compile_forest(model)
+    trees = model.trees
     live = state.where(F.col("last_period") < end_period).dropna(subset=list(NEEDED[predicts]))
     grid = scenario_grid(model.with_slot(live), scenarios)
     columns = [R.ENTITY, R.NAME, R.GROUP, R.GROUP_CODE, "scenario", "total_change"]

@@ -103,17 +103,17 @@ def fit_all(
             raise ContractError(f"{R.GROUP} has {n_levels}, more than {limit} levels; too many for slots")
     models: dict[str, Model] = dict(fit_least_squares(linear, train, numeric)) if linear else {}
     if forests:
-        known = ForestModel(tuple(numeric), levels, n_levels, None)
+        known = ForestModel(tuple(numeric), levels, n_levels, None, None)
         slotted = known.with_slot(train)
         n_rows = train.count()
         prepared = Pipeline(stages=preprocessing(numeric, n_rows)).fit(slotted)
         for name, estimator in forests.items():
             wanted = slotted.select(*dict.fromkeys([*R.KEY, *numeric, estimator.getLabelCol(), "_group_no"]))
             inputs = in_fixed_order(wanted, partitions)
-            fitted, nodes = fit_trees(estimator, inputs, numeric, n_levels, n_rows, *z_scaling(prepared)) or (None, None)
+            fitted = fit_trees(estimator, inputs, numeric, n_levels, n_rows, *z_scaling(prepared))
             if fitted is None:
                 fitted = estimator.fit(prepared.transform(inputs).select("_features", estimator.getLabelCol()))
-            models[name] = ForestModel(tuple(numeric), levels, n_levels, PipelineModel(stages=[*prepared.stages, fitted]), nodes=nodes)
+            models[name] = ForestModel(tuple(numeric), levels, n_levels, prepared, fitted)
     return {name: models[name] for name in estimators}
 
 
@@ -123,33 +123,29 @@ def fit(estimator, train: DataFrame, numeric: Sequence[str], partitions: int = 8
 
 def predict(model: Model, rows: DataFrame) -> DataFrame:
     """Rows plus ``prediction``."""
+    if isinstance(model, ForestModel):
+        return model.walked(model.with_slot(rows), "prediction").select(*rows.columns, "prediction")
     return model.transform(rows).select(*rows.columns, "prediction")
 
 
 def predictions_long(models: Mapping[str, Model], test: DataFrame, others: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per (model, test row), from one reading of the test rows.
 
-    Every model adds a column, linear ones after a join with their small table of effects, forests behind
-    one shared preprocessing; ``others`` are predictions that are columns already. The columns are then
+    Every model adds a column, linear ones after a join with their small table of effects, forests by a walk
+    of their nodes; ``others`` are predictions that are columns already. The columns are then
     unpivoted in place.
     """
-    scored, names = test, {}
-    forests = [m for m in models.values() if isinstance(m, ForestModel)]
-    prepared: list = []
+    scored, names, slots = test, {}, None
     for i, (name, model) in enumerate(models.items()):
         names[name] = f"_p{i}"
         if isinstance(model, LinearModel):
             scored = with_group_effect(scored, model.effects, model.group, "_effect")
             scored = scored.withColumn(names[name], model.without_groups(F.col) + F.col("_effect")).drop("_effect")
-    if forests:
-        scored = forests[0].with_slot(scored)
     for name, model in models.items():
         if isinstance(model, ForestModel):
-            *stages, trees = model.pipeline.stages
-            if stages != prepared:  # models fitted together share them
-                scored = PipelineModel(stages=stages).transform(scored.drop("_numeric", "_scaled", "_z", "_group_slots", "_features"))
-                prepared = stages
-            scored = trees.transform(scored).withColumnRenamed("prediction", names[name])
+            if slots is not model.levels:  # models fitted together share them
+                scored, slots = model.with_slot(scored.drop("_group_no")), model.levels
+            scored = model.walked(scored, names[name])
     for i, (name, value) in enumerate((others or {}).items()):
         names[name] = f"_o{i}"
         scored = scored.withColumn(names[name], value)
@@ -190,7 +186,8 @@ def load_model(spark: SparkSession, folder: str, kind: str) -> Model | PipelineM
     if kind == "pipeline":
         return pipeline
     form = spark.read.schema(_FOREST).parquet(f"{folder}/form").first()
-    return ForestModel(tuple(form.numeric), spark.read.parquet(f"{folder}/levels"), form.n_levels, pipeline, form.group)
+    *stages, trees = pipeline.stages
+    return ForestModel(tuple(form.numeric), spark.read.parquet(f"{folder}/levels"), form.n_levels, PipelineModel(stages=stages), trees, form.group)
 
 
 _LINEAR = "intercept double, numeric array<string>, weights array<double>, `group` string"

@@ -113,7 +113,7 @@ def forecast(
     if isinstance(model, LinearModel):
         rolled = SC.roll_forward(state, end_period, model.form(), predicts, scenarios, group_effects=model.effects)
     else:
-        rolled = forecast_with_forest(model, state, end_period, predicts, scenarios)
+        rolled = materialise(forecast_with_forest(model, state, end_period, predicts, scenarios), "forecast")  # else walked again to see that there are rows
     out = SC.require_forecast(SC.emit_window(rolled, first_period))
     if predicts == "change":
         out = out.withColumn("model_name", F.lit(model_name)).withColumn("model_type", F.lit("sugar_sensitivity_model"))

@@ -104,3 +104,17 @@ def test_more_trees_take_no_more_passes(spark):
         assert model.pipeline.stages[-1].getNumTrees == trees
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert jobs[1] <= jobs[0] + 2
+
+
+def test_rows_are_scored_without_mllibs_model_in_the_driver(spark):
+    """By a walk of the stored nodes, equal to MLlib's transform; a row without a feature is an error as there."""
+    rng = random.Random(5)
+    rows = [(i, 2000 + i % 7, f"g{i % 3}", rng.random(), rng.random(), rng.random()) for i in range(300)]
+    train = materialise(spark.createDataFrame(rows, "entity int, period int, grp string, x double, z double, y double"), "rows")
+    model = M.fit(M.forest("y", 12, 6), train, ["x", "z"])
+    at = lambda df: {r.entity: r.prediction for r in df.collect()}
+    found, long = at(M.predict(model, train)), at(M.predictions_long({"forest": model}, train))
+    assert "pipeline" not in vars(model)
+    assert found == pytest.approx(at(model.transform(train)), abs=1e-12) and found == long
+    with pytest.raises(Exception, match="null or NaN"):
+        M.predict(model, train.selectExpr("entity", "period", "grp", "x", "cast(null as double) as z")).collect()
