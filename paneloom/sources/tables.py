@@ -59,9 +59,10 @@ def load_with_fallback(
     return loaded
 
 
-def land(df: DataFrame, path: str, fmt: str = "csv") -> str:
-    """Write raw rows with a header; replaces what was there."""
-    df.write.mode("overwrite").format(fmt).options(**WRITE_OPTIONS.get(fmt, {})).save(path)
+def land(df: DataFrame, path: str, fmt: str = "csv", compression: str | None = None) -> str:
+    """Write raw rows with a header; replaces what was there. ``compression`` names a codec: bulk text takes several times the room of its table."""
+    options = WRITE_OPTIONS.get(fmt, {}) | ({"compression": compression} if compression else {})
+    df.write.mode("overwrite").format(fmt).options(**options).save(path)
     return path
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -219,3 +220,41 @@ def test_landed_text_keeps_its_blanks(spark):
     path = tables.land(spark.createDataFrame([(" 5", "x "), (None, " ")], "code string, name string"), new_path(spark, "blanks"))
     back = landed.read_long_csv(spark, path, {"code": ["code"], "name": ["name"]})
     assert {tuple(r) for r in back.collect()} == {(" 5", "x "), (None, " ")}
+
+
+def test_bulk_text_is_landed_compressed_and_read_in_its_order(spark):
+    rows = [(f"{i:05d}", "the same words in every row") for i in range(3000)]
+    feed = spark.createDataFrame(rows, "code string, name string").repartitionByRange(4, "code").sortWithinPartitions("code")
+    plain, packed = (tables.land(feed, new_path(spark, "bulk"), compression=c) for c in (None, "gzip"))
+    found = landed.read_long_csv(spark, packed, {"code": ["code"], "name": ["name"]}, ordinal=True)
+    assert [r.code for r in found.orderBy(landed.ORDINAL).collect()] == [c for c, _ in rows]
+    size = lambda path: sum(f.stat().st_size for f in Path(path.removeprefix("file:")).glob("part-*"))
+    assert size(packed) * 4 < size(plain)
+
+
+def test_lines_travel_twice_before_they_are_landed(spark, tmp_path, monkeypatch):
+    """To their parts and into their order, not to their suppliers, and not yet as two rows of text; beyond the bound they travel to suppliers, too."""
+    from workload import fixtures as X
+
+    stamp = "timestamp'1996-02-03 00:00:00'"
+    spark.range(200).selectExpr(
+        "id div 4 as l_orderkey", "cast(id % 4 as int) as l_linenumber", "id % 7 as l_partkey", "id % 5 as l_suppkey", f"{stamp} as l_shipdate", "double(id) as l_quantity",
+        "id * 1.5d as l_extendedprice", "id % 3 * 0.1d as l_discount", "id % 2 * 0.1d as l_tax", "element_at(array('R', 'A', 'N'), cast(id % 3 + 1 as int)) as l_returnflag", "'O' as l_linestatus",
+    ).orderBy(F.rand(1)).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(6).selectExpr("id as p_partkey", "if(id % 2 = 0, 'ECONOMY', 'SMALL') as p_type").write.parquet(f"{tmp_path}/part.parquet")  # of one part nothing is known
+    spark.range(5).selectExpr("id as s_suppkey", "id % 3 as s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(3).selectExpr("id as n_nationkey", "concat('NATION', id) as n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near = X.ordered_lines(spark, str(tmp_path))
+        wide = [line for line in near._jdf.queryExecution().sparkPlan().toString().splitlines() if "SortMergeJoin" in line]
+        assert len([line for line in wide if "l_partkey" in line]) == 1 and not any("l_suppkey" in line for line in wide)
+        assert "Generate" not in near._jdf.queryExecution().sparkPlan().toString()
+        monkeypatch.setattr(X, "NEAR_SUPPLIERS", 4)
+        far = X.ordered_lines(spark, str(tmp_path))
+        order = lambda df: [tuple(r) for r in df.select(*X.LONG_ORDER, "p_type", "n_nationkey", "n_name").collect()]
+        assert order(near) == order(far) == sorted(order(near)) and len(order(near)) == 172
+        text = lambda df: sorted(map(repr, df.collect()))
+        assert text(X.long_rows(near)) == text(X.supply_long(spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from paneloom import roles as R
 from paneloom.functions.scalars import recode
-from paneloom.operators.clean import recode_passthrough
+from paneloom.operators.clean import recode_passthrough, sorted_for_sink
 from paneloom.operators.panel import panel_join
 from paneloom.store import deal
 
@@ -141,16 +141,38 @@ LONG_ORDER = [
 ]
 
 
-def supply_long(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw long supply rows as a bulk file would carry them, two elements per line item.
+#: Suppliers up to which their nations are looked up where the lines lie, by some 100 MB in each executor; more are joined by a shuffle.
+NEAR_SUPPLIERS = 1_000_000
 
-    All fields are text. Area codes come in several spellings by return flag and are unknown
-    (999) for untaxed returned lines; values of undiscounted lines are not numbers.
-    """
-    lines = deal(table(spark, folder, "lineitem").select(*LONG_ORDER))
-    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+
+def typed_lines(spark: SparkSession, folder: str, dealt: bool = True) -> DataFrame:
+    """Line items with the type of their part; not ``dealt`` where the rows are dealt out anew anyway."""
+    lines = table(spark, folder, "lineitem").select(*LONG_ORDER)
     part = table(spark, folder, "part").select("p_partkey", "p_type")
+    return (deal(lines) if dealt else lines).join(part, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
+
+
+def with_nation(lines: DataFrame, folder: str, near: bool = False) -> DataFrame:
+    """``lines`` with the nation of their supplier; ``near`` leaves them where they are, in their order."""
+    spark = lines.sparkSession
+    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    placed = supplier.select("s_suppkey", "n_nationkey", "n_name")
+    return lines.join(F.broadcast(placed) if near else placed, F.col("l_suppkey") == F.col("s_suppkey")).drop("s_suppkey")
+
+
+def ordered_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of ``long_rows`` in their order: wide rows travel to the join with their parts and once more to be put in order."""
+    lines = typed_lines(spark, folder, dealt=False)
+    if table(spark, folder, "supplier").count() <= NEAR_SUPPLIERS:
+        placed = sorted_for_sink(lines, LONG_ORDER).withColumn("_place", F.monotonically_increasing_id())
+        # Spark takes an order below a join for idle and drops it, but not below a column that depends on the rows' places.
+        return with_nation(placed.where("_place >= 0"), folder, near=True).drop("_place")
+    return sorted_for_sink(with_nation(lines, folder), LONG_ORDER)
+
+
+def long_rows(lines: DataFrame) -> DataFrame:
+    """Both elements of each line with its type and nation, in the order of the lines."""
     number = F.col("n_nationkey").cast("string")
     flag = F.col("l_returnflag")
     code = (
@@ -165,12 +187,7 @@ def supply_long(spark: SparkSession, folder: str) -> DataFrame:
             F.struct(F.lit("price").alias("element"), F.lit("money").alias("unit"), F.col("l_extendedprice").alias("v")),
         )
     )
-    joined = (
-        lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    )
-    return joined.withColumn("_e", element).select(
+    return lines.withColumn("_e", element).select(
         code.alias("code"),
         F.col("n_name").alias("area"),
         F.col("p_type").alias("item"),
@@ -182,6 +199,15 @@ def supply_long(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def supply_long(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw long supply rows as a bulk file would carry them, two elements per line item.
+
+    All fields are text. Area codes come in several spellings by return flag and are unknown
+    (999) for untaxed returned lines; values of undiscounted lines are not numbers.
+    """
+    return long_rows(with_nation(typed_lines(spark, folder), folder))
+
+
 def prevalence_feed(spark: SparkSession, folder: str) -> DataFrame:
     """A raw feed of one row per order under the public feed's field names, and the order's key.
 

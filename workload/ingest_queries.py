@@ -486,12 +486,14 @@ firsts as (
 from firsts where rn = 1 and regexp_full_match(iso3, '[A-Z]{{3}}') group by iso3, area, year""",
 )
 def ingest_supply(spark, folder):
-    """All line items landed as the supply feed's bulk CSV in their order, cleaned, pivoted and made loadable."""
+    """All line items landed as the supply feed's bulk CSV in their order, cleaned, pivoted and made loadable.
+
+    Lines are put in order before each becomes two rows of text, and the text is landed compressed.
+    """
     path = new_path(spark, "supply")
     elements = dict(zip(X.SUPPLY_ELEMENTS, schemas.SUPPLY_ELEMENTS, strict=True))
     item = F.when(F.col("item") == "ECONOMY", F.lit(f"Raw {schemas.SUPPLY_ITEM.lower()}")).otherwise(F.col("item"))
-    ordered = C.sorted_for_sink(X.supply_long(spark, folder), [f"ordinal.{c}" for c in X.LONG_ORDER])
-    feed = ordered.select(
+    feed = X.long_rows(X.ordered_lines(spark, folder)).select(
         F.lit(9).alias("Area Code"),
         F.col("code").alias("Area Code (M49)"),
         F.col("area").alias("Area"),
@@ -502,7 +504,7 @@ def ingest_supply(spark, folder):
         F.col("value").alias("Value"),
         F.lit("note").alias("Note"),
     )
-    tables.land(feed, path)
+    tables.land(feed, path, compression="gzip")
     long = landed.read_long_csv(spark, path, schemas.SUPPLY_ALIASES, ordinal=True)
     codes = X.code_dimension(spark, folder).select("code", F.left("area_entity", F.lit(3)).alias("iso3"))
     return tidy(ingest.loadable_supply(ingest.clean_supply(long, codes)))
