@@ -127,14 +127,14 @@ def _last_train(panel):
     return panel.agg(F.max(R.PERIOD)).first()[0] - BEFORE_END
 
 
-def change_split(spark, folder):
-    panel = dense_panel(spark, folder)
+def change_split(spark, folder, panel=None):
+    panel = dense_panel(spark, folder) if panel is None else panel
     rows = FE.training_rows(FE.change_features(panel), FE.CHANGE_NUMERIC, FE.CHANGE_TARGET)
     return FE.time_split(materialise(rows, "rows"), _last_train(panel))
 
 
-def level_split(spark, folder):
-    panel = dense_panel(spark, folder)
+def level_split(spark, folder, panel=None):
+    panel = dense_panel(spark, folder) if panel is None else panel
     rows = FE.training_rows(FE.next_period_features(panel), FE.LEVEL_NUMERIC, FE.LEVEL_TARGET)
     return FE.time_split(materialise(rows, "rows"), _last_train(panel))
 
@@ -401,8 +401,8 @@ TRAINED = (*CHANGE_DATA, CHANGE_OLS, CHANGE_RIDGE, PREDICTIONS)
 SHOW_METRICS = f"model, model_family, {rounded(['mae', 'rmse', 'r2'])}, selected_for_scenarios"
 
 
-def _trained(spark, folder):
-    panel = dense_panel(spark, folder)
+def _trained(spark, folder, panel=None):
+    panel = dense_panel(spark, folder) if panel is None else panel
     return TR.train_change_model(FE.change_features(panel), _last_train(panel))
 
 
@@ -424,9 +424,10 @@ union all
 select entity, name, period, 'random_forest', {rounded(['a', 'b', FE.CHANGE_TARGET])}, null, null, true, true from test""",
 )
 def predictions_long(spark, folder):
-    train, test = change_split(spark, folder)
+    panel = dense_panel(spark, folder)
+    train, test = change_split(spark, folder, panel)
     is_forest = F.col("model") == "random_forest"
-    rows = _trained(spark, folder).predictions
+    rows = _trained(spark, folder, panel).predictions
     centre = train.agg(F.avg(FE.CHANGE_TARGET)).first()[0]
     better = mae(rows.where(is_forest), F.col("prediction"), FE.CHANGE_TARGET) < mae(test, F.lit(centre), FE.CHANGE_TARGET)
     rows = rows.withColumns({"inside": F.when(is_forest, inside(train, FE.CHANGE_TARGET)), "beats_mean": F.when(is_forest, F.lit(better))})
@@ -445,9 +446,10 @@ union all
 select 'random_forest', 'ml', null, null, null, false, true, true, true""",
 )
 def metrics_table(spark, folder):
-    train, test = change_split(spark, folder)
+    panel = dense_panel(spark, folder)
+    train, test = change_split(spark, folder, panel)
     centre = train.agg(F.avg(FE.CHANGE_TARGET)).first()[0]
-    metrics = _trained(spark, folder).metrics
+    metrics = _trained(spark, folder, panel).metrics
     naive = metrics.where("model_family = 'baseline'").first().mae
     beats = {"beats_mean": F.col("mae") < mae(test, F.lit(centre), FE.CHANGE_TARGET), "beats_naive": F.col("mae") < naive}
     return tidy(linear_only(consistent(metrics).withColumns(beats), *EV.METRICS))
@@ -499,8 +501,8 @@ union all
 select 'random_forest', null, null, null, true, true, true""",
 )
 def train_level(spark, folder):
-    _, trained = _trained_level(spark, folder)
-    train, _ = level_split(spark, folder)
+    panel, trained = _trained_level(spark, folder)
+    train, _ = level_split(spark, folder, panel)
     naive = trained.metrics.where("model = 'naive_baseline'").first().mae
     fitted = F.when(F.col("model") == "random_forest", F.lit(learned(trained.models["random_forest"], train, FE.LEVEL_TARGET)))
     rows = consistent(trained.metrics).withColumns({"beats_naive": F.col("mae") < naive, "learned": fitted})
@@ -783,9 +785,9 @@ def _without_values(forecast):
 @add("scenario_forecast_forest", LEVEL_ROWS_AHEAD.replace("true as inside", f"true as inside, case when forecast_period = {EMIT} then true end as as_transform"))
 def scenario_forecast_forest(spark, folder):
     """The forecast with the level model's forest, all periods in one pass; the first period is held against MLlib's transform."""
-    train, _ = level_split(spark, folder)
-    model = M.fit(M.forest(FE.LEVEL_TARGET, depth=12), train, FE.LEVEL_NUMERIC)
     panel = dense_panel(spark, folder)
+    train, _ = level_split(spark, folder, panel)
+    model = M.fit(M.forest(FE.LEVEL_TARGET, depth=12), train, FE.LEVEL_NUMERIC)
     forecast = _forecast(panel, model, "random_forest", "level")
     history = SC.forecast_history(panel)
     last = history.agg(F.max(R.PERIOD)).first()[0]
